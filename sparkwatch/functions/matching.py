@@ -154,10 +154,12 @@ def first_term(text: Column, lexicon: Lexicon | Sequence[str], match: str = "wor
         return F.coalesce(*[F.when(F.contains(lowered, F.lit(t)), F.lit(t)) for t in terms])
     # a look-ahead finds the longest term at every place, overlaps included
     trie = _alternation(terms)
+    starts = "[" + "".join(re.escape(c) for c in sorted({t[0] for t in terms})) + "]"
     if match == "substring":
         finder = f"(?=({trie}))"
     else:
-        finder = f"(?<!{WORD_CHAR})(?=({trie})(?!{WORD_CHAR}))"
+        # most places are ruled out by their first letter, before the costlier look-behind
+        finder = f"(?={starts})(?<!{WORD_CHAR})(?=({trie})(?!{WORD_CHAR}))"
     found = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(finder), F.lit(1)))
     all_terms = F.array(*[F.lit(t) for t in terms])
     winners = F.array(*[F.lit(b + 1) for b in _winner_at(terms, match)])

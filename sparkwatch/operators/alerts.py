@@ -12,6 +12,7 @@ from ..functions.keys import hash_key
 from ..functions.matching import Lexicon, Pattern, canonicalize, cascade, first_pattern, first_term, override_members
 from ..functions.text import strip_ws, text_of
 from ..functions.times import AsOf, as_timestamp, parse_ts, today, ts_was_imputed
+from .columns import computed_once
 from .dedup import dedup
 from .joins import lookup_key
 from .scd import current
@@ -79,15 +80,9 @@ def load_dim_lookup(dim: DataFrame, name_col: str, key_col: str, current_only: b
     return rows.select(name_col, key_col)
 
 
-def _computed_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
-    """Add expensive columns behind a one-row generator, so that no filter pushes a second copy below it."""
-    fields = F.struct(*[c.alias(n) for n, c in columns.items()])
-    return df.select("*", F.inline(F.array(fields)))
-
-
 def extract_entities(df: DataFrame, text: Column, rules: Mapping[str, EntityRules]) -> DataFrame:
     """Add one column per kind of entity with its canonical name, null where none was found."""
-    found = _computed_once(df, {f"__{name}": r.extract(text) for name, r in rules.items()})
+    found = computed_once(df, {f"__{name}": r.extract(text) for name, r in rules.items()})
     named = found.withColumns({name: r.name(F.col(f"__{name}")) for name, r in rules.items()})
     return named.drop(*[f"__{name}" for name in rules])
 

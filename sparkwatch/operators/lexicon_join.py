@@ -11,24 +11,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.matching import WORD_CHAR
+from .columns import computed_once
 from .joins import join_dim
 
 
-def word_ngrams(text: Column, max_words: int) -> Column:
-    """The distinct runs of 1..max_words words with the separators between them, lower-cased."""
-    lowered = F.lower(text)
+def word_ngrams(df: DataFrame, id_col: str, text_col: str, max_words: int) -> DataFrame:
+    """(id, gram): the distinct runs of 1..max_words words with the separators between them, lower-cased."""
+    lowered = F.lower(F.col(text_col))
     words = F.regexp_extract_all(lowered, F.lit(f"({WORD_CHAR}+)"), F.lit(1))
+    if max_words == 1:
+        return df.select(id_col, F.explode(F.array_distinct(words)).alias("gram"))
     gaps = F.split(lowered, f"{WORD_CHAR}+")
-    starts = F.sequence(F.lit(0), F.size(words) - 1)
+    cut = computed_once(df.select(id_col, text_col), {"__words": words, "__gaps": gaps}).drop(text_col)
 
     def run(start: Column, n: int) -> Column:
-        parts = [F.get(words, start)]
+        parts = [F.get("__words", start)]
         for j in range(1, n):
-            parts += [F.get(gaps, start + j), F.get(words, start + j)]
+            parts += [F.get("__gaps", start + j), F.get("__words", start + j)]
         return F.concat(*parts)
 
-    grams = F.flatten(F.transform(starts, lambda s: F.array(*[run(s, n) for n in range(1, max_words + 1)])))
-    return F.when(F.size(words) > 0, F.array_distinct(F.array_compact(grams)))
+    starts = F.sequence(F.lit(0), F.size("__words") - 1)
+    runs = F.transform(starts, lambda s: F.array(*[run(s, n) for n in range(1, max_words + 1)]))
+    grams = F.array_distinct(F.array_compact(F.flatten(runs)))
+    return cut.filter(F.size("__words") > 0).select(id_col, F.explode(grams).alias("gram"))
 
 
 def match_terms(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, max_words: int) -> DataFrame:
@@ -42,7 +47,6 @@ def match_terms(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, m
         .groupBy("gram")
         .agg(F.min("priority").alias("priority"))
     )
-    grams = df.select(id_col, F.explode(word_ngrams(F.col(text_col), max_words)).alias("gram"))
-    hits = join_dim(grams, terms, ["gram"])
+    hits = join_dim(word_ngrams(df, id_col, text_col, max_words), terms, ["gram"])
     best = hits.groupBy(id_col).agg(F.min(F.struct("priority", "gram")).alias("b"))
     return best.select(id_col, F.col("b.gram").alias("term"), F.col("b.priority").alias("priority"))

@@ -72,48 +72,54 @@ def quality_funnel(
     df: DataFrame,
     key: Sequence[str],
     bound: tuple[str, object],
-    order_by: Sequence[str | Column] = (),
+    order_by: Sequence[str | Column] | None = None,
     final_bad: Column | None = None,
 ) -> DataFrame:
     """(step, n): rows in, dropped by null, blank, duplicate key, lower bound and final check, rows out.
 
     Every row is charged to the first rule it breaks. One scan and one shuffle: rows are pre-aggregated per
-    key before they move, and the bound is tested on the row that wins the key by ``order_by`` (ascending). ``final_bad`` tells which winners the check after standardisation removes.
+    key before they move. The bound is tested on the row that wins its key, by default the one with the
+    greatest bound value, else the first by ``order_by`` (ascending). ``final_bad`` tells which of the winners
+    a check after standardisation removes.
     """
-    key = list(key)
     bound_col, bound_value = bound
     null, blank = has_null(df), has_blank(df)
     ok = ~null & ~blank
     passes = F.coalesce(F.col(bound_col) >= F.lit(bound_value), F.lit(False))
-    bad = F.lit(False) if final_bad is None else F.coalesce(final_bad, F.lit(False))
-    flagged = df.select(
-        *[F.when(ok, F.col(k)).alias(f"__key{i}") for i, k in enumerate(key)],
+    keys = [f"__key{i}" for i in range(len(key))]
+    flags = [
+        *[F.when(ok, F.col(k)).alias(name) for name, k in zip(keys, key)],
         null.alias("__null"),
         (~null & blank).alias("__blank"),
         ok.alias("__ok"),
-        F.when(ok, F.struct(F.struct(*total_order(df, order_by)).alias("o"), passes.alias("p"), bad.alias("b"))).alias("__row"),
-    )
-    per_key = flagged.groupBy(*[f"__key{i}" for i in range(len(key))]).agg(
+    ]
+    counts = [
         F.count(F.lit(1)).alias("n"),
         F.count_if("__null").alias("n_null"),
         F.count_if("__blank").alias("n_blank"),
         F.count_if("__ok").alias("n_ok"),
-        F.min("__row").alias("w"),
-    )
-    has_winner = F.col("n_ok") > 0
-    wide = per_key.agg(
-        *[
-            F.coalesce(total, F.lit(0)).cast("long").alias(name)
-            for name, total in {
-                "rows_in": F.sum("n"),
-                "null": F.sum("n_null"),
-                "blank": F.sum("n_blank"),
-                "duplicate": F.sum(F.when(has_winner, F.col("n_ok") - 1)),
-                "bound": F.count_if(has_winner & ~F.col("w.p")),
-                "final": F.count_if(has_winner & F.col("w.p") & F.col("w.b")),
-                "rows_out": F.count_if(has_winner & F.col("w.p") & ~F.col("w.b")),
-            }.items()
-        ]
-    )
-    rows = F.array(*[F.struct(F.lit(s).alias("step"), F.col(s).alias("n")) for s in FUNNEL_STEPS])
-    return wide.select(F.inline(rows))
+    ]
+    if order_by is None and final_bad is None:
+        # the greatest bound value passes exactly if any value of the key passes
+        rows = df.select(*flags, F.when(ok, passes).alias("__passes"))
+        per_key = rows.groupBy(*keys).agg(*counts, F.max("__passes").alias("wins"), F.lit(False).alias("bad"))
+    else:
+        order = total_order(df, [F.negative(F.col(bound_col))] if order_by is None else order_by)
+        bad = F.lit(False) if final_bad is None else F.coalesce(final_bad, F.lit(False))
+        row = F.struct(F.struct(*order).alias("o"), passes.alias("p"), bad.alias("b"))
+        rows = df.select(*flags, F.when(ok, row).alias("__row"))
+        per_key = rows.groupBy(*keys).agg(*counts, F.min("__row").alias("w"))
+        per_key = per_key.withColumns({"wins": F.col("w.p"), "bad": F.col("w.b")})
+    winner = F.col("n_ok") > 0
+    totals = {
+        "rows_in": F.sum("n"),
+        "null": F.sum("n_null"),
+        "blank": F.sum("n_blank"),
+        "duplicate": F.sum(F.when(winner, F.col("n_ok") - 1)),
+        "bound": F.count_if(winner & ~F.col("wins")),
+        "final": F.count_if(winner & F.col("wins") & F.col("bad")),
+        "rows_out": F.count_if(winner & F.col("wins") & ~F.col("bad")),
+    }
+    wide = per_key.agg(*[F.coalesce(t, F.lit(0)).cast("long").alias(name) for name, t in totals.items()])
+    steps = F.array(*[F.struct(F.lit(s).alias("step"), F.col(s).alias("n")) for s in FUNNEL_STEPS])
+    return wide.select(F.inline(steps))

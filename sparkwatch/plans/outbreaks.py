@@ -182,4 +182,4 @@ def clean(bronze: DataFrame, rules: CleaningRules = CLEANING, as_of: AsOf = None
 def cleaning_funnel(bronze: DataFrame, rules: CleaningRules = CLEANING) -> DataFrame:
     """How many bronze rows ``clean`` drops at each step, in one pass."""
     df = bronze if rules.legacy_order else rules.repaired(bronze)
-    return quality_funnel(df, [rules.key], rules.bound, rules.winner())
+    return quality_funnel(df, [rules.key], rules.bound)

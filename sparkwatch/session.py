@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -34,7 +35,12 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return tempfile.mkdtemp(prefix="sparkwatch-")
+    return _local_scratch(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_scratch(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"sparkwatch-{application}-")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

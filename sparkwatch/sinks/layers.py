@@ -46,9 +46,11 @@ def write_layer(
     """Write a Parquet layer.
 
     ``dynamic`` replaces only the partitions present in ``df``. ``rebalance`` gathers the rows of a partition
-    value into few files, while a value that holds a large part of all rows is still split over many tasks.
+    value into few files, while a value that holds a large part of all rows is still split over many tasks; it
+    takes effect only under adaptive execution, which does that splitting.
     """
-    if rebalance and partition_by:
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    if rebalance and partition_by and adaptive:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).options(**(options or {}))
     if mode == "overwrite":

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.times import AsOf, year_month
-from ..operators.alerts import OUTCOMES, EntityRules, resolve_events, to_alert
+from ..operators.alerts import OUTCOMES, EntityRules, outcome_stats, resolve_events, to_alert
 from ..operators.dedup import keep_latest
 from ..sinks.layers import bloom_options, write_layer
 from ..sinks.snapshots import write_snapshot
@@ -22,6 +22,24 @@ ALERT_KEY = ("source", "location_key", "published_at", "disease_key")
 ALERT_MONTH = "published_month"
 
 
+ALERT_SCHEMA = T.StructType(
+    [
+        T.StructField("alert_id", T.StringType()),
+        T.StructField("disease_key", T.StringType()),
+        T.StructField("location_key", T.StringType()),
+        T.StructField("published_at", T.TimestampType()),
+        T.StructField("ingestion_time", T.TimestampType()),
+        T.StructField("title", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("url", T.StringType()),
+        T.StructField("published_at_imputed", T.BooleanType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField(ALERT_MONTH, T.IntegerType()),
+    ]
+)
+STATS_SCHEMA = T.StructType([T.StructField(n, T.LongType()) for n in ("total", *OUTCOMES)])
+
+
 def dedup_stream(df: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
     """Drop repeats across micro-batches that arrive within ``delay``; state older than that is let go."""
     return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
@@ -32,8 +50,8 @@ class AlertSink:
     """foreachBatch writer for alerts.
 
     The dimension loaders run for every micro-batch, so new keys are seen without a restart. A batch writes
-    its own ``batch_id`` folder and replaces it when replayed; with ids that depend on content only, a replay
-    changes nothing. Outcome counts come from the writing job itself.
+    its own ``batch_id`` folder and replaces it when replayed; alert ids depend on content only, so a replay
+    brings no new ones. Outcomes and alerts are two reads of one persisted frame.
     """
 
     path: str
@@ -44,23 +62,25 @@ class AlertSink:
     country_rules: EntityRules
     as_of: AsOf = None
     fold: bool = False
+    rows_per_file: int = 1_000_000
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         resolved = resolve_events(
             batch, self.diseases(), self.locations(), self.disease_rules, self.country_rules, fold=self.fold
-        )
-        stats = Observation()
-        counts = [F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES]
-        observed = resolved.observe(stats, F.count(F.lit(1)).alias("total"), *counts)
-        alerts = to_alert(observed.filter(F.col("outcome") == "inserted"), self.as_of)
-        alerts = alerts.withColumn(ALERT_MONTH, year_month("published_at"))
-        # few rows per batch: one file per month and task is avoided by the rebalance before the write
-        write_layer(alerts, f"{self.path}/batch_id={batch_id}", [ALERT_MONTH])
-        row = batch.sparkSession.createDataFrame(
-            [tuple(int(stats.get[n]) for n in ("total", *OUTCOMES))],
-            T.StructType([T.StructField(n, T.LongType()) for n in ("total", *OUTCOMES)]),
-        )
-        row.coalesce(1).write.mode("overwrite").parquet(f"{self.stats_path}/batch_id={batch_id}")
+        ).persist()
+        try:
+            stats = outcome_stats(resolved).first()
+            row = batch.sparkSession.createDataFrame([stats], STATS_SCHEMA)
+            row.coalesce(1).write.mode("overwrite").parquet(f"{self.stats_path}/batch_id={batch_id}")
+            alerts = to_alert(resolved.filter(F.col("outcome") == "inserted"), self.as_of)
+            alerts = alerts.withColumn(ALERT_MONTH, year_month("published_at"))
+            # micro-batches run without adaptive execution, and most of their rows are of one month: rows are
+            # spread over as many tasks as the batch fills files
+            files = max(1, -(-stats["inserted"] // self.rows_per_file))
+            spread = alerts.repartition(files, ALERT_MONTH, F.pmod(F.xxhash64("alert_id"), F.lit(files)))
+            write_layer(spread, f"{self.path}/batch_id={batch_id}", [ALERT_MONTH], rebalance=False)
+        finally:
+            resolved.unpersist()
 
 
 def start_alerts(
@@ -79,8 +99,8 @@ def start_alerts(
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    """All alerts written so far, as written."""
-    return spark.read.option("basePath", path).option("recursiveFileLookup", "false").parquet(path)
+    """All alerts written so far, as written, batch by batch."""
+    return spark.read.schema(ALERT_SCHEMA).parquet(path)
 
 
 def read_stats(spark: SparkSession, path: str) -> DataFrame:

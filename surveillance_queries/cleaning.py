@@ -193,7 +193,7 @@ def funnel(spark, sf):
         F.when(F.col("l_quantity") < 5, " ").otherwise(F.col("l_linestatus")).alias("status"),
         F.year("l_shipdate").alias("year"),
     )
-    return quality_funnel(lines, ["l_orderkey", "l_linenumber"], ("year", 1996), [-F.col("year")])
+    return quality_funnel(lines, ["l_orderkey", "l_linenumber"], ("year", 1996))
 
 
 @query(

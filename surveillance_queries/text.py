@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from sparkwatch.functions import (
     Lexicon,
     Pattern,
-    any_term,
     canonicalize,
     cascade,
     first_pattern,
@@ -18,7 +17,6 @@ from sparkwatch.functions import (
     text_of,
 )
 from sparkwatch.operators import match_terms
-from sparkwatch.operators.alerts import _computed_once
 from sparkwatch.sources import load_lexicon
 
 from .registry import query, table
