@@ -13,7 +13,7 @@ import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,6 +25,8 @@ MODES = ("word", "substring")
 
 # Up to this many terms a plain substring scan per term beats one regular expression (measured on 25 MB of text).
 SCAN_TERMS = 256
+# The same for word matching, where a term that is found still has to be tested for its boundaries.
+SCAN_WORDS = 32
 
 
 @dataclass(frozen=True)
@@ -113,16 +115,32 @@ def _bounded(pattern: str, match: str) -> str:
     return f"(?<!{WORD_CHAR}){pattern}(?!{WORD_CHAR})"
 
 
-def any_term(text: Column, lexicon: Lexicon | Sequence[str], match: str = "word") -> Column:
-    """Does at least one term occur in the text?"""
+def _scans(terms: Sequence[str], match: str) -> bool:
+    return len(terms) <= (SCAN_TERMS if match == "substring" else SCAN_WORDS)
+
+
+def _occurs(lowered: Column, term: str, match: str) -> Column:
+    """One term by a plain substring scan; its boundaries are looked at only where it was found."""
+    found = F.contains(lowered, F.lit(term))
+    if match == "substring":
+        return found
+    # the literal comes first, so the expression does not look behind at every place
+    literal = re.escape(term)
+    return found & lowered.rlike(f"{literal}(?<!{WORD_CHAR}{literal})(?!{WORD_CHAR})")
+
+
+def any_term(
+    text: Column, lexicon: Lexicon | Sequence[str], match: str = "word", lowered: bool = False
+) -> Column:
+    """Does at least one term occur in the text? ``lowered`` says that the text is in lower case already."""
     _check_mode(match)
     terms = _terms(lexicon)
     if not terms:
         return F.lit(False)
-    if match == "substring" and len(terms) <= SCAN_TERMS:
-        lowered = F.lower(text)
-        return reduce(or_, [F.contains(lowered, F.lit(t)) for t in terms])
-    return F.lower(text).rlike(_bounded(_alternation(terms), match))
+    low = text if lowered else F.lower(text)
+    if _scans(terms, match):
+        return reduce(or_, [_occurs(low, t, match) for t in terms])
+    return low.rlike(_bounded(_alternation(terms), match))
 
 
 def _winner_at(terms: Sequence[str], match: str) -> list[int]:
@@ -143,15 +161,17 @@ def _winner_at(terms: Sequence[str], match: str) -> list[int]:
     return best
 
 
-def first_term(text: Column, lexicon: Lexicon | Sequence[str], match: str = "word") -> Column:
+def first_term(
+    text: Column, lexicon: Lexicon | Sequence[str], match: str = "word", lowered: bool = False
+) -> Column:
     """The term that comes first in the lexicon among those found; its place in the text does not count."""
     _check_mode(match)
     terms = _terms(lexicon)
     if not terms:
         return F.lit(None).cast("string")
-    if match == "substring" and len(terms) <= SCAN_TERMS:
-        lowered = F.lower(text)
-        return F.coalesce(*[F.when(F.contains(lowered, F.lit(t)), F.lit(t)) for t in terms])
+    low = text if lowered else F.lower(text)
+    if _scans(terms, match):
+        return F.coalesce(*[F.when(_occurs(low, t, match), F.lit(t)) for t in terms])
     # a look-ahead finds the longest term at every place, overlaps included
     trie = _alternation(terms)
     starts = "[" + "".join(re.escape(c) for c in sorted({t[0] for t in terms})) + "]"
@@ -160,7 +180,7 @@ def first_term(text: Column, lexicon: Lexicon | Sequence[str], match: str = "wor
     else:
         # most places are ruled out by their first letter, before the costlier look-behind
         finder = f"(?={starts})(?<!{WORD_CHAR})(?=({trie})(?!{WORD_CHAR}))"
-    found = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(finder), F.lit(1)))
+    found = F.array_distinct(F.regexp_extract_all(low, F.lit(finder), F.lit(1)))
     all_terms = F.array(*[F.lit(t) for t in terms])
     winners = F.array(*[F.lit(b + 1) for b in _winner_at(terms, match)])
     ranks = F.transform(found, lambda t: F.get(winners, (F.array_position(all_terms, t) - 1).cast("int")))
@@ -168,7 +188,11 @@ def first_term(text: Column, lexicon: Lexicon | Sequence[str], match: str = "wor
 
 
 def first_pattern(
-    text: Column, patterns: Sequence[Pattern], label: str | None = None, limit: int | None = None
+    text: Column,
+    patterns: Sequence[Pattern],
+    label: str | None = None,
+    limit: int | None = None,
+    lowered: bool = False,
 ) -> Column:
     """The earliest match of a token sequence, the longest one where two start together.
 
@@ -179,7 +203,8 @@ def first_pattern(
         return F.lit(None).cast("string")
     ordered = sorted(wanted, key=lambda tokens: (-len(" ".join(tokens)), tokens))
     alternatives = "|".join(r"\s+".join(re.escape(t) for t in tokens) for tokens in ordered)
-    searched = F.lower(text if limit is None else F.substring(text, 1, limit))
+    searched = text if limit is None else F.substring(text, 1, limit)
+    searched = searched if lowered else F.lower(searched)
     found = F.regexp_extract(searched, _bounded(f"({alternatives})", "word"), 1)
     return F.nullif(F.regexp_replace(found, r"\s+", " "), F.lit(""))
 
@@ -213,10 +238,7 @@ def cascade(*matchers: Column) -> Column:
 
 def keyword_query(text: Column, groups: Sequence[Sequence[str]], match: str = "substring") -> Column:
     """(a OR b ...) AND (c OR d ...): at least one term of every group."""
-    result = F.lit(True)
-    for group in groups:
-        result = result & any_term(text, group, match)
-    return result
+    return reduce(and_, [any_term(text, group, match) for group in groups], F.lit(True))
 
 
 def relevance(

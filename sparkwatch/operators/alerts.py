@@ -40,13 +40,13 @@ class EntityRules:
     pattern_limit: int | None = None
     matchers: tuple[Matcher, ...] = ()
 
-    def extract(self, text: Column) -> Column:
-        found = cascade(
-            first_term(text, self.lexicon, self.match),
-            first_pattern(text, self.patterns, self.label, self.pattern_limit),
+    def extract(self, text: Column, lowered: Column) -> Column:
+        """The term found in a text, given with its lower-case form; own matchers see the text as it is."""
+        return cascade(
+            first_term(lowered, self.lexicon, self.match, lowered=True),
+            first_pattern(lowered, self.patterns, self.label, self.pattern_limit, lowered=True),
             *[m(text) for m in self.matchers],
         )
-        return found
 
     def name(self, term: Column) -> Column:
         named = canonicalize(term, {**self.lexicon.mapping, **self.mapping})
@@ -82,9 +82,10 @@ def load_dim_lookup(dim: DataFrame, name_col: str, key_col: str, current_only: b
 
 def extract_entities(df: DataFrame, text: Column, rules: Mapping[str, EntityRules]) -> DataFrame:
     """Add one column per kind of entity with its canonical name, null where none was found."""
-    found = computed_once(df, {f"__{name}": r.extract(text) for name, r in rules.items()})
-    named = found.withColumns({name: r.name(F.col(f"__{name}")) for name, r in rules.items()})
-    return named.drop(*[f"__{name}" for name in rules])
+    df = computed_once(df, {"__text": text, "__lower": F.lower(text)})
+    terms = {f"__{name}": r.extract(F.col("__text"), F.col("__lower")) for name, r in rules.items()}
+    df = computed_once(df, terms).withColumns({name: r.name(F.col(f"__{name}")) for name, r in rules.items()})
+    return df.drop("__text", "__lower", *terms)
 
 
 def classify_outcome(

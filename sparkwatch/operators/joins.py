@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import normalize_name
+from ..session import ensure_checkpoint_dir
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -111,12 +112,19 @@ def join_dim(
     how: str = "inner",
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
+    derived: bool = False,
 ) -> DataFrame:
-    """Join a dimension with one row per key: broadcast when its size is proven small, else split by skew."""
+    """Join a dimension with one row per key: broadcast when its size is proven small, else split by skew.
+
+    ``derived`` says that the dimension is the outcome of a query, not a stored table: it is then written to
+    the checkpoint folder once, instead of being worked out again for the measurement and for the join.
+    """
     on = [on] if isinstance(on, str) else list(on)
-    estimate = estimated_bytes(dim)
-    if estimate <= _auto_broadcast_bytes(dim):
+    if estimated_bytes(dim) <= _auto_broadcast_bytes(dim):
         return fact.join(dim, on, how)
+    if derived:
+        ensure_checkpoint_dir(dim.sparkSession)
+        dim = dim.checkpoint()
     if fits_broadcast(dim, max_rows, max_bytes):
         return fact.join(F.broadcast(dim), on, how)
     if fact.isStreaming:

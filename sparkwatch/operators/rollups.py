@@ -33,13 +33,13 @@ def trend_by_year(
     keys = [k for _, k in dims]
     small = fact.groupBy(year, *keys).agg(F.sum(measure).alias("__m"))
     for dim, key in dims:
-        small = join_dim(small, dim.select(key, *[c for c in by if c in dim.columns]), [key])
+        small = join_dim(small, dim.select(key, *[c for c in by if c in dim.columns]), [key], derived=True)
     return small.groupBy(year, *by).agg(F.sum("__m").alias(measure))
 
 
 def geo_totals(fact: DataFrame, location: DataFrame, key: str, by: Sequence[str], measure: str) -> DataFrame:
     small = fact.groupBy(key).agg(F.sum(measure).alias("__m"))
-    return join_dim(small, location.select(key, *by), [key]).groupBy(*by).agg(F.sum("__m").alias(measure))
+    return join_dim(small, location.select(key, *by), [key], derived=True).groupBy(*by).agg(F.sum("__m").alias(measure))
 
 
 def alerts_against_history(

@@ -65,7 +65,7 @@ def build_dim(df: DataFrame, spec: DimSpec) -> DataFrame:
 def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, DimSpec]]) -> DataFrame:
     """Inner join of each dimension on its natural key, bringing in only the surrogate key."""
     for dim, spec in dims:
-        fact = join_dim(fact, dim.select(spec.natural_key, spec.key), [spec.natural_key], "inner")
+        fact = join_dim(fact, dim.select(spec.natural_key, spec.key), [spec.natural_key], "inner", derived=True)
     return fact
 
 

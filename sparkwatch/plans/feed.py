@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.matching import Lexicon
 from ..functions.times import AsOf
 from ..operators.dedup import dedup_either
+from ..session import ensure_checkpoint_dir
 from ..sinks.events import to_events
 from ..streaming.feed import filter_feed
 
@@ -23,5 +24,7 @@ def feed_to_events(
     as_of: AsOf = None,
 ) -> DataFrame:
     """Valid and relevant articles, first of each url and title in feed order, as (key, value) events."""
-    kept = filter_feed(articles, exclude, all_of, match)
+    ensure_checkpoint_dir(articles.sparkSession)
+    # what is relevant is a small part of a feed, and it is read more than once
+    kept = filter_feed(articles, exclude, all_of, match).checkpoint()
     return to_events(dedup_either(kept, ["url", F.lower("title")], order_by), as_of=as_of)

@@ -37,7 +37,6 @@ ALERT_SCHEMA = T.StructType(
         T.StructField(ALERT_MONTH, T.IntegerType()),
     ]
 )
-STATS_SCHEMA = T.StructType([T.StructField(n, T.LongType()) for n in ("total", *OUTCOMES)])
 
 
 def dedup_stream(df: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
@@ -70,8 +69,9 @@ class AlertSink:
         ).persist()
         try:
             stats = outcome_stats(resolved).first()
-            row = batch.sparkSession.createDataFrame([stats], STATS_SCHEMA)
-            row.coalesce(1).write.mode("overwrite").parquet(f"{self.stats_path}/batch_id={batch_id}")
+            one = batch.sparkSession.range(0, 1, 1, 1)
+            row = one.select(*[F.lit(stats[n]).cast("long").alias(n) for n in ("total", *OUTCOMES)])
+            row.write.mode("overwrite").parquet(f"{self.stats_path}/batch_id={batch_id}")
             alerts = to_alert(resolved.filter(F.col("outcome") == "inserted"), self.as_of)
             alerts = alerts.withColumn(ALERT_MONTH, year_month("published_at"))
             # micro-batches run without adaptive execution, and most of their rows are of one month: rows are

@@ -216,40 +216,40 @@ def recent_top(spark, sf):
 
 
 def payloads(spark, sf):
-    """Article payloads: one per source, its articles in document order; payloads of src3 report an error."""
-    rows = articles(spark, sf)
-    article = F.struct(
-        F.col("doc_id"),
-        F.struct(
-            "title",
-            "description",
+    """Article payloads, one per document: the article and a second one under its source's name.
+
+    Payloads of src3 report an error.
+    """
+
+    def article(title, description):
+        return F.struct(
+            title.alias("title"),
+            description.alias("description"),
             F.lit(None).cast("string").alias("content"),
             F.lit(None).cast("string").alias("author"),
             F.struct(F.col("source").alias("name")).alias("source"),
             F.col("published_at").alias("publishedAt"),
-            "url",
-        ).alias("a"),
-    )
-    # a payload is one feed response of bounded length: documents are cut into runs of 50 ids
-    page = F.floor(F.col("doc_id") / 50)
-    grouped = rows.groupBy("source", page.alias("page")).agg(F.sort_array(F.collect_list(article)).alias("list"))
-    return grouped.select(
+            F.col("url").alias("url"),
+        )
+
+    return articles(spark, sf).select(
         F.when(F.col("source") == "src3", "error").otherwise("ok").alias("status"),
-        F.transform("list", lambda x: x["a"]).alias("articles"),
+        F.array(
+            article(F.col("title"), F.col("description")), article(F.col("source"), F.lit(None).cast("string"))
+        ).alias("articles"),
     )
 
 
 @query(
     f"""WITH articles AS ({ARTICLES})
-        SELECT row_number() OVER (PARTITION BY source, doc_id // 50 ORDER BY doc_id) - 1 AS feed_position,
-               md5(title) AS title_md5, source, published_at, url
-        FROM articles WHERE source <> 'src3'"""
+        SELECT 0 AS feed_position, md5(title) AS title_md5, source, published_at, url
+        FROM articles WHERE source <> 'src3'
+        UNION ALL SELECT 1, md5(source), source, published_at, url FROM articles WHERE source <> 'src3'"""
 )
 def article_feed(spark, sf):
-    """Payloads written as JSON text and scanned back under the feed schema."""
+    """Payloads as JSON text, parsed under the feed schema and taken apart."""
     text = payloads(spark, sf).select(F.to_json(F.struct("status", "articles")).alias("value"))
-    parsed = decode_json(text, ARTICLE_SCHEMA)
-    rows = articles_of(parsed)
+    rows = articles_of(decode_json(text, ARTICLE_SCHEMA))
     return rows.select("feed_position", F.md5("title").alias("title_md5"), "source", "published_at", "url")
 
 

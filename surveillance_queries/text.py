@@ -82,18 +82,18 @@ def lexicon_table(spark, sf):
 
 
 @query(
-    r"""WITH lex AS (
-         SELECT term, min(item_id) AS priority FROM (
-           SELECT regexp_extract(lower(text), '^[^\p{L}\p{N}]*([\p{L}\p{N}]+)', 1) AS term, item_id FROM benchmark)
-         WHERE term <> '' GROUP BY term),
-       words AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM documents),
+    """WITH lex AS (SELECT DISTINCT lang AS term, ascii(lang) * 1000 + ascii(substr(lang, 2)) AS priority FROM documents),
+       words AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS term FROM documents),
        hits AS (SELECT doc_id, arg_min(term, priority) AS term FROM words JOIN lex USING (term) GROUP BY doc_id)
        SELECT doc_id, term FROM documents LEFT JOIN hits USING (doc_id)"""
 )
 def lexicon_loaded(spark, sf):
-    """The same lexicon loaded into one expression."""
-    lexicon = load_lexicon(_first_words(spark, sf))
-    return table(spark, sf, "documents").select("doc_id", first_term(F.col("text"), lexicon).alias("term"))
+    """A lexicon table read into one expression: the language codes, some of which are words as well."""
+    docs = table(spark, sf, "documents")
+    codes = docs.select(
+        F.col("lang").alias("term"), (F.ascii("lang") * 1000 + F.ascii(F.substring("lang", 2, 1))).alias("priority")
+    )
+    return docs.select("doc_id", first_term(F.col("text"), load_lexicon(codes.distinct())).alias("term"))
 
 
 PATTERNS = (
