@@ -79,12 +79,12 @@ def dedup_either(
     left = placed.groupBy(*names).agg(F.min("__ord").alias("__ord")).checkpoint()
     rounds: list[DataFrame] = []
     while not left.isEmpty():
-        winners = left
-        for n in names:
-            # (key, position) is unique on both sides, so this join has no hot key
-            first = left.groupBy(n).agg(F.min("__ord").alias("__ord"))
-            winners = winners.join(first, [n, "__ord"], "left_semi")
-        winners = winners.checkpoint()
+        # the first row of every group of each key; map tasks cut a hot group down before it moves
+        firsts = [
+            left.groupBy(n).agg(F.min(F.struct("__ord", *names)).alias("r")).select("r.*") for n in names
+        ]
+        # rows that come first everywhere; a row is in each of these sets once, so the join has no hot key
+        winners = reduce(lambda a, b: a.join(b, [*names, "__ord"], "left_semi"), firsts).checkpoint()
         rounds.append(winners)
         for n in names:
             left = skew_join(left, winners.select(n), [n], "left_anti", hot_share, skew_min_rows)

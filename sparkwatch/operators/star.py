@@ -54,8 +54,11 @@ class FactSpec:
 
 
 def build_dim(df: DataFrame, spec: DimSpec) -> DataFrame:
-    """Prune, take one declared row per natural key, drop null keys, add the hash key and fallbacks."""
-    dim = require(df.select(spec.natural_key, *spec.attributes), [spec.natural_key])
+    """Prune, take one declared row per natural key, drop null keys, add the hash key and fallbacks.
+
+    A dimension has few distinct rows: they are collected by hashing first, so that only these are sorted.
+    """
+    dim = require(df.select(spec.natural_key, *spec.attributes), [spec.natural_key]).distinct()
     dim = dedup(dim, [spec.natural_key], spec.order_by).withColumn(spec.key, spec.key_expr())
     for f in spec.fallbacks:
         dim = fallback(dim, f.target, f.others, f.default, f.upper)

@@ -1,5 +1,6 @@
 from .batch import Layout, run_batch, run_bronze, run_gold, run_silver
 from .feed import feed_to_events
+from .live import run_alerts, update_rollup, warehouse_dims
 from .outbreaks import CLEANING, DISEASE_DIM, FACT, LOCATION_DIM, RAW_SCHEMA, CleaningRules, clean, ingest
 
 __all__ = [
@@ -13,8 +14,11 @@ __all__ = [
     "clean",
     "feed_to_events",
     "ingest",
+    "run_alerts",
     "run_batch",
     "run_bronze",
     "run_gold",
     "run_silver",
+    "update_rollup",
+    "warehouse_dims",
 ]

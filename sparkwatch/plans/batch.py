@@ -9,15 +9,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import AsOf
+from ..operators.dedup import keep_latest
 from ..operators.scd import open_versions, scd2_merge
 from ..operators.star import build_dim, build_fact
 from ..sinks.layers import bloom_options, write_layer
 from ..sinks.metrics import write_metrics
-from ..sinks.snapshots import read_snapshot, write_snapshot
+from ..sinks.snapshots import next_version, read_snapshot, write_snapshot
 from ..sources.layers import read_layer, read_raw_csv
 from .outbreaks import CLEANING, DISEASE_DIM, FACT, LOCATION_DIM, RAW_SCHEMA, CleaningRules, clean, cleaning_funnel, ingest
 
 
+TABLES = (
+    "bronze",
+    "silver",
+    "dim_location",
+    "dim_disease",
+    "fact_outbreaks",
+    "metrics",
+    "alerts",
+    "alert_stats",
+    "alerts_latest",
+    "alert_rollup",
+)
+
+# The sort key under which location rows replace each other.
+LOCATION_KEY = ("region_code", "country", "location_key")
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where the tables of one warehouse live."""
@@ -25,7 +43,7 @@ class Layout:
     root: str
 
     def __getattr__(self, name: str) -> str:
-        if name in ("bronze", "silver", "dim_location", "dim_disease", "fact_outbreaks", "metrics"):
+        if name in TABLES:
             return f"{self.root}/{name}"
         raise AttributeError(name)
 
@@ -68,7 +86,12 @@ def run_gold(
     """
     silver = read_layer(spark, out.silver)
 
-    write_snapshot(build_dim(silver, LOCATION_DIM), out.dim_location, ["region_code"])
+    places = build_dim(silver, LOCATION_DIM).withColumn("load_seq", F.lit(next_version(spark, out.dim_location)))
+    known = read_snapshot(spark, out.dim_location)
+    if known is not None:
+        # the last load wins; places that are not in this load stay
+        places = keep_latest(known.unionByName(places), LOCATION_KEY, "load_seq")
+    write_snapshot(places, out.dim_location, ["region_code"])
 
     load = build_dim(silver, DISEASE_DIM)
     history = read_snapshot(spark, out.dim_disease)

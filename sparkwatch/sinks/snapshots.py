@@ -34,13 +34,16 @@ def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
     return None if path is None else spark.read.parquet(path)
 
 
+def next_version(spark: SparkSession, root: str) -> int:
+    versions = _versions(spark, root)
+    return versions[-1][0] + 1 if versions else 1
+
+
 def write_snapshot(df: DataFrame, root: str, partition_by=(), **kwargs) -> str:
     """Write the next version. Readers see it once it is complete; a failed write leaves the old one current.
 
     Older versions stay until they are removed by hand, so running readers are not disturbed.
     """
-    spark = df.sparkSession
-    versions = _versions(spark, root)
-    path = f"{root}/v={versions[-1][0] + 1 if versions else 1:08d}"
+    path = f"{root}/v={next_version(df.sparkSession, root):08d}"
     write_layer(df, path, partition_by, mode="overwrite", **kwargs)
     return path
