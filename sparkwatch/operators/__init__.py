@@ -4,6 +4,7 @@ from .alerts import (
     enrich_alerts,
     load_dim_lookup,
     outcome_stats,
+    recent,
     to_alert,
     top_n,
     valid_event,
@@ -72,6 +73,7 @@ __all__ = [
     "outcome_stats",
     "project",
     "quality_funnel",
+    "recent",
     "rejects",
     "rename",
     "repair_like",

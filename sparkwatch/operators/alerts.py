@@ -69,6 +69,11 @@ def date_window(df: DataFrame, col: str, as_of: AsOf = None, days: int = 1) -> D
     return df.filter((F.col(col) >= lower) & (F.col(col) < upper))
 
 
+def recent(df: DataFrame, ts: str, *tiebreak: str | Column) -> DataFrame:
+    """Newest first, ties in the order given; rows without a time come last."""
+    return df.orderBy(F.col(ts).desc_nulls_last(), *tiebreak)
+
+
 def top_n(df: DataFrame, order: Sequence[Column], n: int = 100) -> DataFrame:
     """The first n rows of an order; every task keeps only its own n best."""
     return df.orderBy(*order).limit(n)

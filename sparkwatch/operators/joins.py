@@ -113,11 +113,13 @@ def join_dim(
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
     derived: bool = False,
+    costly: bool = False,
 ) -> DataFrame:
     """Join a dimension with one row per key: broadcast when its size is proven small, else split by skew.
 
     ``derived`` says that the dimension is the outcome of a query, not a stored table: it is then written to
     the checkpoint folder once, instead of being worked out again for the measurement and for the join.
+    ``costly`` says the same of the fact side, which the split join reads more than once.
     """
     on = [on] if isinstance(on, str) else list(on)
     if estimated_bytes(dim) <= _auto_broadcast_bytes(dim):
@@ -130,6 +132,9 @@ def join_dim(
     if fact.isStreaming:
         # a stream cannot be counted beforehand; AQE does not apply, the batch path is foreachBatch
         return fact.join(dim, on, how)
+    if costly:
+        ensure_checkpoint_dir(fact.sparkSession)
+        fact = fact.checkpoint()
     return skew_join(fact, dim, on, how)
 
 
@@ -157,4 +162,4 @@ def lookup_key(
     )
     # a missing name is the empty string on both sides, as in the dictionary lookup this stands for
     probe = df.withColumn("__norm", normalize_name(name, fold))
-    return join_dim(probe, lookup, "__norm", how).drop("__norm")
+    return join_dim(probe, lookup, "__norm", how, derived=True, costly=True).drop("__norm")

@@ -43,13 +43,18 @@ def start_feed(
     kept = filter_feed(articles, exclude, all_of, match)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = dedup_either(batch, ["url", F.lower("title")], ["feed_position", "published_at", "url"])
-        events = to_events(fresh, as_of=as_of)
-        if path and format != "kafka":
-            # a replayed batch replaces its own folder
-            events.write.format(format).mode("overwrite").options(**(options or {})).save(f"{path}/batch_id={batch_id}")
-        else:
-            publish(events, format, path, options)
+        batch.persist()  # the filter's outcome is read more than once
+        try:
+            fresh = dedup_either(batch, ["url", F.lower("title")], ["feed_position", "published_at", "url"])
+            events = to_events(fresh, as_of=as_of)
+            if path and format != "kafka":
+                # a replayed batch replaces its own folder
+                folder = f"{path}/batch_id={batch_id}"
+                events.write.format(format).mode("overwrite").options(**(options or {})).save(folder)
+            else:
+                publish(events, format, path, options)
+        finally:
+            batch.unpersist()
 
     writer = kept.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if trigger is None else writer.trigger(processingTime=trigger)

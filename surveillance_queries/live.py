@@ -207,12 +207,14 @@ def two_days(spark, sf):
 
 
 @query(
-    """SELECT event_id, ts, user_id FROM events WHERE event_type = 'view' ORDER BY ts DESC, event_id LIMIT 100"""
+    """SELECT doc_id, source, DATE '2024-01-01' + CAST(n_chars % 28 AS INTEGER) AS published_on
+       FROM documents WHERE lang = 'en' ORDER BY published_on DESC, doc_id LIMIT 100"""
 )
 def recent_top(spark, sf):
-    """The newest hundred of one kind, the page size being the feature."""
-    views = table(spark, sf, "events").filter("event_type = 'view'").select("event_id", "ts", "user_id")
-    return top_n(views, [F.desc("ts"), F.asc("event_id")], 100)
+    """The newest hundred articles in one language, the page size being the feature."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("n_chars") % 28).cast("int"))
+    docs = table(spark, sf, "documents").filter("lang = 'en'")
+    return top_n(docs.select("doc_id", "source", day.alias("published_on")), [F.desc("published_on"), F.asc("doc_id")], 100)
 
 
 def payloads(spark, sf):

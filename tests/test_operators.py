@@ -2,6 +2,8 @@ import datetime as dt
 import random
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +32,7 @@ from sparkwatch.operators import (
     open_versions,
     project,
     quality_funnel,
+    recent,
     rejects,
     rename,
     repair_like,
@@ -220,6 +223,8 @@ def test_large_dimension_is_not_broadcast(spark, skewed):
         assert not fits_broadcast(right, max_bytes=100)
         assert "BroadcastHashJoin" in plan(join_dim(left, right, "k"))
         assert "BroadcastHashJoin" not in plan(join_dim(left, right, "k", max_rows=10))
+        split = join_dim(left, right, "k", "left", max_rows=10, derived=True, costly=True)
+        assert rows(split) == rows(left.join(right, ["k"], "left"))
     finally:
         spark.conf.set(conf, before)
 
@@ -260,6 +265,41 @@ def test_scd2_modes(spark):
     )
 
 
+def brute_merge(dim, load, day, mode):
+    """Row by row: close and open versions as a load comes in. Rows are (name, value, start, end, current)."""
+    load = {n: v for n, v in load}
+    out, seen = [], set()
+    for n, v, start, end, cur in dim:
+        if cur == 1 and n in load:
+            if mode == "always" or load[n] != v:
+                out.append((n, v, start, day, 0))
+                continue
+            seen.add(n)
+        out.append((n, v, start, end, cur))
+    out += [(n, v, day, None, 1) for n, v in load.items() if n not in seen]
+    return sorted(out, key=repr)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    loads=st.lists(
+        st.dictionaries(st.sampled_from("abcde"), st.sampled_from(["1", "2", None]), min_size=1, max_size=5),
+        min_size=2, max_size=3,
+    ),
+    mode=st.sampled_from(["always", "on_change"]),
+)
+def test_scd2_equals_brute_force(spark, loads, mode):
+    state, schema = [], "n string, d string, start_date date, end_date date, is_current int"
+    for i, load in enumerate(loads):
+        day = dt.date(2024, 1, i + 1)
+        dim = spark.createDataFrame(state, schema)
+        merged = scd2_merge(dim, spark.createDataFrame(list(load.items()), "n string, d string"), "n", ["d"], str(day), mode)
+        expected = brute_merge(state, load.items(), day, mode)
+        state = rows(merged)
+        assert state == expected
+        assert len({r[0] for r in state if r[4] == 1}) == sum(r[4] for r in state)
+
+
 def test_scd2_repeated_names_in_a_load_open_one_version(spark):
     dim = open_versions(spark.createDataFrame([("a", "1")], "n string, d string"), "2024-01-01")
     load = spark.createDataFrame([("a", "2"), ("a", "3"), ("b", "1"), ("b", "1"), (None, "q")], "n string, d string")
@@ -299,6 +339,7 @@ def test_valid_event_date_window_top_n(spark):
     kept = date_window(ts, "t", "2024-01-03 08:00:00")
     assert [r[0].day for r in kept.orderBy("t").collect()] == [2, 3]
     assert "TakeOrderedAndProject" in plan(top_n(ts, [F.desc("t")], 2))
+    assert [r[0].day for r in recent(ts, "t").collect()] == [5, 4, 3, 2, 1]
 
 
 def test_match_terms_equals_the_expression(spark):
