@@ -43,10 +43,14 @@ def drop_any_null(df: DataFrame) -> DataFrame:
     return df.na.drop()
 
 
-def drop_any_blank(df: DataFrame) -> DataFrame:
-    """Drop rows where any column is null or, for text, only spaces: one conjunct, null tests first."""
-    tests = [F.col(c).isNotNull() for c in df.columns] + [F.trim(F.col(c)) != "" for c in _strings(df)]
-    return df.filter(reduce(and_, tests))
+def drop_any_blank(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Drop rows where a column is null or, for text, only spaces: one conjunct, null tests first.
+
+    All columns are tested unless ``cols`` names some.
+    """
+    cols = df.columns if cols is None else [c for c in cols if c in df.columns]
+    tests = [F.col(c).isNotNull() for c in cols] + [F.trim(F.col(c)) != "" for c in _strings(df, cols)]
+    return df.filter(reduce(and_, tests)) if tests else df
 
 
 def min_bound(df: DataFrame, col: str, value) -> DataFrame:

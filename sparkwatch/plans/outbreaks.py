@@ -166,8 +166,13 @@ def ingest(raw: DataFrame, as_of: AsOf = None, lineage: bool = True) -> DataFram
 
 def clean(bronze: DataFrame, rules: CleaningRules = CLEANING, as_of: AsOf = None) -> DataFrame:
     """Bronze to silver: strict quality, one row per key, lower bound, standard values, added columns."""
-    df = bronze if rules.legacy_order else rules.repaired(bronze)
-    df = drop_any_blank(df)
+    if rules.legacy_order:
+        df = drop_any_blank(bronze)
+    else:
+        # trimming and case neither make nor remove blanks: all columns but the filled one are tested as stored,
+        # so that their null tests reach the file scan
+        df = drop_any_blank(bronze, [c for c in bronze.columns if c != rules.fill_target])
+        df = drop_any_blank(rules.repaired(df), [rules.fill_target])
     if rules.key in df.columns:
         order = rules.winner() if rules.bound[0] in df.columns else []
         df = dedup(df, [rules.key], order)

@@ -126,6 +126,14 @@ def test_scan_reads_only_what_is_needed(spark, tmp_path):
     assert "GreaterThan(id,7)" in text
 
 
+def test_cleaning_pushes_null_tests_and_shuffles_once(spark, tmp_path):
+    write_csv(f"{tmp_path}/raw/a.csv", *GOLDEN)
+    write_layer(ingest(read_raw_csv(spark, f"{tmp_path}/raw/a.csv", RAW_SCHEMA), AS_OF), f"{tmp_path}/bronze", ["year"])
+    text = plan(clean(read_layer(spark, f"{tmp_path}/bronze"), as_of=AS_OF))
+    assert "PushedFilters: [IsNotNull(outbreak_id), IsNotNull(disease_name)" in text
+    assert text.count("Exchange") == 1 and text.count("WindowGroupLimit") == 2
+
+
 def test_dynamic_overwrite_replaces_only_its_partitions(spark, tmp_path):
     path = f"{tmp_path}/layer"
     write_layer(spark.createDataFrame([(1, 2000), (2, 2001)], "v int, year int"), path, ["year"])
