@@ -1,5 +1,5 @@
 from .batch import Layout, run_batch, run_bronze, run_gold, run_silver
-from .feed import feed_to_events
+from .feed import feed_page, feed_to_events
 from .live import run_alerts, update_rollup, warehouse_dims
 from .outbreaks import CLEANING, DISEASE_DIM, FACT, LOCATION_DIM, RAW_SCHEMA, CleaningRules, clean, ingest
 
@@ -12,6 +12,7 @@ __all__ = [
     "Layout",
     "RAW_SCHEMA",
     "clean",
+    "feed_page",
     "feed_to_events",
     "ingest",
     "run_alerts",

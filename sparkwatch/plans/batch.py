@@ -54,7 +54,13 @@ def run_bronze(
     bronze = ingest(read_raw_csv(spark, raw, RAW_SCHEMA), as_of)
     write_layer(bronze, out.bronze, ["year"])
     stored = read_layer(spark, out.bronze)
-    metrics = {"rows_count": stored.count(), "layer": "Bronze", "format": "Parquet", "partitions": "year"}
+    metrics = {
+        "rows_count": stored.count(),
+        "layer": "bronze",
+        "format": "parquet",
+        "partitions": "year",
+        "storage_path": out.bronze,
+    }
     write_metrics(spark, run_id, "bronze", metrics, out.metrics)
     return stored
 
@@ -120,7 +126,8 @@ def run_gold(
         "fact_outbreaks": read_layer(spark, out.fact_outbreaks),
     }
     metrics = {f"{name}_rows": df.count() for name, df in tables.items()}
-    write_metrics(spark, run_id, "gold", {**metrics, "scd2": scd_mode}, out.metrics)
+    notes = {"scd2": scd_mode, "key_strategy": "md5 of the natural key, the same for all versions", "write_mode": "by year"}
+    write_metrics(spark, run_id, "gold", {**metrics, **notes}, out.metrics)
     return tables
 
 

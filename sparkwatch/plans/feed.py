@@ -7,14 +7,34 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.matching import Lexicon
+from ..functions.matching import Lexicon, keyword_query
+from ..functions.text import text_of
 from ..functions.times import AsOf
+from ..operators.alerts import date_window, top_n
 from ..operators.dedup import dedup_either
 from ..session import ensure_checkpoint_dir
 from ..sinks.events import to_events
 from ..streaming.feed import filter_feed
 
 
+def feed_page(
+    articles: DataFrame,
+    query: Sequence[Sequence[str]],
+    as_of: AsOf = None,
+    days: int = 1,
+    n: int = 100,
+    tiebreak: Sequence[str] = ("url",),
+) -> DataFrame:
+    """One page as a feed would answer: articles of the last days that satisfy the keyword query, newest n.
+
+    Articles without a readable publish time are left out.
+    """
+    asked = articles.filter(keyword_query(text_of("title", "description"), query))
+    dated = asked.withColumn("__at", F.try_to_timestamp("published_at"))
+    newest = [F.col("__at").desc(), *[F.col(t).asc() for t in tiebreak]]
+    return top_n(date_window(dated, "__at", as_of, days), newest, n).drop("__at")
+
+
 def feed_to_events(
     articles: DataFrame,
     exclude: Lexicon | Sequence[str],

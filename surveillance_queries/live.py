@@ -9,6 +9,7 @@ from sparkwatch.functions import Lexicon, Pattern, hash_key
 from sparkwatch.operators import date_window, enrich_alerts, open_versions, outcome_stats, top_n
 from sparkwatch.operators.alerts import EntityRules, resolve_events
 from sparkwatch.operators.scd import current
+from sparkwatch.plans import feed_page as page_of
 from sparkwatch.plans import feed_to_events
 from sparkwatch.sinks import to_events
 from sparkwatch.sources import EventSource, decode_json
@@ -217,6 +218,23 @@ def recent_top(spark, sf):
     return top_n(docs.select("doc_id", "source", day.alias("published_on")), [F.desc("published_on"), F.asc("doc_id")], 100)
 
 
+ASKED = (("the", "von", "und"), ("ing", "ment", "lich"))
+
+
+@query(
+    f"""WITH articles AS ({ARTICLES}), bodies AS (SELECT *, {_TEXT} AS body FROM articles WHERE published_at <> 'zz'),
+        dated AS (SELECT *, {PUBLISHED} AS shown_at FROM bodies
+                  WHERE {" AND ".join("(" + " OR ".join(sql_contains("body", t) for t in g) + ")" for g in ASKED)})
+        SELECT md5(title) AS title_md5, source, published_at, url FROM dated
+        WHERE shown_at >= TIMESTAMP '2024-01-14 00:00:00' AND shown_at < TIMESTAMP '2024-01-16 00:00:00'
+        ORDER BY shown_at DESC, url LIMIT 100"""
+)
+def feed_page(spark, sf):
+    """The newest hundred of two days that satisfy the keyword query, the page size being the feature."""
+    page = page_of(articles(spark, sf), ASKED, "2024-01-15 12:00:00")
+    return page.select(F.md5("title").alias("title_md5"), "source", "published_at", "url")
+
+
 def payloads(spark, sf):
     """Article payloads, one per document: the article and a second one under its source's name.
 

@@ -4,8 +4,10 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from sparkwatch.session import shared_dir
+from sparkwatch.sources import read_layer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,8 +28,15 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
     return register
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given tables. Its footer is read for the schema only once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    df = read_layer(spark, path, _SCHEMAS.get(path))
+    _SCHEMAS.setdefault(path, df.schema)
+    return df
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
