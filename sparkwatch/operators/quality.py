@@ -87,14 +87,20 @@ def quality_funnel(
     a check after standardisation removes.
     """
     bound_col, bound_value = bound
-    null, blank = has_null(df), has_blank(df)
-    ok = ~null & ~blank
-    passes = F.coalesce(F.col(bound_col) >= F.lit(bound_value), F.lit(False))
     keys = [f"__key{i}" for i in range(len(key))]
+    # one projection tests the columns, the next combines the outcomes: each test is written once
+    tested = df.withColumns(
+        {
+            "__null": has_null(df),
+            "__blank": has_blank(df),
+            "__passes": F.coalesce(F.col(bound_col) >= F.lit(bound_value), F.lit(False)),
+        }
+    )
+    ok = ~F.col("__null") & ~F.col("__blank")
     flags = [
         *[F.when(ok, F.col(k)).alias(name) for name, k in zip(keys, key)],
-        null.alias("__null"),
-        (~null & blank).alias("__blank"),
+        F.col("__null"),
+        (~F.col("__null") & F.col("__blank")).alias("__blank"),
         ok.alias("__ok"),
     ]
     counts = [
@@ -105,13 +111,13 @@ def quality_funnel(
     ]
     if order_by is None and final_bad is None:
         # the greatest bound value passes exactly if any value of the key passes
-        rows = df.select(*flags, F.when(ok, passes).alias("__passes"))
+        rows = tested.select(*flags, F.when(ok, F.col("__passes")).alias("__passes"))
         per_key = rows.groupBy(*keys).agg(*counts, F.max("__passes").alias("wins"), F.lit(False).alias("bad"))
     else:
         order = total_order(df, [F.negative(F.col(bound_col))] if order_by is None else order_by)
         bad = F.lit(False) if final_bad is None else F.coalesce(final_bad, F.lit(False))
-        row = F.struct(F.struct(*order).alias("o"), passes.alias("p"), bad.alias("b"))
-        rows = df.select(*flags, F.when(ok, row).alias("__row"))
+        row = F.struct(F.struct(*order).alias("o"), F.col("__passes").alias("p"), bad.alias("b"))
+        rows = tested.select(*flags, F.when(ok, row).alias("__row"))
         per_key = rows.groupBy(*keys).agg(*counts, F.min("__row").alias("w"))
         per_key = per_key.withColumns({"wins": F.col("w.p"), "bad": F.col("w.b")})
     winner = F.col("n_ok") > 0

@@ -11,9 +11,8 @@ from sparkwatch.streaming.alerts import ALERT_KEY
 
 from .live import ALERTS, RESOLVED, alerts
 from .registry import query, table
-from .warehouse import DISEASES, FACTS, LOCATIONS, RECORDS, star
+from .warehouse import STAR, star
 
-STAR = f"records AS ({RECORDS}), locations AS ({LOCATIONS}), diseases AS ({DISEASES}), facts AS ({FACTS})"
 ROLLUP_DIMS = ["location_key", "disease_key"]
 
 

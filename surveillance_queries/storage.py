@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkwatch.functions import hash_key, year_month
+from sparkwatch.functions import year_month
 from sparkwatch.plans import Layout, run_batch
 from sparkwatch.plans.outbreaks import RAW_COLUMNS
 from sparkwatch.sinks import (
@@ -20,7 +20,6 @@ from sparkwatch.sinks import (
 from sparkwatch.sources import read_layer
 
 from .registry import query, table, work_dir
-from .warehouse import records
 
 AS_OF = "2024-02-01 06:00:00"
 
