@@ -236,9 +236,11 @@ def cascade(*matchers: Column) -> Column:
     return F.coalesce(*matchers)
 
 
-def keyword_query(text: Column, groups: Sequence[Sequence[str]], match: str = "substring") -> Column:
+def keyword_query(
+    text: Column, groups: Sequence[Sequence[str]], match: str = "substring", lowered: bool = False
+) -> Column:
     """(a OR b ...) AND (c OR d ...): at least one term of every group."""
-    return reduce(and_, [any_term(text, group, match) for group in groups], F.lit(True))
+    return reduce(and_, [any_term(text, group, match, lowered) for group in groups], F.lit(True))
 
 
 def relevance(
@@ -246,9 +248,10 @@ def relevance(
     exclude: Lexicon | Sequence[str],
     all_of: Sequence[Lexicon | Sequence[str]],
     match: str = "word",
+    lowered: bool = False,
 ) -> Column:
-    """False where an excluded term occurs; else true if every group has a term in the text."""
-    result = ~any_term(text, exclude, match)
-    for group in all_of:
-        result = result & any_term(text, group, match)
-    return result
+    """False where an excluded term occurs; else true if every group has a term in the text.
+
+    A filter works out what it tests anew for every term: lower long texts first and say ``lowered``.
+    """
+    return ~any_term(text, exclude, match, lowered) & keyword_query(text, all_of, match, lowered)

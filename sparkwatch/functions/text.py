@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 ACCENTED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
 FOLDED = "AAAAAACEEEEIIIINOOOOOUUUUY"
 
+# Every character that counts as whitespace.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -16,7 +22,7 @@ def _col(c: Column | str) -> Column:
 
 def strip_ws(c: Column | str) -> Column:
     """Strip every kind of leading and trailing whitespace (F.trim strips spaces only)."""
-    return F.regexp_replace(_col(c), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(_col(c), F.lit(WHITESPACE))
 
 
 def is_blank(c: Column | str) -> Column:

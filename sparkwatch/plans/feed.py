@@ -11,6 +11,7 @@ from ..functions.matching import Lexicon, keyword_query
 from ..functions.text import text_of
 from ..functions.times import AsOf
 from ..operators.alerts import date_window, top_n
+from ..operators.columns import computed_once
 from ..operators.dedup import dedup_either
 from ..session import ensure_checkpoint_dir
 from ..sinks.events import to_events
@@ -29,10 +30,11 @@ def feed_page(
 
     Articles without a readable publish time are left out.
     """
-    asked = articles.filter(keyword_query(text_of("title", "description"), query))
-    dated = asked.withColumn("__at", F.try_to_timestamp("published_at"))
+    dated = date_window(articles.withColumn("__at", F.try_to_timestamp("published_at")), "__at", as_of, days)
+    lowered = computed_once(dated, {"__lower": F.lower(text_of("title", "description"))})
+    asked = lowered.filter(keyword_query(F.col("__lower"), query, lowered=True)).drop("__lower")
     newest = [F.col("__at").desc(), *[F.col(t).asc() for t in tiebreak]]
-    return top_n(date_window(dated, "__at", as_of, days), newest, n).drop("__at")
+    return top_n(asked, newest, n).drop("__at")
 
 
 def feed_to_events(

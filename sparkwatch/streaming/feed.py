@@ -12,6 +12,7 @@ from ..functions.matching import Lexicon, relevance
 from ..functions.text import strip_ws, text_of
 from ..functions.times import AsOf
 from ..operators.alerts import valid_event
+from ..operators.columns import computed_once
 from ..operators.dedup import dedup_either
 from ..sinks.events import publish, to_events
 
@@ -23,8 +24,9 @@ def filter_feed(
     match: str = "word",
 ) -> DataFrame:
     """Valid and relevant articles with their titles stripped; works on batch and stream alike."""
-    relevant = relevance(text_of("title", "description"), exclude, all_of, match)
-    return valid_event(articles).filter(relevant).withColumn("title", strip_ws("title"))
+    rows = computed_once(valid_event(articles), {"__lower": F.lower(text_of("title", "description"))})
+    rows = rows.filter(relevance(F.col("__lower"), exclude, all_of, match, lowered=True)).drop("__lower")
+    return rows.withColumn("title", strip_ws("title"))
 
 
 def start_feed(

@@ -29,6 +29,7 @@ from sparkwatch.functions import (
     year_month,
 )
 from sparkwatch.functions import matching
+from sparkwatch.functions.text import WHITESPACE
 
 
 def values(spark, texts, *exprs):
@@ -42,6 +43,18 @@ def test_strip_ws_removes_all_whitespace_and_trim_only_spaces(spark):
     assert got == [("a b", "\t a b\n"), ("x", " x "), (None, None)]
 
 
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(st.text(alphabet="a é\t\n\x1f\x85\xa0\u2003\u3000\u200b", max_size=8), min_size=1, max_size=30))
+def test_strip_ws_strips_what_python_strips(spark, texts):
+    assert values(spark, texts, strip_ws("t")) == [t.strip() for t in texts]
+
+
+def test_whitespace_is_complete():
+    import sys
+
+    assert set(WHITESPACE) == {chr(c) for c in range(sys.maxunicode) if chr(c).isspace()}
+
+
 def test_text_of_keeps_the_separator(spark):
     df = spark.createDataFrame([("a", None), (None, "b"), (None, None)], "x string, y string")
     assert [r[0] for r in df.select(text_of("x", "y")).collect()] == ["a ", " b", " "]
