@@ -109,10 +109,16 @@ def _alternation(terms: Iterable[str]) -> str:
     return body + "?" if ends_here else body
 
 
-def _bounded(pattern: str, match: str) -> str:
+def _starts(terms: Iterable[str]) -> str:
+    """Look-ahead for a first letter of any term: it rules most places out before costlier tests."""
+    return "(?=[" + "".join(re.escape(c) for c in sorted({t[0] for t in terms})) + "])"
+
+
+def _bounded(pattern: str, terms: Iterable[str], match: str) -> str:
+    """The pattern with its boundaries; ``terms`` are what it can match, by their beginnings."""
     if match == "substring":
         return pattern
-    return f"(?<!{WORD_CHAR}){pattern}(?!{WORD_CHAR})"
+    return f"{_starts(terms)}(?<!{WORD_CHAR}){pattern}(?!{WORD_CHAR})"
 
 
 def _scans(terms: Sequence[str], match: str) -> bool:
@@ -140,7 +146,7 @@ def any_term(
     low = text if lowered else F.lower(text)
     if _scans(terms, match):
         return reduce(or_, [_occurs(low, t, match) for t in terms])
-    return low.rlike(_bounded(_alternation(terms), match))
+    return low.rlike(_bounded(_alternation(terms), terms, match))
 
 
 def _winner_at(terms: Sequence[str], match: str) -> list[int]:
@@ -174,12 +180,10 @@ def first_term(
         return F.coalesce(*[F.when(_occurs(low, t, match), F.lit(t)) for t in terms])
     # a look-ahead finds the longest term at every place, overlaps included
     trie = _alternation(terms)
-    starts = "[" + "".join(re.escape(c) for c in sorted({t[0] for t in terms})) + "]"
     if match == "substring":
         finder = f"(?=({trie}))"
     else:
-        # most places are ruled out by their first letter, before the costlier look-behind
-        finder = f"(?={starts})(?<!{WORD_CHAR})(?=({trie})(?!{WORD_CHAR}))"
+        finder = f"{_starts(terms)}(?<!{WORD_CHAR})(?=({trie})(?!{WORD_CHAR}))"
     found = F.array_distinct(F.regexp_extract_all(low, F.lit(finder), F.lit(1)))
     all_terms = F.array(*[F.lit(t) for t in terms])
     winners = F.array(*[F.lit(b + 1) for b in _winner_at(terms, match)])
@@ -205,7 +209,7 @@ def first_pattern(
     alternatives = "|".join(r"\s+".join(re.escape(t) for t in tokens) for tokens in ordered)
     searched = text if limit is None else F.substring(text, 1, limit)
     searched = searched if lowered else F.lower(searched)
-    found = F.regexp_extract(searched, _bounded(f"({alternatives})", "word"), 1)
+    found = F.regexp_extract(searched, _bounded(f"({alternatives})", (t[0] for t in ordered), "word"), 1)
     return F.nullif(F.regexp_replace(found, r"\s+", " "), F.lit(""))
 
 
