@@ -10,6 +10,8 @@ right-hand side has a proven bound and can be broadcast.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,25 +86,23 @@ def skew_join(
     rows = left.count()
     if rows < min_rows:
         return left.join(right, on, how)
-    hot = hot_keys(left, on, share, rows).na.drop(subset=on).withColumn("__hot", F.lit(True))
-    hot_right = right.join(F.broadcast(hot.drop("__hot")), on, "left_semi")
-    marked = left.join(F.broadcast(hot), on, "left")
-    hot_left = marked.filter(F.col("__hot").isNotNull()).drop("__hot")
-    cold_left = marked.filter(F.col("__hot").isNull()).drop("__hot")
-    null_key = F.lit(False)
-    for c in on:
-        null_key = null_key | F.col(c).isNull()
-    parts = [
-        cold_left.filter(~null_key).join(right, on, how),
-        hot_left.join(F.broadcast(hot_right), on, how),
-    ]
+    ensure_checkpoint_dir(left.sparkSession)
+    hot = hot_keys(left, on, share, rows).na.drop(subset=on).withColumn("__hot", F.lit(True)).checkpoint()
+    keyless = reduce(or_, [F.col(c).isNull() for c in on])
+    if hot.isEmpty():
+        cold = left
+        parts = []
+    else:
+        marked = left.join(F.broadcast(hot), on, "left")
+        cold = marked.filter(F.col("__hot").isNull()).drop("__hot")
+        hot_left = marked.filter(F.col("__hot").isNotNull()).drop("__hot")
+        hot_right = right.join(F.broadcast(hot.drop("__hot")), on, "left_semi")
+        parts = [hot_left.join(F.broadcast(hot_right), on, how)]
+    parts.insert(0, cold.filter(~keyless).join(right, on, how))
     # rows without a key cannot match; keep them out of the shuffle, where they would all meet in one task
     if how in ("left", "left_anti"):
-        parts.append(cold_left.filter(null_key))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part, allowMissingColumns=True)
-    return result
+        parts.append(cold.filter(keyless))
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
 def join_dim(
