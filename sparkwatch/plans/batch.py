@@ -30,6 +30,7 @@ TABLES = (
     "alert_stats",
     "alerts_latest",
     "alert_rollup",
+    "alert_rollup_parts",
 )
 
 # The sort key under which location rows replace each other.

@@ -12,11 +12,9 @@ from ..operators.alerts import EntityRules, load_dim_lookup
 from ..operators.rollups import build_rollup, merge_rollup
 from ..sinks.snapshots import read_snapshot, write_snapshot
 from ..sources.events import EventSource
-from ..streaming.alerts import AlertSink, start_alerts
+from ..streaming.alerts import ROLLUP_DIMS, AlertSink, start_alerts
 from .batch import Layout
 
-ROLLUP_DIMS = ("location_key", "disease_key")
-
 
 def warehouse_dims(spark: SparkSession, out: Layout) -> tuple[Callable[[], DataFrame], Callable[[], DataFrame]]:
     """Loaders of the current (disease_name, disease_key) and all (country, location_key)."""
@@ -48,7 +46,16 @@ def run_alerts(
 ) -> StreamingQuery:
     """Start the alert stream against the dimensions of a warehouse."""
     diseases, locations = warehouse_dims(spark, out)
-    sink = AlertSink(out.alerts, out.alert_stats, diseases, locations, disease_rules, country_rules, as_of)
+    sink = AlertSink(
+        out.alerts,
+        out.alert_stats,
+        diseases,
+        locations,
+        disease_rules,
+        country_rules,
+        as_of,
+        rollup_path=out.alert_rollup_parts,
+    )
     return start_alerts(spark, source, sink, checkpoint, trigger)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.times import AsOf, year_month
 from ..operators.alerts import OUTCOMES, EntityRules, outcome_stats, resolve_events, to_alert
 from ..operators.dedup import keep_latest
+from ..operators.rollups import build_rollup
 from ..sinks.layers import bloom_options, write_layer
 from ..sinks.snapshots import write_snapshot
 from ..sources.events import EVENT_SCHEMA, EventSource, decode_json, read_event_stream
@@ -37,6 +38,15 @@ ALERT_SCHEMA = T.StructType(
         T.StructField(ALERT_MONTH, T.IntegerType()),
     ]
 )
+ROLLUP_DIMS = ("location_key", "disease_key")
+ROLLUP_SCHEMA = T.StructType(
+    [
+        T.StructField("location_key", T.StringType()),
+        T.StructField("disease_key", T.StringType()),
+        T.StructField("alert_count", T.LongType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
 
 
 def dedup_stream(df: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
@@ -50,7 +60,8 @@ class AlertSink:
 
     The dimension loaders run for every micro-batch, so new keys are seen without a restart. A batch writes
     its own ``batch_id`` folder and replaces it when replayed; alert ids depend on content only, so a replay
-    brings no new ones. Outcomes and alerts are two reads of one persisted frame.
+    brings no new ones. Outcomes, alerts and their rollup are reads of one persisted frame. The rollup is kept
+    as one part per batch, which a replay replaces as well; ``read_rollup`` adds the parts up.
     """
 
     path: str
@@ -62,6 +73,7 @@ class AlertSink:
     as_of: AsOf = None
     fold: bool = False
     rows_per_file: int = 1_000_000
+    rollup_path: str | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         resolved = resolve_events(
@@ -79,6 +91,9 @@ class AlertSink:
             files = max(1, -(-stats["inserted"] // self.rows_per_file))
             spread = alerts.repartition(files, ALERT_MONTH, F.pmod(F.xxhash64("alert_id"), F.lit(files)))
             write_layer(spread, f"{self.path}/batch_id={batch_id}", [ALERT_MONTH], rebalance=False)
+            if self.rollup_path:
+                part = build_rollup(alerts, ROLLUP_DIMS).coalesce(files)
+                part.write.mode("overwrite").parquet(f"{self.rollup_path}/batch_id={batch_id}")
         finally:
             resolved.unpersist()
 
@@ -103,6 +118,12 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ALERT_SCHEMA).parquet(path)
 
 
+def read_rollup(spark: SparkSession, path: str) -> DataFrame:
+    """Alert counts by location and disease over all batches."""
+    parts = spark.read.schema(ROLLUP_SCHEMA).parquet(path)
+    return build_rollup(parts, ROLLUP_DIMS, {"alert_count": F.sum("alert_count")})
+
+
 def read_stats(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from sparkwatch.functions import Lexicon, Pattern, hash_key
-from sparkwatch.operators import enrich_alerts, outcome_stats
+from sparkwatch.operators import build_rollup, enrich_alerts, outcome_stats
 from sparkwatch.operators.alerts import EntityRules, resolve_events
 from sparkwatch.sinks import read_snapshot
 from sparkwatch.sources import EventSource, decode_json, read_event_stream, read_events, stream_article_feed
-from sparkwatch.streaming import AlertSink, compact_alerts, dedup_stream, read_alerts, read_stats, start_alerts, start_feed
+from sparkwatch.streaming import AlertSink, compact_alerts, dedup_stream, read_alerts, read_rollup, read_stats, start_alerts, start_feed
 
 AS_OF = "2024-02-01 00:00:00"
 DISEASES = EntityRules(
@@ -58,7 +58,10 @@ def put(folder, name, events):
 
 
 def sink(dims, root):
-    return AlertSink(f"{root}/alerts", f"{root}/stats", lambda: dims[0], lambda: dims[1], DISEASES, COUNTRIES, AS_OF)
+    return AlertSink(
+        f"{root}/alerts", f"{root}/stats", lambda: dims[0], lambda: dims[1], DISEASES, COUNTRIES, AS_OF,
+        rollup_path=f"{root}/rollup",
+    )
 
 
 def run(spark, dims, root):
@@ -105,7 +108,11 @@ def test_replayed_batch_replaces_itself(spark, dims, tmp_path):
     alerts = read_alerts(spark, f"{root}/alerts")
     assert alerts.count() == 4 and alerts.select("alert_id").distinct().count() == 4
     write(df.filter("url = 'u6'"), 8)  # a batch without alerts
-    assert read_alerts(spark, f"{root}/alerts").count() == 4
+    write(df.filter("url = 'u2'"), 9)
+    assert rows(read_rollup(spark, f"{root}/rollup")) == rows(
+        build_rollup(read_alerts(spark, f"{root}/alerts"), ["location_key", "disease_key"])
+    )
+    assert read_alerts(spark, f"{root}/alerts").filter("batch_id < 9").count() == 4
     assert read_stats(spark, f"{root}/stats").filter("batch_id = 8").first()["no_disease"] == 1
 
 
