@@ -35,6 +35,8 @@ def estimated_bytes(df: DataFrame) -> int:
 
 def _auto_broadcast_bytes(df: DataFrame) -> int:
     raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if raw.startswith("-"):  # switched off
+        return -1
     return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(raw))
 
 

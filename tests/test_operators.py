@@ -214,11 +214,12 @@ def test_hot_keys_are_bounded(skewed):
     assert hot_keys(left, ["k"], 0.01).count() <= 100
 
 
-def test_large_dimension_is_not_broadcast(spark, skewed):
+@pytest.mark.parametrize("threshold", ["0", "-1", "1b"])
+def test_large_dimension_is_not_broadcast(spark, skewed, threshold):
     left, right = skewed
     conf = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(conf)
-    spark.conf.set(conf, "0")
+    spark.conf.set(conf, threshold)
     try:
         assert fits_broadcast(right, max_rows=100) and not fits_broadcast(right, max_rows=10)
         assert not fits_broadcast(right, max_bytes=100)
