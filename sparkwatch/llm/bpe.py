@@ -148,7 +148,7 @@ class Encoder:
         return out
 
     def learn_words(self, words: set[str]) -> None:
-        todo = list(words - self.words.keys())
+        todo = [w for w in words if w not in self.words]
         self.words.update(zip(todo, self.model.encode_words([w.encode() for w in todo]), strict=True))
 
     def learn_pieces(self, pieces: list[str]) -> None:
@@ -174,8 +174,8 @@ class Encoder:
                 if kind == "pieces":
                     heads.add(parts[0])
                     rest.update(parts[1:])
-        edged = {p for p in rest - self.pieces.keys() if p != p.strip() or not p}
-        edged_heads = {p for p in heads - self.heads.keys() if p != p.strip() or not p}
+        edged = {p for p in rest if p not in self.pieces and (p != p.strip() or not p)}
+        edged_heads = {p for p in heads if p not in self.heads and (p != p.strip() or not p)}
         if edged or edged_heads:
             for plan in plans:
                 for i, (kind, parts) in enumerate(plan):
@@ -184,15 +184,15 @@ class Encoder:
                         words.update(plan[i][1])
             rest -= edged
             heads -= edged_heads
-        known = rest & self.pieces.keys()
-        if len(self.pieces) + len(rest) - len(known) > self.limit:
-            self.pieces = {p: self.pieces[p] for p in known}
+        fresh = [p for p in rest if p not in self.pieces]
+        if len(self.pieces) + len(fresh) > self.limit:
+            self.pieces = {p: self.pieces[p] for p in rest.difference(fresh)}
         if len(self.heads) > self.limit:
             self.heads = {}
         if len(self.words) > self.limit:
             self.words = {}
-        self.learn_pieces(list(rest - known))
-        new_heads = {p: self.split(p) for p in heads - self.heads.keys()}
+        self.learn_pieces(fresh)
+        new_heads = {p: self.split(p) for p in heads if p not in self.heads}
         self.learn_words(words.union(*new_heads.values()))
         ids_of = self.words.__getitem__
         self.heads.update((p, self.render(b"".join(map(ids_of, ws)))) for p, ws in new_heads.items())

@@ -12,6 +12,8 @@ from .bpe import round_trip
 from .common import read_table
 from .exact import exact_duplicates
 from .packing import pack_tokens
+from .pii import find_personal_data
+from .quality import score_quality
 from .simhash import near_duplicates
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -50,3 +52,22 @@ ORACLES["op4_exact_dedup"] = """
 @query
 def op6_batched_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read_table(spark, sf_dir, "documents"), TOKENIZER).withColumnRenamed("id", "doc_id")
+
+
+def id_remainder(by: int) -> F.Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % by
+
+
+@query
+def op7_nb_svm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").filter(id_remainder(5) != 0)
+    scored = score_quality(docs, labels)
+    return scored.select(
+        "doc_id", (id_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+@query
+def op10_disclosure_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
