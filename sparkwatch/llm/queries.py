@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import round_trip
+from .brown import score_texts
 from .common import read_table
 from .exact import exact_duplicates
+from .knn import top_k
 from .packing import pack_tokens
 from .pii import find_personal_data
 from .quality import score_quality
@@ -71,3 +73,31 @@ def op7_nb_svm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_disclosure_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op8_brown_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_texts(docs, id_remainder(7) != 2)
+    return scored.select(
+        F.col("id").alias("doc_id"), (~F.col("in_training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
+@query
+def op9_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+ORACLES["op9_voronoi_top_k"] = """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(q.v, d.v) AS BIGINT) AS score
+        FROM v AS q JOIN v AS d ON q.vec_id % 100 = 0 AND q.vec_id <> d.vec_id
+    )
+    SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score FROM scored
+    WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+    QUALIFY row_number() OVER best <= 10
+"""
