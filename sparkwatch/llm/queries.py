@@ -16,7 +16,9 @@ from .knn import top_k
 from .packing import pack_tokens
 from .pii import find_personal_data
 from .quality import score_quality
+from .secrets import scan_secrets
 from .simhash import near_duplicates
+from .substring import repeated_passages
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +103,13 @@ ORACLES["op9_voronoi_top_k"] = """
     WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
     QUALIFY row_number() OVER best <= 10
 """
+
+
+@query
+def op2_compact_window_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op5_forest_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
