@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sparkwatch.session import ensure_checkpoint_dir, shared_dir
 
 CHUNK_CHARS = 2_000_000  # of text that a task holds decoded at once (one longer text is a chunk of its own)
+BITMAP_BITS = 1 << 27  # 16 MB, the bound of a broadcast bitmap
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +50,35 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tu
             yield batch.slice(start), column.slice(start).to_pylist()
 
 
+def slot_of(key: str) -> F.Column:
+    return F.pmod(F.xxhash64(key), F.lit(BITMAP_BITS))
+
+
+def bitmap_of(df: DataFrame, key: str) -> DataFrame:
+    """(block, bits): a bitmap of the keys by hash, of bounded size whatever the data."""
+    slots = df.select(slot_of(key).alias("slot"))
+    return slots.groupBy(F.bitmap_bucket_number("slot").alias("block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
+    )
+
+
+def marked(df: DataFrame, key: str, bitmap: DataFrame) -> DataFrame:
+    """``df`` with a column ``__hit``: false only if the key is not among those of the bitmap."""
+    slotted = df.withColumn("__slot", slot_of(key)).withColumn("__block", F.bitmap_bucket_number("__slot"))
+    named = F.broadcast(bitmap.select(F.col("block").alias("__block"), F.col("bits").alias("__bits")))
+    place = F.bitmap_bit_position("__slot")
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    hit = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
+    return slotted.join(named, "__block", "left").withColumn("__hit", hit).drop("__slot", "__block", "__bits")
+
+
+def without(df: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose key is not in ``gone``. Only rows that a bitmap takes for gone are moved to be compared."""
+    seen = marked(df, key, bitmap_of(gone, key))
+    kept = seen.filter(~F.col("__hit") | F.col(key).isNull())
+    return kept.unionByName(seen.filter("__hit").join(gone.select(key), key, "left_anti")).select(df.columns)
+
+
 def unsigned_hex(column) -> F.Column:
     """A long as 16 lowercase hex digits of its 64 bits."""
     return F.lower(F.lpad(F.hex(column), 16, "0"))

@@ -16,11 +16,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import bitmap_of, marked, stored, without
 
 CAPACITY = 100_000  # distinct hashes of a bucket
 MAX_BUCKETS = 1 << 14  # the directory stays within this; beyond it buckets grow with the data
-SEEN_BITS = 1 << 27  # of the bitmap that tells which texts have to be compared (16 MB, whatever the data)
 
 
 def hash_of(text: F.Column, hash_bits: int) -> F.Column:
@@ -61,26 +60,6 @@ def bucket_of(h: F.Column, buckets: list[tuple[int, int]], hash_bits: int) -> F.
     return F.element_at(F.lit(slots), (F.shiftrightunsigned(h, hash_bits - depth) + 1).cast("int"))
 
 
-def seen_again(keys: DataFrame) -> DataFrame:
-    """(block, bits): a bitmap of the hashes that came up more than once. Of bounded size; a false hit costs a comparison."""
-    slot = F.pmod(F.xxhash64("h"), F.lit(SEEN_BITS))
-    return (
-        keys.filter("n > 1")
-        .select(slot.alias("slot"))
-        .groupBy(F.bitmap_bucket_number("slot").alias("block"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
-    )
-
-
-def in_bitmap(df: DataFrame, bitmap: DataFrame) -> DataFrame:
-    """Rows of ``df`` (with h) whose bit is set."""
-    slotted = df.withColumn("slot", F.pmod(F.xxhash64("h"), F.lit(SEEN_BITS)))
-    found = slotted.withColumn("block", F.bitmap_bucket_number("slot")).join(F.broadcast(bitmap), "block")
-    place = F.bitmap_bit_position("slot")
-    byte = F.conv(F.hex(F.substring("bits", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
-    return found.filter(F.getbit(byte, (place % 8).cast("int")) == 1).drop("slot", "block", "bits")
-
-
 def exact_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_bits: int = 64, capacity: int = CAPACITY
 ) -> DataFrame:
@@ -94,7 +73,8 @@ def exact_duplicates(
 
     # equal bytes collapse in the scanning task, then with the owner of the key range; what is left of a hash is its chain
     chains = stored(
-        in_bitmap(docs, seen_again(index))
+        marked(docs, "h", bitmap_of(index.filter("n > 1"), "h"))
+        .filter("__hit")
         .groupBy(bucket_of(F.col("h"), buckets, hash_bits).alias("bucket"), "h", "text")
         .agg(F.count(F.lit(1)).alias("group_size"), F.max("id").alias("keep_id"))
         .withColumn("texts", F.count(F.lit(1)).over(Window.partitionBy("bucket", "h")))
@@ -123,3 +103,9 @@ def finish_rows(rows: DataFrame) -> DataFrame:
         (F.col("id") == keep).alias("kept"),
         F.col("sha").alias("text_sha256"),
     )
+
+
+def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``df`` with the largest id of each group of equal texts."""
+    gone = exact_duplicates(df, id_col, text_col).filter(~F.col("kept")).select(F.col("id").alias(id_col))
+    return without(df, stored(gone, "exact-gone"), id_col)

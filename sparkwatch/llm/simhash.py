@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, chunks, stored, unsigned_hex
+from .common import checkpointed, chunks, stored, unsigned_hex, without
 from .components import connected_components
 
 BITS = 64
@@ -282,3 +282,12 @@ def near_duplicates(
     return rows.join(by_fp, "fp").select(
         "id", unsigned_hex(F.col("fp")).alias("fingerprint"), "component_id", "component_size"
     )
+
+
+def drop_near_duplicates(
+    df: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``df`` with one row of each component, that of the smallest id."""
+    found = near_duplicates(df, shingle, max_bits, id_col, text_col)
+    gone = found.filter(F.col("id") != F.col("component_id")).select(F.col("id").alias(id_col))
+    return without(df, stored(gone, "near-gone"), id_col)
