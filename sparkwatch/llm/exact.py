@@ -7,7 +7,7 @@ ranges of the directory. Hashes with one entry need no comparison. The texts of
 ones collapse within the scanning task already, and what is left of a hash forms a chain of different texts. Where a chain
 has several texts, its documents are told apart by their bytes.
 
-Defined results: a null text counts as empty; of repeated ids each row is one document; an empty table gives no rows;
+Defined results: a null text counts as empty; a null id stays where no other id has the text; of repeated ids each row is one document; an empty table gives no rows;
 further columns are ignored.
 """
 
@@ -100,7 +100,7 @@ def finish_rows(rows: DataFrame) -> DataFrame:
         "id",
         keep.alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        (F.col("id") == keep).alias("kept"),
+        F.col("id").eqNullSafe(keep).alias("kept"),
         F.col("sha").alias("text_sha256"),
     )
 

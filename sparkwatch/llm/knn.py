@@ -34,7 +34,7 @@ def integer_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int) ->
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
     ok = v.isNotNull() & ~F.coalesce(bad, F.lit(False))
     return df.filter(ok & F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v")
+        F.col(id_col).cast("long").alias("id"), F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v")
     )
 
 

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .bpe import id_encoder
 from .common import chunks
@@ -157,9 +158,10 @@ def pack_tokens(
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*rows, strict=True))
         return pa.record_batch(
-            [pa.array(columns[0]), *(pa.array(np.array(c, np.int64)) for c in columns[1:])],
+            [pa.array(columns[0], id_type), *(pa.array(np.array(c, np.int64)) for c in columns[1:])],
             "doc_id start length ids_crc32 doc_tokens sequence_id offset sequence_tokens".split(),
         )
 
     kind = df.schema[id_col].dataType.simpleString()
+    id_type = to_arrow_type(df.schema[id_col].dataType)
     return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(task, SCHEMA.format(id=kind))

@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import chunks, stored
 
@@ -206,11 +207,12 @@ def term_spans(df: DataFrame, id_col: str, text_col: str, packed: np.ndarray) ->
             if rows:
                 a, b, c, d = zip(*rows, strict=True)
                 yield pa.record_batch(
-                    [pa.array(a), pa.array(b, pa.string()), pa.array(c, pa.int64()), pa.array(d, pa.int64())],
+                    [pa.array(a, id_type), pa.array(b, pa.string()), pa.array(c, pa.int64()), pa.array(d, pa.int64())],
                     ["id", "term", "start", "end"],
                 )
 
     kind = df.schema[id_col].dataType.simpleString()
+    id_type = to_arrow_type(df.schema[id_col].dataType)
     return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         task, f"id {kind}, term string, start long, end long"
     )

@@ -153,7 +153,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
             yield pa.record_batch([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["label", "features"])
 
     # at most `sample` rows of two numbers
-    rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id")).select("label", F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("text"))
+    rows = texts.join(F.broadcast(chosen), F.col("__doc") == F.col("__id")).select("label", "text")
     learned = stored(rows.mapInArrow(task, "label int, features array<int>"), "quality-sample")
     totals = {r["label"]: r["n"] for r in learned.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     size = 1 << bits

@@ -93,8 +93,8 @@ def op9_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op9_voronoi_top_k"] = """
     WITH v AS (
-        SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS v FROM embeddings
-        WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     ), scored AS (
         SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(q.v, d.v) AS BIGINT) AS score
         FROM v AS q JOIN v AS d ON q.vec_id % 100 = 0 AND q.vec_id <> d.vec_id
