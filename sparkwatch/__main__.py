@@ -61,6 +61,7 @@ def main(argv: list[str] | None = None) -> None:
     feed.add_argument("--feed", required=True, help="folder of payload files")
     feed.add_argument("--out", required=True, help="folder of event files")
     feed.add_argument("--exclude", help="lexicon table of excluded terms")
+    feed.add_argument("--multi-line", action="store_true", help="a payload per file, over many lines")
     feed.add_argument("--all-of", nargs="+", help="lexicon tables, one term of each must occur")
 
     alerts = jobs.add_parser("alerts", help="events to alerts")
@@ -81,6 +82,7 @@ def main(argv: list[str] | None = None) -> None:
 
     compact = jobs.add_parser("compact", help="latest alert per key, and the rollup of all alerts")
     compact.add_argument("--root", required=True, help="warehouse folder")
+    compact.add_argument("--retire", action="store_true", help="remove batches that the snapshot before holds already")
 
     args = parser.parse_args(argv)
     spark = build_session(f"sparkwatch-{args.job}")
@@ -89,7 +91,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "feed":
         groups = starter.RELEVANT if args.all_of is None else [load_lexicon(_table(spark, p)) for p in args.all_of]
         exclude = _terms(spark, args.exclude, starter.IRRELEVANT)
-        articles = stream_article_feed(spark, args.feed)
+        articles = stream_article_feed(spark, args.feed, args.multi_line)
         start_feed(
             articles, exclude, groups, args.checkpoint, args.out, match=args.match, trigger=args.trigger
         ).awaitTermination()
@@ -102,7 +104,7 @@ def main(argv: list[str] | None = None) -> None:
         ).awaitTermination()
     else:
         out = Layout(args.root)
-        compact_alerts(spark, out.alerts, out.alerts_latest)
+        compact_alerts(spark, out.alerts, out.alerts_latest, retire=args.retire)
         # compaction can take rows away, so this rollup starts over from the compacted table
         write_snapshot(build_rollup(read_snapshot(spark, out.alerts_latest), list(ROLLUP_DIMS)), out.alert_rollup)
 

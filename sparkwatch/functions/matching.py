@@ -9,6 +9,7 @@ however many terms there are. Two ways to match a term:
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
@@ -46,10 +47,13 @@ class Pattern:
 
 
 class Lexicon:
-    """Terms in priority order; lower-cased, and a repeated term counts at its best place only."""
+    """Terms by priority, then by name; lower-cased, and a repeated term counts at its best place only."""
 
     def __init__(self, terms: Iterable[Term], longest_first: bool = False):
-        order = (lambda t: (t.priority, -len(t.term))) if longest_first else (lambda t: t.priority)
+        def order(t: Term):
+            text = t.term.strip().lower()
+            return (t.priority, -len(text) if longest_first else 0, text)
+
         kept: dict[str, Term] = {}
         for t in sorted(terms, key=order):
             text = t.term.strip().lower()
@@ -94,6 +98,9 @@ def _check_mode(match: str) -> None:
 
 def _alternation(terms: Iterable[str]) -> str:
     """One pattern for all terms, shared beginnings folded; it prefers the longest term at a place."""
+    terms = list(terms)
+    if len(shared := os.path.commonprefix(terms)) > 1:  # a beginning of all terms needs no level of its own
+        return re.escape(shared) + _alternation([t[len(shared) :] for t in terms])
     branches: dict[str, list[str]] = {}
     ends_here = False
     for t in terms:
@@ -185,8 +192,9 @@ def first_term(
     else:
         finder = f"{_starts(terms)}(?<!{WORD_CHAR})(?=({trie})(?!{WORD_CHAR}))"
     found = F.array_distinct(F.regexp_extract_all(low, F.lit(finder), F.lit(1)))
-    all_terms = F.array(*[F.lit(t) for t in terms])
-    winners = F.array(*[F.lit(b + 1) for b in _winner_at(terms, match)])
+    # one literal each, however many terms there are
+    all_terms = F.split(F.lit("\x00".join(terms)), "\x00")
+    winners = F.expr(f"array({','.join(str(b + 1) for b in _winner_at(terms, match))})")
     ranks = F.transform(found, lambda t: F.get(winners, (F.array_position(all_terms, t) - 1).cast("int")))
     return F.get(all_terms, F.array_min(ranks) - 1)
 
@@ -202,7 +210,7 @@ def first_pattern(
 
     ``limit`` looks at the first so many characters only; by default the whole text is searched.
     """
-    wanted = {p.tokens for p in patterns if label is None or p.label == label}
+    wanted = {p.tokens for p in patterns if any(t.strip() for t in p.tokens) and (label is None or p.label == label)}
     if not wanted:
         return F.lit(None).cast("string")
     ordered = sorted(wanted, key=lambda tokens: (-len(" ".join(tokens)), tokens))

@@ -20,10 +20,15 @@ def apply_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     return df.withColumns(changes)
 
 
+def kept_by_cast_back(source: T.DataType, target: T.DataType) -> bool:
+    """Whether casting back tells that a value was changed. Text is left out: many texts stand for one value."""
+    return not isinstance(source, (T.StringType, T.NullType)) and source != target
+
+
 def conform(df: DataFrame, schema: T.StructType, lengths: Mapping[str, int] | None = None) -> DataFrame:
     """Cast to ``schema`` without failing, and list in ``reject_reasons`` what does not fit.
 
-    A row does not fit if a value is lost by the cast, a non-nullable column is null, or a fixed-length text
+    A row does not fit if a value is lost or changed by the cast (cast back, it must be the same), a non-nullable column is null, or a fixed-length text
     column (``lengths``) has another length. Missing columns are added as nulls. The list is empty for good
     rows: filter on it with ``rejects`` or keep the rest.
     """
@@ -34,6 +39,8 @@ def conform(df: DataFrame, schema: T.StructType, lengths: Mapping[str, int] | No
     checks: list[Column] = []
     for f in schema.fields:
         lost = source[f.name].isNotNull() & typed[f.name].isNull()
+        if f.name in have and kept_by_cast_back(df.schema[f.name].dataType, f.dataType):
+            lost = lost | ~typed[f.name].try_cast(df.schema[f.name].dataType).eqNullSafe(source[f.name])
         checks.append(F.when(lost, F.lit(f"{f.name}: not a {f.dataType.simpleString()}")))
         if not f.nullable:
             checks.append(F.when(source[f.name].isNull(), F.lit(f"{f.name}: missing")))

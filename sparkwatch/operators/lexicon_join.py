@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.matching import WORD_CHAR
+from ..functions.text import strip_ws
 from .columns import computed_once
 from .joins import join_dim
 
@@ -43,7 +44,8 @@ def match_terms(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, m
     ``max_words`` words. The winner is the same as that of ``first_term`` in word mode.
     """
     terms = (
-        lexicon.select(F.lower(F.trim("term")).alias("gram"), "priority")
+        lexicon.select(F.lower(strip_ws("term")).alias("gram"), "priority")
+        .filter("gram <> ''")
         .groupBy("gram")
         .agg(F.min("priority").alias("priority"))
     )

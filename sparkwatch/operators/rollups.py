@@ -7,7 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .dedup import dedup
 from .joins import join_dim
+from .scd import CURRENT, START, current
 
 
 def build_rollup(df: DataFrame, dims: Sequence[str], aggs: Mapping[str, Column] | None = None) -> DataFrame:
@@ -23,23 +25,30 @@ def merge_rollup(old: DataFrame, delta: DataFrame, dims: Sequence[str]) -> DataF
     return union.groupBy(*dims).agg(*[F.sum(m).cast(old.schema[m].dataType).alias(m) for m in measures])
 
 
+def one_per_key(dim: DataFrame, key: str) -> DataFrame:
+    """The row that stands for each key: of the current versions, the one of the last load."""
+    rows = current(dim) if CURRENT in dim.columns else dim
+    return dedup(rows, [key], [F.desc(c) for c in ("load_seq", START) if c in dim.columns])
+
+
 def trend_by_year(
     fact: DataFrame, dims: Sequence[tuple[DataFrame, str]], by: Sequence[str], year: str, measure: str
 ) -> DataFrame:
     """Yearly totals by dimension attributes.
 
-    The fact is aggregated per key first, so only (year, key) groups meet the dimensions.
+    The fact is aggregated per key first, so only (year, key) groups meet the dimensions. Of a dimension with
+    history each key counts once, by its current version.
     """
     keys = [k for _, k in dims]
     small = fact.groupBy(year, *keys).agg(F.sum(measure).alias("__m"))
     for dim, key in dims:
-        small = join_dim(small, dim.select(key, *[c for c in by if c in dim.columns]), [key], derived=True)
+        small = join_dim(small, one_per_key(dim, key).select(key, *[c for c in by if c in dim.columns]), [key], derived=True)
     return small.groupBy(year, *by).agg(F.sum("__m").alias(measure))
 
 
 def geo_totals(fact: DataFrame, location: DataFrame, key: str, by: Sequence[str], measure: str) -> DataFrame:
     small = fact.groupBy(key).agg(F.sum(measure).alias("__m"))
-    return join_dim(small, location.select(key, *by), [key], derived=True).groupBy(*by).agg(F.sum("__m").alias(measure))
+    return join_dim(small, one_per_key(location, key).select(key, *by), [key], derived=True).groupBy(*by).agg(F.sum("__m").alias(measure))
 
 
 def alerts_against_history(

@@ -7,14 +7,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.times import AsOf
 from ..operators.dedup import keep_latest
 from ..operators.scd import open_versions, scd2_merge
 from ..operators.star import build_dim, build_fact
-from ..sinks.layers import bloom_options, write_layer
+from ..session import ensure_checkpoint_dir
+from ..sinks.layers import bloom_options, insert_new, write_layer
 from ..sinks.metrics import write_metrics
-from ..sinks.snapshots import next_version, read_snapshot, write_snapshot
+from ..sinks.snapshots import next_version, path_exists, read_snapshot, write_snapshot
 from ..sources.layers import read_layer, read_raw_csv
 from .outbreaks import CLEANING, DISEASE_DIM, FACT, LOCATION_DIM, RAW_SCHEMA, CleaningRules, clean, cleaning_funnel, ingest
 
@@ -37,6 +39,19 @@ TABLES = (
 LOCATION_KEY = ("region_code", "country", "location_key")
 
 
+FACT_SCHEMA = T.StructType(
+    [
+        T.StructField("outbreak_id", T.StringType()),
+        T.StructField("location_key", T.StringType()),
+        T.StructField("disease_key", T.StringType()),
+        T.StructField("don_id", T.StringType()),
+        T.StructField("outbreak_count", T.IntegerType()),
+        T.StructField("ingestion_timestamp", T.TimestampType()),
+        T.StructField("report_year", T.IntegerType()),
+    ]
+)
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where the tables of one warehouse live."""
@@ -86,9 +101,9 @@ def run_gold(
     scd_mode: str = "on_change",
     run_id: str = "manual",
 ) -> dict[str, DataFrame]:
-    """Dimensions as new snapshots, facts by year.
+    """Dimensions as new snapshots; facts that are not stored yet are appended to their years.
 
-    Facts are keyed by hash and written by overwriting whole years, so a repeated run adds nothing. The
+    Facts are keyed by hash, so a repeated run adds nothing and a partial load takes nothing away. The
     dimensions are built from the same silver rows, so fact keys are computed and nothing is joined.
     """
     silver = read_layer(spark, out.silver)
@@ -113,21 +128,26 @@ def run_gold(
     write_snapshot(versions, out.dim_disease, ["start_year"])
 
     fact = build_fact(silver, [(None, LOCATION_DIM), (None, DISEASE_DIM)], FACT, as_of)
+    if path_exists(spark, out.fact_outbreaks):
+        fact = insert_new(fact, read_layer(spark, out.fact_outbreaks, FACT_SCHEMA), FACT.key, "report_year")
+        # the load is compared with what is stored, so it is worked out before the append begins
+        ensure_checkpoint_dir(spark)
+        fact = fact.checkpoint()
     write_layer(
         fact,
         out.fact_outbreaks,
         ["report_year"],
-        dynamic=True,
+        mode="append",
         options=bloom_options(["disease_key", "location_key"]),
     )
 
     tables = {
         "dim_location": read_snapshot(spark, out.dim_location),
         "dim_disease": read_snapshot(spark, out.dim_disease),
-        "fact_outbreaks": read_layer(spark, out.fact_outbreaks),
+        "fact_outbreaks": read_layer(spark, out.fact_outbreaks, FACT_SCHEMA),
     }
     metrics = {f"{name}_rows": df.count() for name, df in tables.items()}
-    notes = {"scd2": scd_mode, "key_strategy": "md5 of the natural key, the same for all versions", "write_mode": "by year"}
+    notes = {"scd2": scd_mode, "key_strategy": "md5 of the natural key, the same for all versions", "write_mode": "append of new keys"}
     write_metrics(spark, run_id, "gold", {**metrics, **notes}, out.metrics)
     return tables
 

@@ -15,6 +15,8 @@ DEFAULTS = {
     # rn = 1 filters over ranking windows are cut down to one row per key before the shuffle
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
     "spark.sql.parquet.aggregatePushdown": "true",
+    # a standing stream checkpoints in every batch: files go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

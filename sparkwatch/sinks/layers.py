@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
+
+from ..operators.dedup import dedup
+
+MAX_PRUNED = 1_000  # partition values of a load that are put into a scan's filter
 
 
 def with_partition_col(df: DataFrame, name: str, expr: Column) -> DataFrame:
@@ -65,27 +70,39 @@ def append_table(
     path: str | None = None,
     jdbc: Mapping[str, str] | None = None,
     batch_size: int = 5000,
-) -> None:
-    """Append to a catalog table, a Parquet path, or over JDBC in batches of ``batch_size`` rows.
+    partition_by: Sequence[str] = (),
+) -> int:
+    """Append to a catalog table, a Parquet path, or over JDBC in batches of ``batch_size`` rows; the rows appended.
 
-    The executors write; nothing passes through the driver.
+    The executors write and the count is observed on the way; nothing passes through the driver.
     """
+    seen = Observation()
+    df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if jdbc is not None:
         options = {"batchsize": str(batch_size), **({"dbtable": table} if table else {}), **jdbc}
         df.write.format("jdbc").mode("append").options(**options).save()
     elif path is not None:
-        df.write.mode("append").parquet(path)
+        df.write.mode("append").partitionBy(*partition_by).parquet(path)
     elif table is not None:
-        df.write.mode("append").format("parquet").saveAsTable(table)
+        df.write.mode("append").partitionBy(*partition_by).format("parquet").saveAsTable(table)
     else:
         raise ValueError("give a table, a path or JDBC options")
+    return seen.get["rows"]
 
 
 def insert_new(df: DataFrame, existing: DataFrame, key: str, partition: str | None = None) -> DataFrame:
-    """The rows whose key is not stored yet, for an append that can be repeated.
+    """The rows whose key is not stored yet, one per key, for an append that can be repeated.
 
-    Only the key is read from the stored table; where ``partition`` is a function of the key, naming it
-    lets Spark skip the partitions the load does not touch.
+    Only the key is read from the stored table. Where ``partition`` is a function of the key, its values in the
+    load (if they are few) restrict the stored side, so that the scan skips all other partitions. Rows without a
+    key are always new and are not joined.
     """
-    on = [key] if partition is None else [partition, key]
-    return df.join(existing.select(*on), on, "left_anti").select(*df.columns)
+    keyed = dedup(df.filter(F.col(key).isNotNull()), [key], [])
+    on = [key]
+    if partition is not None:
+        on = [partition, key]
+        values = [r[0] for r in df.select(partition).distinct().limit(MAX_PRUNED + 1).collect()]
+        if len(values) <= MAX_PRUNED:
+            existing = existing.filter(F.col(partition).isin([v for v in values if v is not None]))
+    fresh = keyed.join(existing.select(*on), on, "left_anti").select(*df.columns)
+    return fresh.unionByName(df.filter(F.col(key).isNull()))

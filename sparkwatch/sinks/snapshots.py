@@ -2,11 +2,56 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from .layers import write_layer
 
 
+def _fs(spark: SparkSession, path: str):
+    base = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return base.getFileSystem(spark._jsc.hadoopConfiguration()), base
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _fs(spark, path)
+    return fs.exists(at)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, at = _fs(spark, path)
+    fs.delete(at, True)
+
+
+def list_folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    fs, base = _fs(spark, path)
+    if not fs.exists(base):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(base) if s.isDirectory() and s.getPath().getName().startswith(prefix))
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, at = _fs(spark, path)
+    out = fs.create(at, True)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, at = _fs(spark, path)
+    if not fs.exists(at):
+        return None
+    stream = fs.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def _versions(spark: SparkSession, root: str) -> list[tuple[int, str]]:
     """Complete versions under ``root``, oldest first; the commit marker tells which ones are complete."""
     jvm = spark._jvm
@@ -30,8 +75,33 @@ def snapshot_path(spark: SparkSession, root: str) -> str | None:
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
+    """The newest version under the schema it was written with: no partition value is guessed at from its text."""
     path = snapshot_path(spark, root)
-    return None if path is None else spark.read.parquet(path)
+    if path is None:
+        return None
+    about = _about(spark, root, path)
+    reader = spark.read.schema(StructType.fromJson(about["schema"])) if about else spark.read
+    return reader.parquet(path)
+
+
+def _about(spark: SparkSession, root: str, path: str) -> dict | None:
+    text = _read_text(spark, f"{root}/_about/{path.rstrip('/').rpartition('/')[2]}.json")
+    return json.loads(text) if text else None
+
+
+def snapshot_note(spark: SparkSession, root: str):
+    """What the writer of the newest version noted with it."""
+    path = snapshot_path(spark, root)
+    about = _about(spark, root, path) if path else None
+    return about["note"] if about else None
+
+
+def expire_snapshots(spark: SparkSession, root: str, keep: int) -> None:
+    """Remove all but the newest ``keep`` versions. Readers of a removed version fail: keep as many as they need."""
+    if keep < 1:
+        raise ValueError("the current version has to stay")
+    for _, path in _versions(spark, root)[:-keep]:
+        delete_path(spark, path)
 
 
 def next_version(spark: SparkSession, root: str) -> int:
@@ -39,11 +109,15 @@ def next_version(spark: SparkSession, root: str) -> int:
     return versions[-1][0] + 1 if versions else 1
 
 
-def write_snapshot(df: DataFrame, root: str, partition_by=(), **kwargs) -> str:
+def write_snapshot(df: DataFrame, root: str, partition_by=(), note=None, **kwargs) -> str:
     """Write the next version. Readers see it once it is complete; a failed write leaves the old one current.
 
-    Older versions stay until they are removed by hand, so running readers are not disturbed.
+    Schema and ``note`` lie beside the versions and are written first, so a complete version has them. Older
+    versions stay until ``expire_snapshots``, so running readers are not disturbed.
     """
-    path = f"{root}/v={next_version(df.sparkSession, root):08d}"
+    version = f"v={next_version(df.sparkSession, root):08d}"
+    path = f"{root}/{version}"
+    about = {"schema": df.schema.jsonValue(), "note": note}
+    _write_text(df.sparkSession, f"{root}/_about/{version}.json", json.dumps(about))
     write_layer(df, path, partition_by, mode="overwrite", **kwargs)
     return path

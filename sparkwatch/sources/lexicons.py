@@ -30,7 +30,7 @@ def load_lexicon(
         taken = rows.select("term", "priority", "canonical", "label").limit(max_terms + 1).collect()
         if len(taken) > max_terms:
             raise ValueError(f"lexicon has more than {max_terms} terms; match it as a table instead")
-        lexicons.append(Lexicon([Term(*r) for r in taken], longest_first))
+        lexicons.append(Lexicon([Term(*r) for r in taken if r["term"] is not None], longest_first))
     return reduce(Lexicon.__add__, lexicons)
 
 
@@ -41,5 +41,5 @@ def load_patterns(*tables: DataFrame, max_terms: int = MAX_TERMS) -> tuple[Patte
         taken = table.select("term", "label").limit(max_terms + 1).collect()
         if len(taken) > max_terms:
             raise ValueError(f"more than {max_terms} patterns")
-        patterns += [Pattern(tuple(term.lower().split()), label) for term, label in taken]
+        patterns += [Pattern(tuple(term.lower().split()), label) for term, label in taken if term and term.strip()]
     return tuple(patterns)

@@ -15,7 +15,17 @@ from ..operators.alerts import OUTCOMES, EntityRules, outcome_stats, resolve_eve
 from ..operators.dedup import keep_latest
 from ..operators.rollups import build_rollup
 from ..sinks.layers import bloom_options, write_layer
-from ..sinks.snapshots import write_snapshot
+from ..sinks.snapshots import (
+    delete_path,
+    expire_snapshots,
+    list_folders,
+    path_exists,
+    read_snapshot,
+    snapshot_note,
+    snapshot_path,
+    write_snapshot,
+)
+from .identity import stream_name
 from ..sources.events import EVENT_SCHEMA, EventSource, decode_json, read_event_stream
 
 # The sort key under which alerts replace each other, and the month layout column.
@@ -34,6 +44,7 @@ ALERT_SCHEMA = T.StructType(
         T.StructField("source", T.StringType()),
         T.StructField("url", T.StringType()),
         T.StructField("published_at_imputed", T.BooleanType()),
+        T.StructField("stream", T.StringType()),
         T.StructField("batch_id", T.LongType()),
         T.StructField(ALERT_MONTH, T.IntegerType()),
     ]
@@ -44,6 +55,14 @@ ROLLUP_SCHEMA = T.StructType(
         T.StructField("location_key", T.StringType()),
         T.StructField("disease_key", T.StringType()),
         T.StructField("alert_count", T.LongType()),
+        T.StructField("stream", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+STATS_SCHEMA = T.StructType(
+    [
+        *(T.StructField(n, T.LongType()) for n in ("total", *OUTCOMES)),
+        T.StructField("stream", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
@@ -59,8 +78,9 @@ class AlertSink:
     """foreachBatch writer for alerts.
 
     The dimension loaders run for every micro-batch, so new keys are seen without a restart. A batch writes
-    its own ``batch_id`` folder and replaces it when replayed; alert ids depend on content only, so a replay
-    brings no new ones. Outcomes, alerts and their rollup are reads of one persisted frame. The rollup is kept
+    the folder of its stream and ``batch_id`` and replaces it when replayed; batch ids start over with a new
+    checkpoint, but so does the stream's identity, and nothing of another stream is touched. Alert ids depend on
+    content only, so a replay brings no new ones. Outcomes, alerts and their rollup are reads of one persisted frame. The rollup is kept
     as one part per batch, which a replay replaces as well; ``read_rollup`` adds the parts up.
     """
 
@@ -74,8 +94,10 @@ class AlertSink:
     fold: bool = False
     rows_per_file: int = 1_000_000
     rollup_path: str | None = None
+    stream: str | None = None  # by default the identity that Spark keeps in the checkpoint
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        folder = f"stream={stream_name(batch, self.stream)}/batch_id={batch_id}"
         resolved = resolve_events(
             batch, self.diseases(), self.locations(), self.disease_rules, self.country_rules, fold=self.fold
         ).persist()
@@ -83,17 +105,17 @@ class AlertSink:
             stats = outcome_stats(resolved).first()
             one = batch.sparkSession.range(0, 1, 1, 1)
             row = one.select(*[F.lit(stats[n]).cast("long").alias(n) for n in ("total", *OUTCOMES)])
-            row.write.mode("overwrite").parquet(f"{self.stats_path}/batch_id={batch_id}")
+            row.write.mode("overwrite").parquet(f"{self.stats_path}/{folder}")
             alerts = to_alert(resolved.filter(F.col("outcome") == "inserted"), self.as_of)
             alerts = alerts.withColumn(ALERT_MONTH, year_month("published_at"))
             # micro-batches run without adaptive execution, and most of their rows are of one month: rows are
             # spread over as many tasks as the batch fills files
             files = max(1, -(-stats["inserted"] // self.rows_per_file))
             spread = alerts.repartition(files, ALERT_MONTH, F.pmod(F.xxhash64("alert_id"), F.lit(files)))
-            write_layer(spread, f"{self.path}/batch_id={batch_id}", [ALERT_MONTH], rebalance=False)
+            write_layer(spread, f"{self.path}/{folder}", [ALERT_MONTH], rebalance=False)
             if self.rollup_path:
                 part = build_rollup(alerts, ROLLUP_DIMS).coalesce(files)
-                part.write.mode("overwrite").parquet(f"{self.rollup_path}/batch_id={batch_id}")
+                part.write.mode("overwrite").parquet(f"{self.rollup_path}/{folder}")
         finally:
             resolved.unpersist()
 
@@ -105,9 +127,16 @@ def start_alerts(
     checkpoint: str,
     trigger: str | None = "10 seconds",
     schema: T.StructType = EVENT_SCHEMA,
+    dedup_delay: str | None = None,
 ) -> StreamingQuery:
-    """Start the stream. ``trigger`` is a processing-time interval, or None to take what is there and stop."""
+    """Start the stream. ``trigger`` is a processing-time interval, or None to take what is there and stop.
+
+    ``dedup_delay`` also drops repeats of a title and source across micro-batches, those that arrive within it.
+    """
     events = decode_json(read_event_stream(spark, source), schema)
+    if dedup_delay:
+        timed = events.withColumn("__at", F.coalesce(F.try_to_timestamp("published_at"), F.current_timestamp()))
+        events = dedup_stream(timed, ["title", "source"], "__at", dedup_delay).drop("__at")
     writer = events.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if trigger is None else writer.trigger(processingTime=trigger)
     return writer.start()
@@ -125,11 +154,51 @@ def read_rollup(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_stats(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return spark.read.schema(STATS_SCHEMA).parquet(path)
 
 
-def compact_alerts(spark: SparkSession, path: str, out: str) -> str:
-    """Write the next snapshot of the alert table: the latest row per alert key, by month, with Bloom filters."""
-    alerts = read_alerts(spark, path).drop("batch_id")
-    latest = keep_latest(alerts, ALERT_KEY, "ingestion_time", ["alert_id"])
-    return write_snapshot(latest, out, [ALERT_MONTH], options=bloom_options(["disease_key", "location_key"]))
+def compact_alerts(spark: SparkSession, path: str, out: str, keep: int = 2, retire: bool = False) -> str:
+    """Write the next snapshot of the alert table: the latest row per alert key, by month, with Bloom filters.
+
+    Batches that an earlier snapshot holds are not read again: the last snapshot and the newer batches are
+    merged. ``retire`` then removes the folders of batches that an older snapshot holds already, so that they
+    outlive the snapshot that took them in; ``keep`` snapshots stay.
+    """
+    folders = batch_folders(spark, path)
+    done = set(snapshot_note(spark, out) or [])
+    fresh = [f for f in folders if f not in done]
+    known = read_snapshot(spark, out)
+    if known is not None and not fresh:
+        return snapshot_path(spark, out)
+    parts = [] if known is None else [known]
+    if fresh:
+        reader = spark.read.schema(ALERT_SCHEMA).option("basePath", path)
+        parts.append(reader.parquet(*[f"{path}/{f}" for f in fresh]).drop("stream", "batch_id"))
+    elif known is None:
+        parts.append(spark.createDataFrame([], ALERT_SCHEMA).drop("stream", "batch_id"))
+    latest = keep_latest(union_by_name(parts), ALERT_KEY, "ingestion_time", ["alert_id"])
+    options = bloom_options(["disease_key", "location_key"])
+    # a retired folder stays on the list until it is gone, then its name can be forgotten
+    written = write_snapshot(latest, out, [ALERT_MONTH], options=options, note=sorted(done.intersection(folders) | set(fresh)))
+    expire_snapshots(spark, out, keep)
+    if retire:
+        for folder in done.intersection(folders):
+            delete_path(spark, f"{path}/{folder}")
+    return written
+
+
+def union_by_name(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out
+
+
+def batch_folders(spark: SparkSession, path: str) -> list[str]:
+    """``stream=.../batch_id=...`` folders that are complete."""
+    found = []
+    for stream in list_folders(spark, path, "stream="):
+        for batch in list_folders(spark, f"{path}/{stream}", "batch_id="):
+            if path_exists(spark, f"{path}/{stream}/{batch}/_SUCCESS"):
+                found.append(f"{stream}/{batch}")
+    return found

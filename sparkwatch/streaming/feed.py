@@ -15,6 +15,7 @@ from ..operators.alerts import valid_event
 from ..operators.columns import computed_once
 from ..operators.dedup import dedup_either
 from ..sinks.events import publish, to_events
+from .identity import stream_name
 
 
 def filter_feed(
@@ -51,7 +52,7 @@ def start_feed(
             events = to_events(fresh, as_of=as_of)
             if path and format != "kafka":
                 # a replayed batch replaces its own folder
-                folder = f"{path}/batch_id={batch_id}"
+                folder = f"{path}/{stream_name(batch)}-{batch_id}"
                 events.write.format(format).mode("overwrite").options(**(options or {})).save(folder)
             else:
                 publish(events, format, path, options)

@@ -14,7 +14,8 @@ from sparkwatch.plans import feed_to_events
 from sparkwatch.sinks import to_events
 from sparkwatch.sources import EventSource, decode_json
 from sparkwatch.sources.feed import ARTICLE_SCHEMA, articles_of
-from sparkwatch.streaming import AlertSink, read_alerts, start_alerts
+from sparkwatch.sinks import read_snapshot
+from sparkwatch.streaming import AlertSink, compact_alerts, read_alerts, read_stats, start_alerts
 
 from .registry import query, table, work_dir
 from .text import sql_contains, sql_first, sql_word
@@ -176,9 +177,8 @@ def alert_outcomes(spark, sf):
     )
 
 
-@query(f"WITH {RESOLVED} SELECT alert_id, disease_key, location_key, published_at, url FROM ({ALERTS})")
-def alert_stream(spark, sf):
-    """The same alerts through the stream: events as keyed JSON files, decoded, resolved, written per batch."""
+def streamed(spark, sf, checkpoints: int = 1, between=None) -> str:
+    """Alerts of the articles through streams: events as keyed JSON files, decoded, resolved, written per batch."""
     root = work_dir(spark, "alerts")
     rows = articles(spark, sf).drop("doc_id")
     to_events(rows, fields=("title", "description", "source", "published_at", "url")).write.mode("overwrite").json(
@@ -193,8 +193,54 @@ def alert_stream(spark, sf):
         PLACE_RULES,
         as_of=AS_OF,
     )
-    start_alerts(spark, EventSource("json", path=f"{root}/topic"), sink, f"{root}/ck", trigger=None).awaitTermination()
-    return read_alerts(spark, f"{root}/out").select("alert_id", "disease_key", "location_key", "published_at", "url")
+    source = EventSource("json", path=f"{root}/topic")
+    for i in range(checkpoints):
+        start_alerts(spark, source, sink, f"{root}/ck{i}", trigger=None).awaitTermination()
+        if between:
+            between(root)
+    return root
+
+
+@query(f"WITH {RESOLVED} SELECT alert_id, disease_key, location_key, published_at, url FROM ({ALERTS})")
+def alert_stream(spark, sf):
+    """The same alerts through the stream."""
+    alerts = read_alerts(spark, f"{streamed(spark, sf)}/out")
+    return alerts.select("alert_id", "disease_key", "location_key", "published_at", "url")
+
+
+@query(f"WITH {RESOLVED} SELECT alert_id, CAST(2 * count(*) AS BIGINT) AS stored FROM ({ALERTS}) GROUP BY alert_id")
+def alert_stream_new_checkpoint(spark, sf):
+    """Two streams with checkpoints of their own on one root: neither takes anything of the other away."""
+    alerts = read_alerts(spark, f"{streamed(spark, sf, 2)}/out")
+    return alerts.groupBy("alert_id").agg(F.count(F.lit(1)).alias("stored"))
+
+
+@query(
+    f"""WITH {RESOLVED}, alerts AS ({ALERTS})
+        SELECT alert_id, source, published_at, url FROM (
+          SELECT *, row_number() OVER (PARTITION BY source, location_key, published_at, disease_key
+                                       ORDER BY ingestion_time DESC, alert_id) AS rn FROM alerts) WHERE rn = 1"""
+)
+def alerts_compacted(spark, sf):
+    """The compacted table after three streams with a compaction, and retired batches, after each."""
+
+    def between(root: str) -> None:
+        compact_alerts(spark, f"{root}/out", f"{root}/latest", retire=True)
+
+    root = streamed(spark, sf, 3, between)
+    return read_snapshot(spark, f"{root}/latest").select("alert_id", "source", "published_at", "url")
+
+
+@query(
+    f"""WITH {RESOLVED}
+        SELECT count(*) AS total, count(*) FILTER (outcome = 'no_disease') AS no_disease,
+               count(*) FILTER (outcome = 'no_country') AS no_country, count(*) FILTER (outcome = 'no_keys') AS no_keys,
+               count(*) FILTER (outcome = 'inserted') AS inserted
+        FROM resolved"""
+)
+def alert_stats(spark, sf):
+    """The statistics that the stream writes per batch."""
+    return read_stats(spark, f"{streamed(spark, sf)}/stats").drop("stream", "batch_id")
 
 
 @query(

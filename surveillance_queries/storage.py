@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkwatch.functions import year_month
-from sparkwatch.plans import Layout, run_batch
+from sparkwatch.plans import Layout, run_batch, warehouse_geo, warehouse_trend
 from sparkwatch.plans.outbreaks import RAW_COLUMNS
 from sparkwatch.sinks import (
     append_table,
@@ -40,12 +40,13 @@ def layer_scan(spark, sf):
 
 @query("SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders")
 def repeated_load(spark, sf):
-    """Half of the orders are stored, then all are loaded twice: every order ends up stored once."""
+    """Part of the orders are stored by year, then all are loaded twice, each key doubled: every order is stored once."""
     path = work_dir(spark, "orders")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"))
-    append_table(orders.filter("o_totalprice < 250000"), path=path)
+    append_table(orders.filter("o_totalprice < 250000"), path=path, partition_by=["year"])
     for _ in range(2):
-        append_table(insert_new(orders, read_layer(spark, path), "o_orderkey", "year"), path=path)
+        fresh = insert_new(orders.unionByName(orders), read_layer(spark, path), "o_orderkey", "year")
+        append_table(fresh, path=path, partition_by=["year"])
     return read_layer(spark, path)
 
 
@@ -62,9 +63,9 @@ def table_snapshots(spark, sf):
     return read_snapshot(spark, root)
 
 
-def raw_files(spark, sf, path: str) -> None:
+def raw_files(spark, sf, path: str, part: str = "true") -> None:
     """Raw outbreak files from the order tables, with blanks, missing and unparsable years among them."""
-    orders = table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    orders = table(spark, sf, "orders").filter(part).withColumnRenamed("o_custkey", "c_custkey")
     nation = table(spark, sf, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
     customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     region = table(spark, sf, "region").withColumnRenamed("r_regionkey", "n_regionkey")
@@ -120,6 +121,43 @@ def batch_pipeline(spark, sf):
     return tables["fact_outbreaks"].drop("ingestion_timestamp")
 
 
+def two_loads(spark, sf) -> tuple[Layout, dict]:
+    """A warehouse after two loads of the same years; the second one opens new versions of every disease."""
+    root = work_dir(spark, "batch")
+    out = Layout(f"{root}/warehouse")
+    for name, part in (("one", "(o_orderkey div 2) % 3 = 0"), ("two", "(o_orderkey div 2) % 3 <> 0")):
+        raw_files(spark, sf, f"{root}/{name}", part)
+        tables = run_batch(spark, f"{root}/{name}/*.csv", out.root, as_of=AS_OF, scd_mode="always")
+    return out, tables
+
+
+@query(BATCH_FACT)
+def batch_two_loads(spark, sf):
+    """The facts of both loads, each once."""
+    return two_loads(spark, sf)[1]["fact_outbreaks"].drop("ingestion_timestamp")
+
+
+NAMES = f"""facts AS ({BATCH_FACT}),
+places AS (SELECT DISTINCT md5(iso3) AS location_key, country, region_code FROM ({RAW}) AS r WHERE region_code IS NOT NULL),
+names AS (SELECT DISTINCT md5(lower(disease_name)) AS disease_key, disease_name FROM ({RAW}) AS r)"""
+
+
+@query(
+    f"""WITH {NAMES} SELECT report_year, disease_name, region_code, CAST(sum(outbreak_count) AS BIGINT) AS outbreak_count
+        FROM facts JOIN places USING (location_key) JOIN names USING (disease_key) GROUP BY ALL"""
+)
+def warehouse_trend_by_year(spark, sf):
+    return warehouse_trend(spark, two_loads(spark, sf)[0])
+
+
+@query(
+    f"""WITH {NAMES} SELECT region_code, country, CAST(sum(outbreak_count) AS BIGINT) AS outbreak_count
+        FROM facts JOIN places USING (location_key) GROUP BY ALL"""
+)
+def warehouse_geo_totals(spark, sf):
+    return warehouse_geo(spark, two_loads(spark, sf)[0])
+
+
 @query(
     f"""WITH raw AS ({RAW}), bronze AS (SELECT * FROM raw WHERE year IS NOT NULL),
         ok AS (SELECT * FROM bronze WHERE definition <> '' AND region_code IS NOT NULL),

@@ -57,10 +57,10 @@ def put(folder, name, events):
             f.write(json.dumps({"key": e[0], "value": json.dumps(dict(zip(names, e)))}) + "\n")
 
 
-def sink(dims, root):
+def sink(dims, root, stream=None):
     return AlertSink(
         f"{root}/alerts", f"{root}/stats", lambda: dims[0], lambda: dims[1], DISEASES, COUNTRIES, AS_OF,
-        rollup_path=f"{root}/rollup",
+        rollup_path=f"{root}/rollup", stream=stream,
     )
 
 
@@ -89,7 +89,7 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, dims, tmp_path):
     expected = rows(enrich_alerts(batch, *dims, DISEASES, COUNTRIES, AS_OF).select("alert_id", "published_at", "url"))
     got = read_alerts(spark, f"{root}/alerts")
     assert rows(got.select("alert_id", "published_at", "url")) == expected
-    assert rows(read_stats(spark, f"{root}/stats")) == [(8, 2, 1, 1, 4, 0)]
+    assert rows(read_stats(spark, f"{root}/stats").drop("stream")) == [(8, 2, 1, 1, 4, 0)]
     run(spark, dims, root)  # restart from the checkpoint, nothing new
     assert read_alerts(spark, f"{root}/alerts").count() == 4
     put(f"{root}/topic", "b.json", EVENTS[:1])
@@ -102,7 +102,9 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, dims, tmp_path):
 def test_replayed_batch_replaces_itself(spark, dims, tmp_path):
     root = str(tmp_path)
     df = spark.createDataFrame(EVENTS, "title string, description string, source string, published_at string, url string")
-    write = sink(dims, root)
+    with pytest.raises(ValueError):
+        sink(dims, root)(df, 7)
+    write = sink(dims, root, "s")
     for _ in range(2):
         write(df, 7)
     alerts = read_alerts(spark, f"{root}/alerts")
@@ -155,6 +157,41 @@ def test_feed_stream_filters_dedups_and_publishes(spark, tmp_path):
     start_feed(
         articles, ["concert"], [["cholera", "malaria"], ["outbreak"]], f"{root}/ck", path=f"{root}/topic", as_of=AS_OF
     ).awaitTermination()
-    events = read_events(spark, EventSource("json", path=f"{root}/topic/batch_id=0"))
+    events = read_events(spark, EventSource("json", path=f"{root}/topic/*-0"))
     got = {tuple(r) for r in decode_json(events).select("title", "url", "source").collect()}
     assert got == {("Cholera", "u1", "N"), ("Cholera again", "u2", "N")} and events.count() == 2
+
+
+def test_a_new_checkpoint_takes_nothing_away(spark, dims, tmp_path):
+    root = str(tmp_path)
+    put(f"{root}/topic", "a.json", EVENTS)
+    run(spark, dims, root)
+    source = EventSource("json", path=f"{root}/topic")
+    start_alerts(spark, source, sink(dims, root), f"{root}/other", trigger=None).awaitTermination()
+    alerts = read_alerts(spark, f"{root}/alerts")
+    assert alerts.count() == 8 and alerts.select("stream").distinct().count() == 2
+    assert read_stats(spark, f"{root}/stats").count() == 2
+
+
+def test_compaction_reads_new_batches_only(spark, dims, tmp_path):
+    root = str(tmp_path)
+    df = spark.createDataFrame(EVENTS, "title string, description string, source string, published_at string, url string")
+    df = df.filter("url <> 'u1b'")
+    write = sink(dims, root, "s")
+    write(df.filter("url = 'u1'"), 0)
+    compact_alerts(spark, f"{root}/alerts", f"{root}/compact")
+    write(df.filter("url <> 'u1'"), 1)
+    compact_alerts(spark, f"{root}/alerts", f"{root}/compact", retire=True)
+    assert read_alerts(spark, f"{root}/alerts").select("batch_id").distinct().count() == 1  # batch 0 is retired
+    write(df.filter("url = 'u2'"), 2)
+    compact_alerts(spark, f"{root}/alerts", f"{root}/compact", retire=True)
+    assert rows(read_snapshot(spark, f"{root}/compact").select("url")) == [("u1",), ("u2",), ("u3",), ("u4",)]
+
+
+def test_repeats_across_batches_can_be_dropped(spark, dims, tmp_path):
+    root = str(tmp_path)
+    for name in ("a.json", "b.json"):
+        put(f"{root}/topic", name, EVENTS)
+        source = EventSource("json", path=f"{root}/topic")
+        start_alerts(spark, source, sink(dims, root), f"{root}/ck", trigger=None, dedup_delay="3650 days").awaitTermination()
+    assert read_alerts(spark, f"{root}/alerts").count() == 4
