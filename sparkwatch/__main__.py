@@ -31,8 +31,8 @@ def _table(spark: SparkSession, path: str):
 def _rules(spark: SparkSession, default: EntityRules, terms: str | None, patterns: str | None, match: str) -> EntityRules:
     if terms is None:
         return default
-    return EntityRules(
-        lexicon=load_lexicon(_table(spark, terms)),
+    return EntityRules.of_table(
+        _table(spark, terms),
         patterns=load_patterns(_table(spark, patterns)) if patterns else (),
         label=default.label,
         mapping=default.mapping,

@@ -12,9 +12,11 @@ from ..functions.keys import hash_key
 from ..functions.matching import Lexicon, Pattern, canonicalize, cascade, first_pattern, first_term, override_members
 from ..functions.text import strip_ws, text_of
 from ..functions.times import AsOf, as_timestamp, parse_ts, today, ts_was_imputed
+from ..sources.lexicons import MAX_TERMS, load_lexicon
 from .columns import computed_once
 from .dedup import dedup
 from .joins import lookup_key
+from .lexicon_join import match_terms
 from .scd import current
 
 OUTCOMES = ("no_disease", "no_country", "no_keys", "inserted")
@@ -26,7 +28,8 @@ class EntityRules:
     """How one kind of entity is found and named.
 
     Terms are tried first, then token patterns, then the caller's own ``matchers`` (Column -> Column, for
-    instance a pandas UDF). What was found goes through ``members`` (a closed list mapped to one value), then
+    instance a pandas UDF). A lexicon too large for one expression is given as a ``table`` (term, priority,
+    canonical) and matched by a join, whole words only; its terms come before those of ``lexicon``. What was found goes through ``members`` (a closed list mapped to one value), then
     the synonym ``mapping``; a name in neither is upper-cased.
     """
 
@@ -39,6 +42,17 @@ class EntityRules:
     match: str = "word"
     pattern_limit: int | None = None
     matchers: tuple[Matcher, ...] = ()
+    table: DataFrame | None = None
+    max_words: int = 3
+
+    @classmethod
+    def of_table(cls, table: DataFrame, max_terms: int = MAX_TERMS, **options) -> EntityRules:
+        """Rules over a lexicon table of any size: one expression up to ``max_terms``, a join beyond."""
+        if len(table.limit(max_terms + 1).select("term").collect()) <= max_terms:
+            return cls(lexicon=load_lexicon(table, label=None), **options)
+        if options.get("match", "word") != "word":
+            raise ValueError("a lexicon table of this size is matched by whole words")
+        return cls(lexicon=Lexicon([]), table=table, **options)
 
     def extract(self, text: Column, lowered: Column) -> Column:
         """The term found in a text, given with its lower-case form; own matchers see the text as it is."""
@@ -88,9 +102,31 @@ def load_dim_lookup(dim: DataFrame, name_col: str, key_col: str, current_only: b
 def extract_entities(df: DataFrame, text: Column, rules: Mapping[str, EntityRules]) -> DataFrame:
     """Add one column per kind of entity with its canonical name, null where none was found."""
     df = computed_once(df, {"__text": text, "__lower": F.lower(text)})
+    joined = [name for name, r in rules.items() if r.table is not None]
+    for name in joined:
+        df = _joined_terms(df, name, rules[name])
     terms = {f"__{name}": r.extract(F.col("__text"), F.col("__lower")) for name, r in rules.items()}
-    df = computed_once(df, terms).withColumns({name: r.name(F.col(f"__{name}")) for name, r in rules.items()})
-    return df.drop("__text", "__lower", *terms)
+    for name in joined:
+        terms[f"__{name}"] = cascade(F.col(f"__{name}_term"), terms[f"__{name}"])
+    named = {name: r.name(F.col(f"__{name}")) for name, r in rules.items()}
+    for name in joined:
+        named[name] = F.coalesce(F.col(f"__{name}_canonical"), named[name])
+    df = computed_once(df, terms).withColumns(named)
+    return df.drop("__text", "__lower", *terms, *[f"__{name}_{c}" for name in joined for c in ("term", "canonical")])
+
+
+def _joined_terms(df: DataFrame, name: str, rules: EntityRules) -> DataFrame:
+    """Add the term that a lexicon table has for each text, and its canonical name. A text is known by its digest."""
+    keyed = df.withColumn("__digest", F.md5("__lower"))
+    texts = keyed.select("__digest", "__lower")
+    lexicon = rules.table
+    if rules.label is not None and "label" in lexicon.columns:
+        lexicon = lexicon.filter(F.col("label") == rules.label)
+    if "canonical" not in lexicon.columns:
+        lexicon = lexicon.withColumn("canonical", F.lit(None).cast("string"))
+    found = match_terms(texts, "__digest", "__lower", lexicon, rules.max_words, keep=["canonical"])
+    found = found.select("__digest", F.col("term").alias(f"__{name}_term"), F.col("canonical").alias(f"__{name}_canonical"))
+    return keyed.join(found, "__digest", "left").drop("__digest")
 
 
 def classify_outcome(

@@ -33,7 +33,7 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def _auto_broadcast_bytes(df: DataFrame) -> int:
+def auto_broadcast_bytes(df: DataFrame) -> int:
     raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
     if raw.startswith("-"):  # switched off
         return -1
@@ -124,7 +124,7 @@ def join_dim(
     ``costly`` says the same of the fact side, which the split join reads more than once.
     """
     on = [on] if isinstance(on, str) else list(on)
-    if estimated_bytes(dim) <= _auto_broadcast_bytes(dim):
+    if estimated_bytes(dim) <= auto_broadcast_bytes(dim):
         return fact.join(dim, on, how)
     if derived:
         ensure_checkpoint_dir(dim.sparkSession)

@@ -2,18 +2,22 @@
 
 Word matching only. Texts are cut into word n-grams, the n-grams are joined with the lexicon, and the best
 priority per document is kept. Texts never move: the n-grams are joined where they are made when the
-lexicon is small enough to be broadcast, and only the hits are shuffled.
+lexicon is small enough to be broadcast, and only the hits are shuffled. A larger lexicon is first cut down to the
+terms that the texts hold.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.matching import WORD_CHAR
 from ..functions.text import strip_ws
 from .columns import computed_once
-from .joins import join_dim
+from ..session import ensure_checkpoint_dir
+from .joins import auto_broadcast_bytes, estimated_bytes, fits_broadcast, join_dim
 
 
 def word_ngrams(df: DataFrame, id_col: str, text_col: str, max_words: int) -> DataFrame:
@@ -37,18 +41,30 @@ def word_ngrams(df: DataFrame, id_col: str, text_col: str, max_words: int) -> Da
     return cut.filter(F.size("__words") > 0).select(id_col, F.explode(grams).alias("gram"))
 
 
-def match_terms(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, max_words: int) -> DataFrame:
-    """(id, term, priority): for each document with a hit, the term that comes first in the lexicon.
+def match_terms(
+    df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, max_words: int, keep: Sequence[str] = ()
+) -> DataFrame:
+    """(id, term, priority, *keep): for each document with a hit, the term that comes first in the lexicon.
 
     ``lexicon`` has ``term`` and ``priority``; terms start and end with a letter or digit and have at most
-    ``max_words`` words. The winner is the same as that of ``first_term`` in word mode.
+    ``max_words`` words. Whole words only: there is no substring mode on tables. The winner is the same as that
+    of ``first_term`` in word mode. ``keep`` names further columns of the lexicon, taken from the term's best row.
     """
+    best_row = F.min(F.struct("priority", *[F.col(c) for c in keep])).alias("best")
     terms = (
-        lexicon.select(F.lower(strip_ws("term")).alias("gram"), "priority")
+        lexicon.select(F.lower(strip_ws("term")).alias("gram"), "priority", *keep)
         .filter("gram <> ''")
         .groupBy("gram")
-        .agg(F.min("priority").alias("priority"))
+        .agg(best_row)
+        .select("gram", "best.*")
     )
-    hits = join_dim(word_ngrams(df, id_col, text_col, max_words), terms, ["gram"])
-    best = hits.groupBy(id_col).agg(F.min(F.struct("priority", "gram")).alias("b"))
-    return best.select(id_col, F.col("b.gram").alias("term"), F.col("b.priority").alias("priority"))
+    grams = word_ngrams(df, id_col, text_col, max_words)
+    if estimated_bytes(terms) > auto_broadcast_bytes(terms):
+        ensure_checkpoint_dir(df.sparkSession)
+        terms = terms.checkpoint()
+        if not fits_broadcast(terms):
+            # the vocabulary of the texts meets the lexicon first, once per distinct n-gram; most terms occur nowhere
+            terms = grams.select("gram").distinct().join(terms, "gram").checkpoint()
+    hits = join_dim(grams, terms, ["gram"], costly=True)
+    best = hits.groupBy(id_col).agg(F.min(F.struct("priority", "gram", *keep)).alias("b"))
+    return best.select(id_col, F.col("b.gram").alias("term"), F.col("b.priority").alias("priority"), *[F.col(f"b.{c}") for c in keep])

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.matching import Lexicon, Pattern, Term
 
-# more terms than this do not fit one expression; use operators.match_terms on the table instead
-MAX_TERMS = 20_000
+# more terms than this are not put into one expression; EntityRules.of_table then joins the table instead
+MAX_TERMS = 2_000
 
 
 def load_lexicon(
@@ -34,7 +34,7 @@ def load_lexicon(
     return reduce(Lexicon.__add__, lexicons)
 
 
-def load_patterns(*tables: DataFrame, max_terms: int = MAX_TERMS) -> tuple[Pattern, ...]:
+def load_patterns(*tables: DataFrame, max_terms: int = 20_000) -> tuple[Pattern, ...]:
     """Read (term, label) tables as token patterns; tokens are separated by spaces."""
     patterns: list[Pattern] = []
     for table in tables:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -163,6 +165,16 @@ def alert_enrich(spark, sf):
     return _with_title_digest(alerts(spark, sf))
 
 
+@query(f"WITH {RESOLVED} {ALERTS}")
+def alert_enrich_table(spark, sf):
+    """The same alerts with the disease lexicon as a table, matched by a join."""
+    terms = [(t.term, t.priority, t.canonical) for t in DISEASE_RULES.lexicon.terms]
+    lexicon = spark.createDataFrame(terms, "term string, priority int, canonical string")
+    rules = replace(DISEASE_RULES, lexicon=Lexicon([]), table=lexicon)
+    rows = articles(spark, sf).drop("doc_id")
+    return _with_title_digest(enrich_alerts(rows, diseases(spark, sf), locations(spark, sf), rules, PLACE_RULES, AS_OF))
+
+
 @query(
     f"""WITH {RESOLVED}
         SELECT count(*) AS total, count(*) FILTER (outcome = 'no_disease') AS no_disease,

@@ -81,6 +81,21 @@ def lexicon_table(spark, sf):
     return match_terms(table(spark, sf, "documents"), "doc_id", "text", _first_words(spark, sf), max_words=1)
 
 
+@query(
+    r"""WITH lex AS (
+         SELECT regexp_extract(lower(text), '[\p{L}\p{N}]+ [\p{L}\p{N}]+ [\p{L}\p{N}]+') AS term, min(item_id) AS priority
+         FROM benchmark GROUP BY 1 HAVING term <> ''),
+       hits AS (SELECT doc_id, priority, term FROM documents JOIN lex ON regexp_matches(
+                  lower(text), '(^|[^\p{L}\p{N}])' || term || '([^\p{L}\p{N}]|$)'))
+       SELECT doc_id, arg_min(term, priority) AS term, min(priority) AS priority FROM hits GROUP BY doc_id"""
+)
+def lexicon_table_phrases(spark, sf):
+    """Phrases of three words, the first ones of the benchmark texts, matched by joining n-grams."""
+    phrase = F.regexp_extract(F.lower("text"), r"[\p{L}\p{N}]+ [\p{L}\p{N}]+ [\p{L}\p{N}]+", 0)
+    phrases = table(spark, sf, "benchmark").select(phrase.alias("term"), F.col("item_id").alias("priority"))
+    return match_terms(table(spark, sf, "documents"), "doc_id", "text", phrases, max_words=3)
+
+
 @query(
     """WITH lex AS (SELECT DISTINCT lang AS term, ascii(lang) * 1000 + ascii(substr(lang, 2)) AS priority FROM documents),
        words AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS term FROM documents),
