@@ -35,5 +35,5 @@ def connected_components(edges: DataFrame) -> DataFrame:
     roots = moves[-1].select(F.col("a").alias("at"), F.col("to").alias("root"))
     for step in reversed(moves[:-1]):
         named = step.join(roots, step["to"] == roots["at"], "left")
-        roots = named.select(F.col("a").alias("at"), F.coalesce("root", "to").alias("root"))
+        roots = checkpointed(named.select(F.col("a").alias("at"), F.coalesce("root", "to").alias("root")))
     return roots.select(F.col("at").alias("node"), "root")
