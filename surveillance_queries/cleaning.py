@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from sparkwatch.functions import hash_key, year_month
 from sparkwatch.operators import (
     apply_defaults,
+    assert_or_remove,
     conform,
     dedup,
     dedup_either,
@@ -352,3 +353,36 @@ def hash_keys(spark, sf):
 def month_partition(spark, sf):
     events = table(spark, sf, "events").select("event_id", "ts")
     return with_partition_col(with_partition_col(events, "month", year_month("ts")), "year", F.year("ts"))
+
+
+@query(
+    """WITH l AS (SELECT l_orderkey, nullif(l_returnflag, 'N') AS flag,
+                         CASE WHEN l_quantity < 5 THEN '  ' ELSE l_linestatus END AS status FROM lineitem)
+       SELECT 'kept' AS column_name, count(*) FILTER (flag IS NOT NULL AND trim(status) <> '') AS n FROM l
+       UNION ALL SELECT 'l_orderkey', 0 UNION ALL SELECT 'flag', count(*) FILTER (flag IS NULL) FROM l
+       UNION ALL SELECT 'status', count(*) FILTER (trim(status) = '') FROM l"""
+)
+def final_check(spark, sf):
+    """The last invariant of cleaning: rows that hold it, and what breaks it by column."""
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey",
+        F.nullif("l_returnflag", F.lit("N")).alias("flag"),
+        F.when(F.col("l_quantity") < 5, "  ").otherwise(F.col("l_linestatus")).alias("status"),
+    )
+    kept, profile = assert_or_remove(lines)
+    count = kept.agg(F.lit("kept").alias("column_name"), F.count(F.lit(1)).alias("n"))
+    return count.unionByName(profile.withColumnRenamed("n_bad", "n"))
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, CASE WHEN l_extendedprice = floor(l_extendedprice) THEN 0 ELSE 1 END AS n_reasons
+       FROM lineitem"""
+)
+def conform_lossless(spark, sf):
+    """Prices as whole numbers: a price that would lose its cents does not fit."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    kinds = lines.schema["l_orderkey"].dataType, lines.schema["l_linenumber"].dataType
+    schema = T.StructType(
+        [T.StructField("l_orderkey", kinds[0]), T.StructField("l_linenumber", kinds[1]), T.StructField("l_extendedprice", T.LongType())]
+    )
+    return conform(lines, schema).select("l_orderkey", "l_linenumber", F.size(REASONS).alias("n_reasons"))

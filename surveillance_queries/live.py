@@ -1,21 +1,20 @@
 """Events, entities, alerts and their outcomes."""
 
-from __future__ import annotations
-
 from dataclasses import replace
 
+import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkwatch.functions import Lexicon, Pattern, hash_key
 from sparkwatch.operators import date_window, enrich_alerts, open_versions, outcome_stats, top_n
-from sparkwatch.operators.alerts import EntityRules, resolve_events
+from sparkwatch.operators.alerts import EntityRules, extract_entities, resolve_events
 from sparkwatch.operators.scd import current
 from sparkwatch.plans import feed_page as page_of
 from sparkwatch.plans import feed_to_events
 from sparkwatch.sinks import to_events
 from sparkwatch.sources import EventSource, decode_json
-from sparkwatch.sources.feed import ARTICLE_SCHEMA, articles_of
+from sparkwatch.sources.feed import ARTICLE_SCHEMA, articles_of, read_article_feed
 from sparkwatch.sinks import read_snapshot
 from sparkwatch.streaming import AlertSink, compact_alerts, read_alerts, read_stats, start_alerts
 
@@ -331,6 +330,40 @@ def article_feed(spark, sf):
     return rows.select("feed_position", F.md5("title").alias("title_md5"), "source", "published_at", "url")
 
 
+@query(
+    f"""WITH articles AS ({ARTICLES})
+        SELECT 0 AS feed_position, md5(title) AS title_md5, source, published_at, url
+        FROM articles WHERE source <> 'src3'
+        UNION ALL SELECT 1, md5(source), source, published_at, url FROM articles WHERE source <> 'src3'"""
+)
+def feed_files(spark, sf):
+    """The same articles from landed files: some with a payload per line, some with one payload over many lines."""
+    root = work_dir(spark, "feed")
+    lined, single = payloads(spark, sf).filter("hash(articles) % 50 <> 0"), payloads(spark, sf).filter("hash(articles) % 50 = 0")
+    lined.write.json(f"{root}/lines")
+    # one pretty-printed document per file
+    text = single.select(F.to_json(F.struct("status", "articles"), {"pretty": "true"}).alias("value"))
+    text.repartition(max(1, text.count()), F.monotonically_increasing_id()).write.option("maxRecordsPerFile", 1).text(f"{root}/files")
+    rows = read_article_feed(spark, f"{root}/lines").unionByName(read_article_feed(spark, f"{root}/files", multi_line=True))
+    return rows.select("feed_position", F.md5("title").alias("title_md5"), "source", "published_at", "url")
+
+
+@query(
+    f"""WITH articles AS ({ARTICLES})
+        SELECT url, CASE WHEN lower(title) LIKE '%the%' THEN 'THE' WHEN len(title) % 2 = 0 THEN 'EVEN' END AS entity FROM articles"""
+)
+def own_matcher(spark, sf):
+    """A matcher of the user's own, a pandas UDF, at the end of the cascade."""
+
+    @F.pandas_udf("string")
+    def even(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: "even" if len(t) % 2 == 0 else None)
+
+    rules = EntityRules(Lexicon.of("the"), match="substring", matchers=(even,))
+    found = extract_entities(articles(spark, sf).drop("doc_id"), F.coalesce("title", F.lit("")), {"entity": rules})
+    return found.select("url", "entity")
+
+
 EXCLUDED = ("inoran", "orre")
 GROUPS = (("the", "von", "und"), ("of", "tion", "der"))
 

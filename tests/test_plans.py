@@ -185,6 +185,18 @@ def test_snapshots_and_insert_new(spark, tmp_path):
         append_table(load)
 
 
+def test_insert_new_reads_the_partitions_of_the_load_only(spark, tmp_path):
+    path = f"{tmp_path}/fact"
+    stored = spark.createDataFrame([(f"k{i}", i % 5) for i in range(20)], "k string, y int")
+    assert append_table(stored, path=path, partition_by=["y"]) == 20
+    load = spark.createDataFrame([("k1", 1), ("new", 1), ("new", 1), (None, 1), (None, 1)], "k string, y int")
+    fresh = insert_new(load, read_layer(spark, path), "k", "y")
+    assert rows(fresh) == [("new", 1), (None, 1), (None, 1)]
+    text = plan(fresh)
+    filters = text[text.index("PartitionFilters") :].split("]")[0]
+    assert "1" in filters and ("y#" in filters)
+
+
 def test_events_round_trip_and_count(spark, tmp_path):
     df = spark.createDataFrame(
         [("T", None, "c", "a", "s", "2024-01-01T00:00:00Z", "u")],
