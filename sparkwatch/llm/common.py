@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sparkwatch.session import ensure_checkpoint_dir, shared_dir
 
 CHUNK_CHARS = 2_000_000  # of text that a task holds decoded at once (one longer text is a chunk of its own)
-BITMAP_BITS = 1 << 27  # 16 MB, the bound of a broadcast bitmap
+BITMAP_BITS = 1 << 25  # 4 MB, the bound of a broadcast bitmap
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

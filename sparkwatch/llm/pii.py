@@ -149,9 +149,10 @@ def scanned(df: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame
 def bitmap(terms: DataFrame) -> np.ndarray:
     """Bits of the terms' hashes; the set bits are distinct in Spark first, so at most TERM_BITS numbers are fetched."""
     slots = terms.select(F.pmod(F.xxhash64("term"), F.lit(TERM_BITS)).alias("slot")).distinct().toArrow()
-    bits = np.zeros(TERM_BITS, bool)
-    bits[slots.column(0).to_numpy()] = True
-    return np.packbits(bits)
+    at = slots.column(0).to_numpy()
+    packed = np.zeros(TERM_BITS // 8, np.uint8)
+    np.bitwise_or.at(packed, at >> 3, (128 >> (at & 7)).astype(np.uint8))
+    return packed
 
 
 def has_bit(packed: np.ndarray, terms: list[str]) -> np.ndarray:

@@ -176,7 +176,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     ratios[at[both < 3]] = 0.0  # too rare to tell
     fetched = learned.toArrow()
     y = np.where(fetched.column("label").to_numpy() == 1, 1.0, -1.0)
-    rows = [np.array(f, np.int64) for f in fetched.column("features").to_pylist()]
+    lists = fetched.column("features").combine_chunks()
+    flat, ends = lists.flatten().to_numpy(), np.cumsum(np.diff(lists.offsets.to_numpy()))
+    rows = np.split(flat, ends[:-1])  # views, no copies
     values = []
     for r in rows:
         v = ratios[r]
