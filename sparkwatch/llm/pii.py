@@ -32,10 +32,11 @@ ORDER = {k: i for i, k in enumerate(KINDS)}
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 REACH = 40  # characters per word of a window in which it is looked for
 TERM_BITS = 1 << 24  # of the bitmap of terms (2 MB)
+BLOCK_BITS = 1 << 15  # in a block of Spark's bitmap functions
 
 LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)+")  # a long run of digits is gone through once
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 TERM = re.compile(r"[^\W_]+")
@@ -147,19 +148,21 @@ def scanned(df: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame
 
 
 def bitmap(terms: DataFrame) -> np.ndarray:
-    """Bits of the terms' hashes; the set bits are distinct in Spark first, so at most TERM_BITS numbers are fetched."""
-    slots = terms.select(F.pmod(F.xxhash64("term"), F.lit(TERM_BITS)).alias("slot")).distinct().toArrow()
-    at = slots.column(0).to_numpy()
-    packed = np.zeros(TERM_BITS // 8, np.uint8)
-    np.bitwise_or.at(packed, at >> 3, (128 >> (at & 7)).astype(np.uint8))
-    return packed
+    """Bits of the terms' hashes, set in Spark: TERM_BITS bits at most are fetched, in blocks of 4 KB."""
+    place = F.pmod(F.xxhash64("term"), F.lit(TERM_BITS)) + 1  # Spark's blocks begin at 1
+    slots = terms.select(F.bitmap_bucket_number(place).alias("block"), F.bitmap_bit_position(place).alias("position"))
+    blocks = slots.groupBy("block").agg(F.bitmap_construct_agg("position").alias("bits")).toArrow()
+    packed = np.zeros((TERM_BITS // BLOCK_BITS, BLOCK_BITS // 8), np.uint8)
+    for block, bits in zip(blocks.column(0).to_pylist(), blocks.column(1).to_pylist(), strict=True):
+        packed[block - 1] = np.frombuffer(bits, np.uint8)
+    return packed.ravel()
 
 
 def has_bit(packed: np.ndarray, terms: list[str]) -> np.ndarray:
     """Which terms have their bit set; the hash is that of Spark's xxhash64."""
     h = np.fromiter((xxhash.xxh64_intdigest(t.encode(), 42) for t in terms), np.uint64, len(terms))
     slot = (h % np.uint64(TERM_BITS)).astype(np.int64)
-    return (packed[slot >> 3] >> (7 - (slot & 7))) & 1 == 1
+    return (packed[slot >> 3] >> (slot & 7)) & 1 == 1
 
 
 def document_counts(df: DataFrame, text_col: str, packed: np.ndarray) -> DataFrame:
