@@ -453,6 +453,24 @@ def test_shared_passages_are_linked(spark):
         assert r.similarity >= 0.8 and min(r.n_words, r.other_n_words) >= 50
 
 
+def test_windows_after_the_first_of_a_value_count(spark):
+    rng = random.Random(12)
+
+    def prose(n):
+        return [f"w{rng.randint(0, 99_999)}" for _ in range(n)]
+
+    rows = []
+    for i in range(60):  # lines on their own before they make up a passage
+        one, two = prose(30), prose(30)
+        rows.append((2 * i, " ".join(prose(40) + two + prose(40) + one + prose(40) + two + prose(40) + one + prose(40) + one + two + prose(40))))
+        rows.append((2 * i + 1, " ".join(prose(40) + one + two + prose(40))))
+    twice = prose(60)
+    rows += [(500, " ".join(prose(70) + twice)), (501, " ".join(twice + prose(90) + twice))]
+    found = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.other_id, r.id) for r in found} == {(2 * i, 2 * i + 1) for i in range(60)} | {(500, 501)}
+    assert {r.start_word // 50 for r in found if r.id == 501} == {0, 3} or len({r.start_word for r in found if r.id == 501}) == 2
+
+
 # ---- secrets ----
 
 
