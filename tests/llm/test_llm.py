@@ -471,6 +471,41 @@ def test_windows_after_the_first_of_a_value_count(spark):
     assert {r.start_word // 50 for r in found if r.id == 501} == {0, 3} or len({r.start_word for r in found if r.id == 501}) == 2
 
 
+def shared_lines(rng: random.Random) -> tuple[list[tuple], list[tuple]]:
+    """(rows, pairs): passages of two documents whose lines also occur by themselves in many others."""
+    words = itertools.count()
+
+    def prose(n):
+        return [f"w{next(words)}x{rng.randint(0, 99)}" for _ in range(n)]
+
+    rows, pairs = [], []
+    for k in range(12):
+        one, two = prose(30), prose(30)
+        base = 1000 * k
+        for i in range(20):
+            at = base + i + 60 * (i % 2)  # before both documents of the passage, or between them
+            rows.append((at, " ".join(prose(50) + one + prose(50))))
+            rows.append((at + 25, " ".join(prose(50) + two + prose(50))))
+        a, b = base + 50, base + 150
+        rows += [(a, " ".join(prose(50) + one + two + prose(50))), (b, " ".join(prose(30) + one + two + prose(70)))]
+        pairs.append((a, b))
+    return rows, pairs
+
+
+def test_lines_shared_by_many_do_not_part_a_passage(spark):
+    rows, pairs = shared_lines(random.Random(21))
+    found = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    # brute force: documents with a common stretch of 50 words
+    by_stretch = collections.defaultdict(set)
+    for i, text in rows:
+        words = text.split()
+        for p in range(len(words) - 49):
+            by_stretch[tuple(words[p : p + 50])].add(i)
+    assert {tuple(sorted(x)) for x in by_stretch.values() if len(x) > 1} == set(pairs)
+    assert {(r.other_id, r.id) for r in found} == set(pairs)
+    assert all(r.n_words >= 60 for r in found)
+
+
 # ---- secrets ----
 
 
