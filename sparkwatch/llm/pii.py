@@ -6,12 +6,12 @@ its context. Over the whole corpus, with document counts n,
     disclosure(t, e) = PMI(t; e) / IC(e) = log(n(t, e) * N / (n(t) * n(e))) / log(N / n(e))
 
 is the share of an entity's information that a term gives away: 1 if the term occurs with the entity only, 0 if they are
-independent. A term near an entity in at least ``support`` different texts that gives away ``generalise`` or more is replaced by the kind of
+independent. A term near an entity, be it in one text only, that gives away ``generalise`` or more is replaced by the kind of
 term it is, wherever it occurs; from ``remove`` on it is taken out.
 
 Counts are summed before they are shuffled. Which terms to count and to look for is told by a bitmap of fixed size, and
 false hits are sorted out by a join on the term itself. Defined results: a null text counts as empty and has no spans;
-repeated rows count as documents, but equal texts as one text for the support; further columns are ignored by the search and
+repeated rows count as documents; further columns are ignored by the search and
 kept by ``sanitise``; an empty table gives no rows.
 """
 
@@ -223,16 +223,15 @@ def term_spans(df: DataFrame, id_col: str, text_col: str, packed: np.ndarray) ->
 
 
 def revealing_terms(
-    df: DataFrame, scan: DataFrame, text_col: str, support: int, generalise: float, remove: float
+    df: DataFrame, scan: DataFrame, text_col: str, generalise: float, remove: float
 ) -> DataFrame | None:
-    """(term, disclosure, action) of the terms over the threshold; None where no term has the support."""
+    """(term, disclosure, action) of the terms over the threshold; None where no entity has a term near it."""
     mentions = scan.filter("mentions IS NOT NULL").select("id", "h", F.explode("mentions").alias("m"))
     mentions = mentions.select("id", "h", "m.entity", "m.terms")
     entities = mentions.select("id", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     pairs = mentions.select("id", "h", "entity", F.explode("terms").alias("term")).distinct()
-    per_text = pairs.groupBy("entity", "term", "h").agg(F.count(F.lit(1)).alias("n"))
-    together = per_text.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("n_pair"))
-    near = stored(together.filter(F.col("texts") >= support).join(entities, "entity"), "pii-pairs")
+    together = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_pair"))
+    near = stored(together.join(entities, "entity"), "pii-pairs")
     if near.isEmpty():
         return None
     total = scan.count()
@@ -247,10 +246,10 @@ def revealing_terms(
 
 
 def term_hits(
-    df: DataFrame, scan: DataFrame, id_col: str, text_col: str, support: int, generalise: float, remove: float
+    df: DataFrame, scan: DataFrame, id_col: str, text_col: str, generalise: float, remove: float
 ) -> DataFrame | None:
     """(id, extra) with the spans of revealing terms, for the rows that have any; None where no term reveals anything."""
-    terms = revealing_terms(df, scan, text_col, support, generalise, remove)
+    terms = revealing_terms(df, scan, text_col, generalise, remove)
     if terms is None or terms.isEmpty():
         return None
     hits = term_spans(df, id_col, text_col, bitmap(terms.select("term"))).join(terms, "term")
@@ -262,7 +261,6 @@ def find_personal_data(
     id_col: str = "doc_id",
     text_col: str = "text",
     window: int = 6,
-    support: int = 3,
     generalise: float = 0.9,
     remove: float = 0.98,
 ) -> DataFrame:
@@ -271,7 +269,7 @@ def find_personal_data(
     ``removed`` lists the starts of the term spans that are taken out rather than generalised.
     """
     scan = stored(scanned(df, id_col, text_col, window), "pii-scan")
-    hits = term_hits(df, scan, id_col, text_col, support, generalise, remove)
+    hits = term_hits(df, scan, id_col, text_col, generalise, remove)
     if hits is None:
         found = scan.withColumn("extra", F.expr("cast(null as array<struct<start:long,end:long,action:string>>)"))
     else:
@@ -332,13 +330,12 @@ def sanitise(
     id_col: str = "doc_id",
     text_col: str = "text",
     window: int = 6,
-    support: int = 3,
     generalise: float = 0.9,
     remove: float = 0.98,
 ) -> DataFrame:
     """``df`` with its spans replaced in the text. Texts are joined with term spans only where there are any."""
     scan = stored(scanned(df, id_col, text_col, window), "pii-scan")
-    hits = term_hits(df, scan, id_col, text_col, support, generalise, remove)
+    hits = term_hits(df, scan, id_col, text_col, generalise, remove)
 
     @F.pandas_udf("string")
     def plain(texts: pd.Series) -> pd.Series:

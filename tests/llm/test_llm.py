@@ -404,6 +404,15 @@ def test_revealing_terms_are_found_and_replaced(spark):
     assert pii.sanitise(df).columns == df.columns
 
 
+def test_rare_entities_are_judged_too(spark):
+    plain = [(i, f"{WORDS[i % 40]} {WORDS[(i * 7) % 48]} talk of things") for i in range(300)]
+    told = [(400, "we met Quillon at quil@corp.example.org and talk of things"), (401, "Vexmar calls +49 30 1234567 to talk"), (402, "Vexmar calls +49 30 1234567 to talk of things")]
+    df = spark.createDataFrame([*plain, *told], "doc_id long, text string")
+    out = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert "Quillon" not in out[400] and "Vexmar" not in out[401] and "Vexmar" not in out[402]  # in one text, in two
+    assert "talk of things" in out[400] and all(out[i] == text for i, text in plain)
+
+
 def test_sanitise_without_terms(docs):
     out = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
     assert "[EMAIL]" in out[307] and "[PHONE]" in out[307] and "[CARD]" in out[307] and "[IP]" in out[307]
