@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .bpe import round_trip
 from .brown import score_texts
 from .common import read_table
+from .conversations import damaged, repair_conversations, summary
 from .exact import exact_duplicates
 from .knn import top_k
 from .packing import pack_tokens
@@ -113,3 +114,20 @@ def op2_compact_window_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_forest_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op13_auction_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation is reported, those without a row left as well."""
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = summary(repair_conversations(damaged(rows)))
+    all_ids = rows.select("conv_id").distinct()
+    joined = all_ids.join(found.withColumnRenamed("conv_id", "found_id"), F.col("conv_id").eqNullSafe(F.col("found_id")), "left")
+    zero = F.lit(0).cast("long")
+    counts = [F.coalesce(c, zero).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return joined.select(
+        "conv_id",
+        *counts,
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
