@@ -14,6 +14,7 @@ from .common import read_table
 from .conversations import damaged, repair_conversations, summary
 from .exact import exact_duplicates
 from .knn import top_k
+from .lexical import LOWER, UPPER, rank_documents
 from .packing import pack_tokens
 from .pii import find_personal_data
 from .quality import score_quality
@@ -131,3 +132,28 @@ def op13_auction_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFr
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
+
+
+@query
+def op12_k2_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=10)
+
+
+ORACLES["op12_k2_treap_search"] = f"""
+    WITH pairs AS (
+        SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark
+    ), words AS (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM documents
+    ), postings AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+    lengths AS (SELECT doc_id, count(*) AS n FROM words GROUP BY ALL),
+    totals AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM lengths),
+    dampened AS (SELECT doc_id, 10 + (90 * n * n_docs) // n_terms AS m FROM lengths, totals),
+    weights AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM postings, totals GROUP BY term, n_docs),
+    scored AS (
+        SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+        FROM pairs JOIN postings USING (term) JOIN weights USING (term) JOIN dampened USING (doc_id) GROUP BY ALL
+    )
+    SELECT item_id, row_number() OVER best AS rank, doc_id, score FROM scored WHERE score > 0
+    WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+    QUALIFY row_number() OVER best <= 10
+"""
