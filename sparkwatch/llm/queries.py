@@ -15,6 +15,7 @@ from .conversations import damaged, repair_conversations, summary
 from .exact import exact_duplicates
 from .knn import top_k
 from .lexical import LOWER, UPPER, rank_documents
+from .licenses import PHRASES, SHARE, TEMPLATES, scan_licenses, words_of
 from .packing import pack_tokens
 from .pii import find_personal_data
 from .quality import score_quality
@@ -157,3 +158,73 @@ ORACLES["op12_k2_treap_search"] = f"""
     WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
     QUALIFY row_number() OVER best <= 10
 """
+
+
+@query
+def op11_rare_token_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(read_table(spark, sf_dir, "documents"))
+    at = F.col("places.at")
+    every = F.array_sort(F.array_distinct(F.concat("base_labels", "templates.label")))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(at).cast("long").alias("first_word"),
+        F.array_max(at).cast("long").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join(every, ",").alias("labels"),
+        "score",
+    )
+
+
+def sql_list(words: list[str]) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+def license_sql() -> str:
+    """Every place of every phrase and template by comparing slices of the word lists, without an index."""
+    phrases = ", ".join(f"('{label}', {sql_list(words_of(p))})" for p, label in PHRASES.items())
+    templates = ", ".join(
+        f"({i}, '{t.label}', {sql_list(t.words)}, [{', '.join(str(p) for p, _ in t.placed)}], [{', '.join(sql_list(p) for _, p in t.placed)}])"
+        for i, t in enumerate(TEMPLATES)
+    )
+    return f"""
+    WITH files AS (
+        SELECT row_number() OVER () AS file, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+    ), phrases(label, p) AS (VALUES {phrases}),
+    templates(template, label, t, places, mandatory) AS (VALUES {templates}),
+    held AS (SELECT word, count(*) AS df FROM (SELECT unnest(list_distinct(w)) AS word FROM files) GROUP BY word),
+    vocabulary AS (SELECT DISTINCT unnest(t) AS word FROM templates),
+    weights AS (
+        SELECT v.word, greatest(1, floor(1000 * ln((2 * (SELECT count(*) FROM files) + 2)::DOUBLE / (2 * coalesce(df, 0) + 1)))::BIGINT) AS n
+        FROM vocabulary AS v LEFT JOIN held USING (word)
+    ), placed AS (SELECT file, unnest(w) AS word, unnest(range(len(w))) AS place FROM files),
+    starts AS (
+        SELECT file, label, place FROM placed JOIN phrases ON word = p[1] JOIN files USING (file)
+        WHERE w[place + 1 : place + len(p)] = p
+    ), base AS (
+        SELECT file, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS labels FROM starts GROUP BY file
+    ), offsets AS (
+        SELECT file, template, place - places[1] AS o FROM placed JOIN templates ON word = mandatory[1][1]
+    ), verified AS (
+        SELECT file, template, label, t, w, o FROM offsets JOIN files USING (file) JOIN templates USING (template)
+        WHERE o + places[1] >= 0 AND len(list_filter(range(1, len(places) + 1), lambda k: o + places[k] >= 0 AND w[o + places[k] + 1 : o + places[k] + len(mandatory[k])] = mandatory[k])) = len(places)
+    ), words AS (SELECT template, unnest(t) AS word, unnest(range(len(t))) AS i FROM templates),
+    totals AS (SELECT template, sum(n) AS total FROM words JOIN weights USING (word) GROUP BY template),
+    shares AS (
+        SELECT file, label, max(part / total) AS share FROM (
+            SELECT file, v.label, v.template, v.o, sum(n)::DOUBLE AS part
+            FROM verified AS v JOIN words USING (template) JOIN weights USING (word) WHERE v.o + i >= 0 AND v.w[v.o + i + 1] = word GROUP BY ALL
+        ) JOIN totals USING (template) GROUP BY file, label
+    ), best AS (
+        SELECT file, max(share) AS score, coalesce(list(DISTINCT label) FILTER (WHERE share >= {SHARE}), []) AS labels FROM shares GROUP BY file
+    )
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+           coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+           coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(s.labels, [])))), ','), '') AS labels,
+           coalesce(score, 0)::DOUBLE AS score
+    FROM files LEFT JOIN base AS b USING (file) LEFT JOIN best AS s USING (file)
+"""
+
+
+ORACLES["op11_rare_token_licenses"] = license_sql()
