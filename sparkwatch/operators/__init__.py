@@ -12,7 +12,7 @@ from .alerts import (
 from .conform import apply_defaults, conform, rejects
 from .dedup import dedup, dedup_either, distinct_names, keep_latest
 from .joins import fits_broadcast, hot_keys, join_dim, lookup_key, skew_join
-from .lexicon_join import match_terms
+from .lexicon_join import match_patterns, match_substrings, match_terms
 from .quality import (
     assert_or_remove,
     drop_any_blank,
@@ -65,6 +65,8 @@ __all__ = [
     "keep_latest",
     "load_dim_lookup",
     "lookup_key",
+    "match_patterns",
+    "match_substrings",
     "match_terms",
     "merge_rollup",
     "min_bound",

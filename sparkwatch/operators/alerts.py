@@ -15,8 +15,8 @@ from ..functions.times import AsOf, as_timestamp, parse_ts, today, ts_was_impute
 from ..sources.lexicons import MAX_TERMS, load_lexicon
 from .columns import computed_once
 from .dedup import dedup
-from .joins import lookup_key
-from .lexicon_join import match_terms
+from .joins import join_dim, lookup_key
+from .lexicon_join import match_patterns, match_substrings, match_terms
 from .scd import current
 
 OUTCOMES = ("no_disease", "no_country", "no_keys", "inserted")
@@ -29,8 +29,9 @@ class EntityRules:
 
     Terms are tried first, then token patterns, then the caller's own ``matchers`` (Column -> Column, for
     instance a pandas UDF). A lexicon too large for one expression is given as a ``table`` (term, priority,
-    canonical) and matched by a join, whole words only; its terms come before those of ``lexicon``. What was found goes through ``members`` (a closed list mapped to one value), then
-    the synonym ``mapping``; a name in neither is upper-cased.
+    canonical) and matched by a join; its terms come before those of ``lexicon``. In the same way ``pattern_table``
+    (term, label) holds patterns, tried after ``patterns``. What was found goes through ``members`` (a closed list
+    mapped to one value), then the synonym ``mapping``; a name in neither is upper-cased.
     """
 
     lexicon: Lexicon
@@ -44,21 +45,25 @@ class EntityRules:
     matchers: tuple[Matcher, ...] = ()
     table: DataFrame | None = None
     max_words: int = 3
+    pattern_table: DataFrame | None = None
 
     @classmethod
     def of_table(cls, table: DataFrame, max_terms: int = MAX_TERMS, **options) -> EntityRules:
         """Rules over a lexicon table of any size: one expression up to ``max_terms``, a join beyond."""
         if len(table.limit(max_terms + 1).select("term").collect()) <= max_terms:
             return cls(lexicon=load_lexicon(table, label=None), **options)
-        if options.get("match", "word") != "word":
-            raise ValueError("a lexicon table of this size is matched by whole words")
         return cls(lexicon=Lexicon([]), table=table, **options)
 
-    def extract(self, text: Column, lowered: Column) -> Column:
-        """The term found in a text, given with its lower-case form; own matchers see the text as it is."""
+    def extract(self, text: Column, lowered: Column, term: Column | None = None, pattern: Column | None = None) -> Column:
+        """The term found in a text, given with its lower-case form; own matchers see the text as it is.
+
+        ``term`` and ``pattern`` are what the tables have for it.
+        """
         return cascade(
+            *([] if term is None else [term]),
             first_term(lowered, self.lexicon, self.match, lowered=True),
             first_pattern(lowered, self.patterns, self.label, self.pattern_limit, lowered=True),
+            *([] if pattern is None else [pattern]),
             *[m(text) for m in self.matchers],
         )
 
@@ -102,31 +107,63 @@ def load_dim_lookup(dim: DataFrame, name_col: str, key_col: str, current_only: b
 def extract_entities(df: DataFrame, text: Column, rules: Mapping[str, EntityRules]) -> DataFrame:
     """Add one column per kind of entity with its canonical name, null where none was found."""
     df = computed_once(df, {"__text": text, "__lower": F.lower(text)})
-    joined = [name for name, r in rules.items() if r.table is not None]
-    for name in joined:
-        df = _joined_terms(df, name, rules[name])
-    terms = {f"__{name}": r.extract(F.col("__text"), F.col("__lower")) for name, r in rules.items()}
-    for name in joined:
-        terms[f"__{name}"] = cascade(F.col(f"__{name}_term"), terms[f"__{name}"])
+    added = []
+    for name, r in rules.items():
+        if r.table is not None:
+            df = _joined_terms(df, name, r)
+            added += [f"__{name}_term", f"__{name}_canonical"]
+        if r.pattern_table is not None:
+            df = _joined_pattern(df, name, r)
+            added.append(f"__{name}_pattern")
+
+    def of(column: str) -> Column | None:
+        return F.col(column) if column in added else None
+
+    terms = {f"__{name}": r.extract(F.col("__text"), F.col("__lower"), of(f"__{name}_term"), of(f"__{name}_pattern")) for name, r in rules.items()}
     named = {name: r.name(F.col(f"__{name}")) for name, r in rules.items()}
-    for name in joined:
-        named[name] = F.coalesce(F.col(f"__{name}_canonical"), named[name])
+    for name, r in rules.items():
+        if r.table is not None:
+            named[name] = F.coalesce(F.col(f"__{name}_canonical"), named[name])
     df = computed_once(df, terms).withColumns(named)
-    return df.drop("__text", "__lower", *terms, *[f"__{name}_{c}" for name in joined for c in ("term", "canonical")])
+    return df.drop("__text", "__lower", *terms, *added)
 
 
-def _joined_terms(df: DataFrame, name: str, rules: EntityRules) -> DataFrame:
-    """Add the term that a lexicon table has for each text, and its canonical name. A text is known by its digest."""
+def _by_digest(df: DataFrame, match: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Add what ``match`` finds in the texts, given as (__digest, __lower).
+
+    Texts are matched where they lie; hits are joined by the digest, broadcast where their measured size allows.
+    """
     keyed = df.withColumn("__digest", F.md5("__lower"))
-    texts = keyed.select("__digest", "__lower")
+    found = match(keyed.select("__digest", "__lower"))
+    return join_dim(keyed, found, ["__digest"], "left", derived=True, costly=True).drop("__digest")
+
+
+def _joined_terms(df: DataFrame, name: str, rules: EntityRules) -> DataFrame:
+    """Add the term that a lexicon table has for each text, and its canonical name."""
     lexicon = rules.table
     if rules.label is not None and "label" in lexicon.columns:
         lexicon = lexicon.filter(F.col("label") == rules.label)
     if "canonical" not in lexicon.columns:
         lexicon = lexicon.withColumn("canonical", F.lit(None).cast("string"))
-    found = match_terms(texts, "__digest", "__lower", lexicon, rules.max_words, keep=["canonical"])
-    found = found.select("__digest", F.col("term").alias(f"__{name}_term"), F.col("canonical").alias(f"__{name}_canonical"))
-    return keyed.join(found, "__digest", "left").drop("__digest")
+
+    def match(texts: DataFrame) -> DataFrame:
+        if rules.match == "substring":
+            found = match_substrings(texts, "__digest", "__lower", lexicon, keep=["canonical"])
+        else:
+            found = match_terms(texts, "__digest", "__lower", lexicon, rules.max_words, keep=["canonical"])
+        return found.select("__digest", F.col("term").alias(f"__{name}_term"), F.col("canonical").alias(f"__{name}_canonical"))
+
+    return _by_digest(df, match)
+
+
+def _joined_pattern(df: DataFrame, name: str, rules: EntityRules) -> DataFrame:
+    """Add the pattern that a table has for each text."""
+
+    def match(texts: DataFrame) -> DataFrame:
+        found = match_patterns(texts, "__digest", "__lower", rules.pattern_table, rules.label, rules.pattern_limit)
+        return found.select("__digest", F.col("pattern").alias(f"__{name}_pattern"))
+
+    return _by_digest(df, match)
 
 
 def classify_outcome(

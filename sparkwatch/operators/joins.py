@@ -55,9 +55,14 @@ def _row_bytes(df: DataFrame) -> Column:
     return total
 
 
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of ``df`` by one aggregation."""
+    return tuple(df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first())
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measured, not guessed: one aggregation returns the row count and byte count of ``df``."""
-    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
+    """Measured, not guessed."""
+    n, size = measured_size(df)
     return n <= max_rows and size <= max_bytes
 
 

@@ -16,7 +16,7 @@ from sparkwatch.functions import (
     relevance,
     text_of,
 )
-from sparkwatch.operators import match_terms
+from sparkwatch.operators import match_patterns, match_substrings, match_terms
 from sparkwatch.sources import load_lexicon
 
 from .registry import query, table
@@ -85,17 +85,63 @@ def lexicon_table(spark, sf):
     r"""WITH lex AS (
          SELECT regexp_extract(lower(text), '[\p{L}\p{N}]+ [\p{L}\p{N}]+ [\p{L}\p{N}]+') AS term, min(item_id) AS priority
          FROM benchmark GROUP BY 1 HAVING term <> ''),
-       hits AS (SELECT doc_id, priority, term FROM documents JOIN lex ON regexp_matches(
-                  lower(text), '(^|[^\p{L}\p{N}])' || term || '([^\p{L}\p{N}]|$)'))
-       SELECT doc_id, arg_min(term, priority) AS term, min(priority) AS priority FROM hits GROUP BY doc_id"""
+       cut AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w,
+                      regexp_split_to_array(lower(text), '[\p{L}\p{N}]+') AS gap FROM documents),
+       grams AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 1),
+                   lambda i: w[i] || gap[i + 1] || w[i + 1] || gap[i + 2] || w[i + 2])) AS term FROM cut)
+       SELECT doc_id, arg_min(term, priority) AS term, min(priority) AS priority FROM grams JOIN lex USING (term) GROUP BY doc_id"""
 )
 def lexicon_table_phrases(spark, sf):
-    """Phrases of three words, the first ones of the benchmark texts, matched by joining n-grams."""
+    """Phrases of three words, the first ones of the benchmark texts, anchored by their first words."""
     phrase = F.regexp_extract(F.lower("text"), r"[\p{L}\p{N}]+ [\p{L}\p{N}]+ [\p{L}\p{N}]+", 0)
     phrases = table(spark, sf, "benchmark").select(phrase.alias("term"), F.col("item_id").alias("priority"))
     return match_terms(table(spark, sf, "documents"), "doc_id", "text", phrases, max_words=3)
 
 
+@query(
+    r"""WITH lex AS (
+         SELECT term, min(priority) AS priority FROM (
+           SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]{13,}')) AS term, conv_id * 100 + turn AS priority FROM conversations)
+         GROUP BY term),
+       words AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS word FROM documents),
+       inner_terms AS (SELECT word, term, priority FROM (SELECT DISTINCT word FROM words WHERE length(word) >= 13) JOIN lex ON contains(word, term))
+       SELECT doc_id, min(struct_pack(p := priority, t := term)).t AS term, min(priority) AS priority
+       FROM words JOIN inner_terms USING (word) GROUP BY doc_id"""
+)
+def lexicon_table_substring(spark, sf):
+    """The longer words of all conversations as a lexicon table, in order of their first turn, searched for also inside words."""
+    turns = table(spark, sf, "conversations")
+    words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]{13,})"), F.lit(1)))
+    lexicon = turns.select(words.alias("term"), (F.col("conv_id") * 100 + F.col("turn")).alias("priority"))
+    return match_substrings(table(spark, sf, "documents"), "doc_id", "text", lexicon)
+
+
+@query(
+    r"""WITH patterns AS (
+         SELECT DISTINCT unnest(list_concat(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+                                            list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS pattern
+         FROM (SELECT regexp_extract_all(lower(text), '[\p{L}\p{N}]{3,}') AS w FROM benchmark)),
+       cut AS (SELECT doc_id, regexp_extract_all(low, '[\p{L}\p{N}]+') AS w, regexp_split_to_array(low, '[\p{L}\p{N}]+') AS gap
+               FROM (SELECT doc_id, regexp_replace(lower(text), '\s+', ' ', 'g') AS low FROM documents)),
+       grams AS (
+         SELECT doc_id, i - 1 AS start, w[i] || gap[i + 1] || w[i + 1] AS pattern FROM (SELECT *, unnest(range(1, len(w))) AS i FROM cut)
+         UNION ALL
+         SELECT doc_id, i - 1, w[i] || gap[i + 1] || w[i + 1] || gap[i + 2] || w[i + 2] FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM cut))
+       SELECT doc_id, pattern FROM grams JOIN patterns USING (pattern)
+       QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY start, length(pattern) DESC) = 1"""
+)
+def pattern_table(spark, sf):
+    """All runs of two and three longer words of the benchmark texts as a table of token patterns: earliest, then longest."""
+    w = F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]{3,})"), F.lit(1))
+    items = table(spark, sf, "benchmark").select(w.alias("w")).filter("size(w) > 1")
+    runs = F.flatten(
+        F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.array(*[F.array_join(F.slice("w", i, F.lit(n)), " ") for n in (2, 3)]))
+    )
+    # runs cut short by the end of a text are one word, or pairs again
+    patterns = items.select(F.explode(runs).alias("term")).filter("contains(term, ' ')")
+    return match_patterns(table(spark, sf, "documents"), "doc_id", "text", patterns)
+
+
 @query(
     """WITH lex AS (SELECT DISTINCT lang AS term, ascii(lang) * 1000 + ascii(substr(lang, 2)) AS priority FROM documents),
        words AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS term FROM documents),
