@@ -104,9 +104,7 @@ def main(argv: list[str] | None = None) -> None:
         ).awaitTermination()
     else:
         out = Layout(args.root)
-        compact_alerts(spark, out.alerts, out.alerts_latest, retire=args.retire)
-        # compaction can take rows away, so this rollup starts over from the compacted table
-        write_snapshot(build_rollup(read_snapshot(spark, out.alerts_latest), list(ROLLUP_DIMS)), out.alert_rollup)
+        compact_alerts(spark, out.alerts, out.alerts_latest, retire=args.retire, rollup=out.alert_rollup)
 
 
 if __name__ == "__main__":

@@ -52,6 +52,12 @@ def distinct_names(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).na.drop().distinct()
 
 
+def hashed_key(key: str | Column) -> Column:
+    """Hashing folds long keys (urls, titles) to a fixed width and gives null a value of its own."""
+    key = F.col(key) if isinstance(key, str) else key
+    return F.coalesce(F.md5(key.cast("string")), F.lit("null"))
+
+
 def dedup_either(
     df: DataFrame,
     keys: Sequence[str | Column],
@@ -70,9 +76,7 @@ def dedup_either(
     """
     ensure_checkpoint_dir(df.sparkSession)
     names = [f"__k{i}" for i in range(len(keys))]
-    exprs = [F.col(k) if isinstance(k, str) else k for k in keys]
-    # hashing folds long keys (urls, titles) to a fixed width and gives null a value of its own
-    hashed = {n: F.coalesce(F.md5(e.cast("string")), F.lit("null")) for n, e in zip(names, exprs)}
+    hashed = {n: hashed_key(k) for n, k in zip(names, keys)}
     position = [F.col(o) if isinstance(o, str) else o for o in order_by]
     placed = df.withColumns({**hashed, "__ord": F.struct(*position, F.xxhash64(*df.columns).alias("__tie"))})
     # of rows that agree in all keys only the first can be accepted

@@ -25,6 +25,14 @@ def merge_rollup(old: DataFrame, delta: DataFrame, dims: Sequence[str]) -> DataF
     return union.groupBy(*dims).agg(*[F.sum(m).cast(old.schema[m].dataType).alias(m) for m in measures])
 
 
+def rollup_delta(old: DataFrame | None, new: DataFrame, dims: Sequence[str], measure: str = "alert_count") -> DataFrame:
+    """By how much the rollup changes when the rows ``old`` are replaced by ``new``: new rows count 1, replaced ones -1."""
+    signed = new.select(*dims, F.lit(1).cast("long").alias(measure))
+    if old is not None:
+        signed = signed.unionByName(old.select(*dims, F.lit(-1).cast("long").alias(measure)))
+    return signed.groupBy(*dims).agg(F.sum(measure).alias(measure)).filter(F.col(measure) != 0)
+
+
 def one_per_key(dim: DataFrame, key: str) -> DataFrame:
     """The row that stands for each key: of the current versions, the one of the last load."""
     rows = current(dim) if CURRENT in dim.columns else dim

@@ -14,6 +14,7 @@ from ..operators.alerts import date_window, top_n
 from ..operators.columns import computed_once
 from ..operators.dedup import dedup_either
 from ..session import ensure_checkpoint_dir
+from ..sinks.accepted import dedup_across_runs
 from ..sinks.events import to_events
 from ..streaming.feed import filter_feed
 
@@ -44,9 +45,20 @@ def feed_to_events(
     order_by: Sequence[str] = ("feed_position",),
     match: str = "word",
     as_of: AsOf = None,
+    accepted: str | None = None,
+    run: str | None = None,
 ) -> DataFrame:
-    """Valid and relevant articles, first of each url and title in feed order, as (key, value) events."""
+    """Valid and relevant articles, first of each url and title in feed order, as (key, value) events.
+
+    ``accepted`` is a folder that keeps what earlier runs published: urls and titles in it are not published again.
+    ``run`` then names this run; ids grow from run to run, and a run that is repeated publishes the same events.
+    """
     ensure_checkpoint_dir(articles.sparkSession)
     # what is relevant is a small part of a feed, and it is read more than once
     kept = filter_feed(articles, exclude, all_of, match).checkpoint()
-    return to_events(dedup_either(kept, ["url", F.lower("title")], order_by), as_of=as_of)
+    keys = ["url", F.lower("title")]
+    if accepted:
+        if not run:
+            raise ValueError("a run that remembers what it accepts needs an id")
+        return to_events(dedup_across_runs(kept, keys, order_by, accepted, run), as_of=as_of)
+    return to_events(dedup_either(kept, keys, order_by), as_of=as_of)

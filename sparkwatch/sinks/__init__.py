@@ -1,8 +1,10 @@
+from .accepted import dedup_across_runs
 from .events import publish, to_events
 from .layers import (
     append_table,
     bloom_options,
     cluster_by,
+    clustered_files,
     insert_new,
     with_partition_col,
     write_layer,
@@ -14,6 +16,8 @@ __all__ = [
     "append_table",
     "bloom_options",
     "cluster_by",
+    "clustered_files",
+    "dedup_across_runs",
     "insert_new",
     "publish",
     "read_snapshot",

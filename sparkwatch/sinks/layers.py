@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.dedup import dedup
+from ..operators.joins import measured_size
 
+FILE_BYTES = 512 * 1024 * 1024  # of rows before compression
 MAX_PRUNED = 1_000  # partition values of a load that are put into a scan's filter
 
 
@@ -30,6 +32,16 @@ def cluster_by(
     return parts.sortWithinPartitions(*ranged)
 
 
+def clustered_files(df: DataFrame, partition: Sequence[str], cols: Sequence[str], file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Rows in ranges of (partition, cols), sorted, as many ranges as the measured size fills files.
+
+    A partition value lies in few files, each with a narrow range of ``cols``; one that holds a large part of all rows is
+    cut into several ranges. ``df`` is read twice: pass a table, a checkpoint or a persisted frame.
+    """
+    files = max(1, -(-measured_size(df)[1] // file_bytes))
+    return cluster_by(df, [*partition, *cols], partitions=files)
+
+
 def bloom_options(cols: Sequence[str], expected_distinct: int | None = None) -> dict[str, str]:
     """Writer options that store a Bloom filter per row group for the given columns."""
     opts = {f"parquet.bloom.filter.enabled#{c}": "true" for c in cols}

@@ -1,4 +1,13 @@
-from .alerts import AlertSink, compact_alerts, dedup_stream, read_alerts, read_rollup, read_stats, start_alerts
+from .alerts import (
+    AlertSink,
+    compact_alerts,
+    dedup_stream,
+    read_alerts,
+    read_compacted_rollup,
+    read_rollup,
+    read_stats,
+    start_alerts,
+)
 from .feed import filter_feed, start_feed
 
 __all__ = [
@@ -7,6 +16,7 @@ __all__ = [
     "dedup_stream",
     "filter_feed",
     "read_alerts",
+    "read_compacted_rollup",
     "read_rollup",
     "read_stats",
     "start_alerts",

@@ -13,15 +13,17 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.times import AsOf, year_month
 from ..operators.alerts import OUTCOMES, EntityRules, outcome_stats, resolve_events, to_alert
 from ..operators.dedup import keep_latest
-from ..operators.rollups import build_rollup
-from ..sinks.layers import bloom_options, write_layer
+from ..operators.rollups import build_rollup, merge_rollup, rollup_delta
+from ..sinks.layers import bloom_options, clustered_files, write_layer
 from ..sinks.snapshots import (
     delete_path,
     expire_snapshots,
     list_folders,
+    next_version,
     path_exists,
     read_snapshot,
     snapshot_note,
+    snapshot_parts,
     snapshot_path,
     write_snapshot,
 )
@@ -157,41 +159,87 @@ def read_stats(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STATS_SCHEMA).parquet(path)
 
 
-def compact_alerts(spark: SparkSession, path: str, out: str, keep: int = 2, retire: bool = False) -> str:
+def compact_alerts(
+    spark: SparkSession, path: str, out: str, keep: int = 2, retire: bool = False, rollup: str | None = None
+) -> str:
     """Write the next snapshot of the alert table: the latest row per alert key, by month, with Bloom filters.
 
-    Batches that an earlier snapshot holds are not read again: the last snapshot and the newer batches are
-    merged. ``retire`` then removes the folders of batches that an older snapshot holds already, so that they
-    outlive the snapshot that took them in; ``keep`` snapshots stay.
+    Only batches that no earlier snapshot holds are read, and of the snapshot only the months that they touch: a month is
+    part of the alert key by way of ``published_at``, so all other months are carried over unread. A month's
+    rows are sorted by the alert key in files of measured size. ``rollup`` names a table of counts by location and disease
+    that is kept in step: what a new row replaces is subtracted (``read_compacted_rollup``). ``retire`` then removes
+    the folders of batches that an older snapshot holds already, so that they outlive the snapshot that took them
+    in; ``keep`` snapshots stay.
     """
     folders = batch_folders(spark, path)
     done = set(snapshot_note(spark, out) or [])
     fresh = [f for f in folders if f not in done]
-    known = read_snapshot(spark, out)
-    if known is not None and not fresh:
+    if snapshot_path(spark, out) is not None and not fresh:
         return snapshot_path(spark, out)
-    parts = [] if known is None else [known]
-    if fresh:
-        reader = spark.read.schema(ALERT_SCHEMA).option("basePath", path)
-        parts.append(reader.parquet(*[f"{path}/{f}" for f in fresh]).drop("stream", "batch_id"))
-    elif known is None:
-        parts.append(spark.createDataFrame([], ALERT_SCHEMA).drop("stream", "batch_id"))
-    latest = keep_latest(union_by_name(parts), ALERT_KEY, "ingestion_time", ["alert_id"])
-    options = bloom_options(["disease_key", "location_key"])
-    # a retired folder stays on the list until it is gone, then its name can be forgotten
-    written = write_snapshot(latest, out, [ALERT_MONTH], options=options, note=sorted(done.intersection(folders) | set(fresh)))
+    merged, old, parts = touched_months(spark, path, out, fresh)
+    merged = merged.persist()
+    try:
+        if rollup:
+            _write_rollup(spark, out, rollup, merged, old)
+        # a retired folder stays on the list until it is gone, then its name can be forgotten
+        note = sorted(done.intersection(folders) | set(fresh))
+        options = bloom_options(["disease_key", "location_key"])
+        ordered = clustered_files(merged, [ALERT_MONTH], ALERT_KEY)
+        written = write_snapshot(ordered, out, [ALERT_MONTH], options=options, note=note, parts=parts, rebalance=False)
+    finally:
+        merged.unpersist()
     expire_snapshots(spark, out, keep)
+    if rollup:
+        expire_rollups(spark, out, rollup)
     if retire:
         for folder in done.intersection(folders):
             delete_path(spark, f"{path}/{folder}")
     return written
 
 
-def union_by_name(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
+def touched_months(
+    spark: SparkSession, path: str, out: str, fresh: list[str]
+) -> tuple[DataFrame, DataFrame | None, dict[str, str | None]]:
+    """What the months of new batches will hold, what they hold now, and where all months will lie."""
+    months = {m for f in fresh for m in list_folders(spark, f"{path}/{f}", f"{ALERT_MONTH}=")}
+    placed = snapshot_parts(spark, out, ALERT_MONTH)
+    parts: dict[str, str | None] = {**placed, **dict.fromkeys(months)}
+    old = read_snapshot(spark, out, only=months & set(placed)) if months & set(placed) else None
+    if months:
+        reader = spark.read.schema(ALERT_SCHEMA).option("basePath", path)
+        new = reader.parquet(*[f"{path}/{f}" for f in fresh]).drop("stream", "batch_id")
+    else:
+        new = spark.createDataFrame([], ALERT_SCHEMA).drop("stream", "batch_id")
+    rows = new if old is None else old.unionByName(new)
+    return keep_latest(rows, ALERT_KEY, "ingestion_time", ["alert_id"]), old, parts
+
+
+def _write_rollup(spark: SparkSession, out: str, rollup: str, merged: DataFrame, old: DataFrame | None) -> None:
+    """The rollup that belongs to the next snapshot; it is found by its version once that is complete."""
+    version = f"v={next_version(spark, out):08d}"
+    last = read_compacted_rollup(spark, out, rollup)
+    if last is None and (known := read_snapshot(spark, out)) is not None:
+        last = build_rollup(known, ROLLUP_DIMS)  # kept from now on
+    counts = rollup_delta(old, merged, ROLLUP_DIMS)
+    if last is not None:
+        counts = merge_rollup(last, counts, ROLLUP_DIMS).filter("alert_count <> 0")
+    counts.write.mode("overwrite").parquet(f"{rollup}/{version}")
+
+
+def read_compacted_rollup(spark: SparkSession, out: str, rollup: str) -> DataFrame | None:
+    """Alert counts by location and disease over the newest snapshot of the alert table."""
+    current = snapshot_path(spark, out)
+    path = current and f"{rollup}/{current.rstrip('/').rpartition('/')[2]}"
+    if not path or not path_exists(spark, f"{path}/_SUCCESS"):
+        return None
+    return spark.read.schema(T.StructType(ROLLUP_SCHEMA.fields[:3])).parquet(path)
+
+
+def expire_rollups(spark: SparkSession, out: str, rollup: str) -> None:
+    """Remove the rollups of snapshots that are gone."""
+    for version in list_folders(spark, rollup, "v="):
+        if not path_exists(spark, f"{out}/{version}/_SUCCESS"):
+            delete_path(spark, f"{rollup}/{version}")
 
 
 def batch_folders(spark: SparkSession, path: str) -> list[str]:

@@ -16,7 +16,7 @@ from sparkwatch.sinks import to_events
 from sparkwatch.sources import EventSource, decode_json
 from sparkwatch.sources.feed import ARTICLE_SCHEMA, articles_of, read_article_feed
 from sparkwatch.sinks import read_snapshot
-from sparkwatch.streaming import AlertSink, compact_alerts, read_alerts, read_stats, start_alerts
+from sparkwatch.streaming import AlertSink, compact_alerts, dedup_stream, read_alerts, read_compacted_rollup, read_stats, start_alerts
 
 from .registry import query, table, work_dir
 from .text import sql_contains, sql_first, sql_word
@@ -242,6 +242,63 @@ def alerts_compacted(spark, sf):
     return read_snapshot(spark, f"{root}/latest").select("alert_id", "source", "published_at", "url")
 
 
+# Three batches of the articles that overlap, taken in on three days.
+DAYS = ("2024-02-01 06:00:00", "2024-02-02 06:00:00", "2024-02-03 06:00:00")
+BATCHES = ("published_at < '2024-01-15'", "published_at >= '2024-01-10' AND published_at <> 'zz'", "true")
+# A second month for some sources, and a batch that touches only this month.
+FEBRUARY = "source IN ('src1', 'src2', 'src5')"
+
+
+def sql_batch(where: str, as_of: str, resolved: str = RESOLVED, rows: str = ARTICLES) -> str:
+    """The alerts of one batch."""
+    return f"(WITH {resolved.replace(rows, f'SELECT * FROM ({rows}) WHERE {where}')} {ALERTS.replace(AS_OF, as_of)})"
+
+
+def latest_sql(batches: list[str]) -> str:
+    return f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, location_key, published_at, disease_key
+                                                 ORDER BY ingestion_time DESC, alert_id) AS rn
+                              FROM ({' UNION ALL '.join('SELECT * FROM ' + b for b in batches)})) WHERE rn = 1"""
+
+
+def in_batches(spark, sf, rows, batches) -> str:
+    """Alerts written batch by batch, (condition, time of intake) each, with a compaction after every one."""
+    root = work_dir(spark, "alerts")
+    dims = diseases(spark, sf), locations(spark, sf)
+    sink = AlertSink(f"{root}/out", f"{root}/stats", lambda: dims[0], lambda: dims[1], DISEASE_RULES, PLACE_RULES, stream="desk")
+    for i, (where, as_of) in enumerate(batches):
+        replace(sink, as_of=as_of)(rows.filter(where), i)
+        compact_alerts(spark, f"{root}/out", f"{root}/latest", rollup=f"{root}/rollup")
+    return root
+
+
+@query(
+    f"""SELECT location_key, disease_key, count(*) AS alert_count
+        FROM ({latest_sql([sql_batch(w, d) for w, d in zip(BATCHES, DAYS)])}) GROUP BY ALL"""
+)
+def rollup_after_compaction(spark, sf):
+    """The rollup that is kept in step with the compacted table: rows that a later batch replaces are subtracted."""
+    root = in_batches(spark, sf, articles(spark, sf).drop("doc_id"), list(zip(BATCHES, DAYS)))
+    return read_compacted_rollup(spark, f"{root}/latest", f"{root}/rollup")
+
+
+TWO_MONTHS = ARTICLES.replace("ELSE '2024-01-'", f"ELSE CASE WHEN {FEBRUARY} THEN '2024-02-' ELSE '2024-01-' END")
+_TWO_MONTHS_RESOLVED = RESOLVED.replace(ARTICLES, TWO_MONTHS)
+_FEBRUARY_ONLY = "published_at LIKE '2024-02%'"
+
+
+@query(
+    f"""SELECT alert_id, source, published_at, ingestion_time, CAST(year(published_at) * 100 + month(published_at) AS INTEGER) AS published_month
+        FROM ({latest_sql([sql_batch(w, d, _TWO_MONTHS_RESOLVED, TWO_MONTHS) for w, d in (("true", DAYS[0]), (_FEBRUARY_ONLY, DAYS[1]))])})"""
+)
+def compaction_two_months(spark, sf):
+    """The compacted table after a second batch that touches one of its two months; the other one is carried over."""
+    shifted = F.when(F.expr(FEBRUARY), F.regexp_replace("published_at", "^2024-01", "2024-02")).otherwise(F.col("published_at"))
+    rows = articles(spark, sf).drop("doc_id").withColumn("published_at", shifted)
+    root = in_batches(spark, sf, rows, [("true", DAYS[0]), (_FEBRUARY_ONLY, DAYS[1])])
+    latest = read_snapshot(spark, f"{root}/latest")
+    return latest.select("alert_id", "source", "published_at", "ingestion_time", "published_month")
+
+
 @query(
     f"""WITH {RESOLVED}
         SELECT count(*) AS total, count(*) FILTER (outcome = 'no_disease') AS no_disease,
@@ -391,3 +448,47 @@ def feed_events(spark, sf):
         [T.StructField(n, T.StringType()) for n in ("source", "published_at", "url", "language")]
     )
     return events.select(F.md5("key").alias("key_md5"), F.from_json("value", fields).alias("d")).select("key_md5", "d.*")
+
+
+_TITLE = "lower(regexp_replace(title, '^\\s+|\\s+$', '', 'g'))"
+
+
+@query(
+    f"""WITH articles AS ({ARTICLES}), bodies AS (SELECT *, {_TEXT} AS body, CASE WHEN {FEBRUARY} THEN 1 ELSE 0 END AS run FROM articles),
+        kept AS (SELECT * FROM bodies WHERE trim(title) <> '' AND NOT {_any(EXCLUDED)} AND {_any(GROUPS[0])} AND {_any(GROUPS[1])})
+        SELECT url, run FROM kept QUALIFY row_number() OVER (PARTITION BY {_TITLE} ORDER BY run, doc_id) = 1"""
+)
+def feed_two_runs(spark, sf):
+    """Two runs of the feed, the second one repeated: what the first published isn't published again. Urls are unique here."""
+    rows = articles(spark, sf).withColumns(
+        {"content": F.lit(None).cast("string"), "author": F.lit(None).cast("string"), "feed_position": F.col("doc_id")}
+    )
+    accepted = work_dir(spark, "accepted")
+    url = T.StructType([T.StructField("url", T.StringType())])
+
+    def run(where: str, name: str):
+        events = feed_to_events(rows.filter(where), EXCLUDED, GROUPS, ["feed_position"], as_of=AS_OF, accepted=accepted, run=name)
+        return events.select(F.from_json("value", url)["url"].alias("url"))
+
+    first = run(f"NOT ({FEBRUARY})", "2024-02-01")
+    run(FEBRUARY, "2024-02-02")
+    second = run(FEBRUARY, "2024-02-02")
+    return first.withColumn("run", F.lit(0)).unionByName(second.withColumn("run", F.lit(1)))
+
+
+@query("SELECT user_id, event_type, min(ts) >= TIMESTAMP '2023-01-01 00:00:00' AS in_time, 1::BIGINT AS rows FROM events GROUP BY ALL")
+def stream_dedup(spark, sf):
+    """A stream of three batches with bounded state: all events, all of them again, and late ones of two years before.
+
+    The stream is stopped and started again from its checkpoint between the batches.
+    """
+    root = work_dir(spark, "dedup")
+    events = table(spark, sf, "events").select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    late = events.withColumn("ts", F.col("ts") - F.expr("INTERVAL 730 DAYS"))
+    for batch in (events, events, late):
+        batch.write.mode("append").parquet(f"{root}/in")
+        rows = dedup_stream(spark.readStream.schema(events.schema).parquet(f"{root}/in"), ["user_id", "event_type"], "ts", "400 days")
+        writer = rows.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ck")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    kept = spark.read.schema(events.schema).parquet(f"{root}/out")
+    return kept.groupBy("user_id", "event_type").agg((F.min("ts") >= "2023-01-01").alias("in_time"), F.count(F.lit(1)).alias("rows"))
