@@ -6,11 +6,12 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import is_blank
+from .columns import computed_once
 from .dedup import total_order
 
 FUNNEL_STEPS = ("rows_in", "null", "blank", "duplicate", "bound", "final", "rows_out")
@@ -72,6 +73,22 @@ def assert_or_remove(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return drop_any_blank(df), null_profile(df)
 
 
+def hold_invariant(df: DataFrame, cols: Sequence[str] | None = None) -> tuple[DataFrame, Observation]:
+    """The rows without a null or blank, and an observation of those removed: {rows, column: how many broke it there}.
+
+    The observation is filled by the job that writes the rows; nothing is read for it.
+    """
+    cols = list(df.columns if cols is None else cols)
+    text = set(_strings(df, cols))
+    # the tests stay apart from those of earlier rules, which the optimizer would combine with them at length
+    tests = F.array(*[F.when(is_blank(c) if c in text else F.col(c).isNull(), F.lit(c)) for c in cols])
+    tested = computed_once(df, {"__broken": F.array_compact(tests)})
+    broken = F.size("__broken") > 0
+    seen = Observation()
+    counts = [F.count_if(F.array_contains("__broken", c)).alias(c) for c in cols]
+    return tested.observe(seen, F.count_if(broken).alias("rows"), *counts).filter(~broken).drop("__broken"), seen
+
+
 def quality_funnel(
     df: DataFrame,
     key: Sequence[str],

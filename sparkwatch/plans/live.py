@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.times import AsOf
 from ..operators.alerts import EntityRules, load_dim_lookup
 from ..operators.rollups import build_rollup, geo_totals, merge_rollup, trend_by_year
+from ..sinks.conformed import read_good
 from ..sinks.snapshots import read_snapshot, snapshot_note, write_snapshot
 from ..sources.events import EventSource
 from ..streaming.alerts import ROLLUP_DIMS, AlertSink, start_alerts
@@ -73,7 +74,7 @@ def update_rollup(delta: DataFrame, root: str, batch: str, dims: Sequence[str] =
 
 
 def _facts(spark: SparkSession, out: Layout) -> DataFrame:
-    return spark.read.schema(FACT_SCHEMA).parquet(out.fact_outbreaks)
+    return read_good(spark, out.fact_outbreaks, FACT_SCHEMA)
 
 
 def warehouse_trend(spark: SparkSession, out: Layout, by: Sequence[str] = ("disease_name", "region_code")) -> DataFrame:

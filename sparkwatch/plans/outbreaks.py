@@ -134,8 +134,8 @@ class CleaningRules:
     legacy_order: bool = False
 
     def __post_init__(self):
-        # with this no step after the strict drop can bring a blank back, so the final check finds nothing
-        if any(not value.strip() for _, value in self.repairs):
+        # in the legacy order a repair comes after the strict drop, and the final check removes the blanks it makes
+        if not self.legacy_order and any(not value.strip() for _, value in self.repairs):
             raise ValueError("a repair must not produce a blank")
 
     def winner(self) -> list[Column]:

@@ -1,4 +1,5 @@
 from .accepted import dedup_across_runs
+from .conformed import conformed, read_good, read_rejected, write_conformed
 from .events import publish, to_events
 from .layers import (
     append_table,
@@ -17,13 +18,17 @@ __all__ = [
     "bloom_options",
     "cluster_by",
     "clustered_files",
+    "conformed",
     "dedup_across_runs",
     "insert_new",
     "publish",
+    "read_good",
+    "read_rejected",
     "read_snapshot",
     "snapshot_path",
     "to_events",
     "with_partition_col",
+    "write_conformed",
     "write_layer",
     "write_metrics",
     "write_snapshot",

@@ -14,7 +14,9 @@ from ..functions.times import AsOf, year_month
 from ..operators.alerts import OUTCOMES, EntityRules, outcome_stats, resolve_events, to_alert
 from ..operators.dedup import keep_latest
 from ..operators.rollups import build_rollup, merge_rollup, rollup_delta
-from ..sinks.layers import bloom_options, clustered_files, write_layer
+from ..operators.conform import REASONS
+from ..sinks.conformed import OUTCOME, RAW, conformed, write_conformed
+from ..sinks.layers import bloom_options, clustered_files
 from ..sinks.snapshots import (
     delete_path,
     expire_snapshots,
@@ -51,6 +53,12 @@ ALERT_SCHEMA = T.StructType(
         T.StructField(ALERT_MONTH, T.IntegerType()),
     ]
 )
+# What an alert must have, and the length of its id; other alerts are kept apart as rejected.
+ALERT_REQUIRED = ("alert_id", "disease_key", "location_key", "published_at", "ingestion_time")
+ALERT_LENGTHS = {"alert_id": 32}
+ALERT_ROWS = T.StructType(
+    [T.StructField(f.name, f.dataType, f.name not in ALERT_REQUIRED) for f in ALERT_SCHEMA.fields if f.name not in ("stream", "batch_id")]
+)
 ROLLUP_DIMS = ("location_key", "disease_key")
 ROLLUP_SCHEMA = T.StructType(
     [
@@ -109,14 +117,14 @@ class AlertSink:
             row = one.select(*[F.lit(stats[n]).cast("long").alias(n) for n in ("total", *OUTCOMES)])
             row.write.mode("overwrite").parquet(f"{self.stats_path}/{folder}")
             alerts = to_alert(resolved.filter(F.col("outcome") == "inserted"), self.as_of)
-            alerts = alerts.withColumn(ALERT_MONTH, year_month("published_at"))
+            alerts = conformed(alerts.withColumn(ALERT_MONTH, year_month("published_at")), ALERT_ROWS, ALERT_LENGTHS)
             # micro-batches run without adaptive execution, and most of their rows are of one month: rows are
             # spread over as many tasks as the batch fills files
             files = max(1, -(-stats["inserted"] // self.rows_per_file))
             spread = alerts.repartition(files, ALERT_MONTH, F.pmod(F.xxhash64("alert_id"), F.lit(files)))
-            write_layer(spread, f"{self.path}/{folder}", [ALERT_MONTH], rebalance=False)
+            write_conformed(spread, ALERT_ROWS, f"{self.path}/{folder}", [ALERT_MONTH], rebalance=False)
             if self.rollup_path:
-                part = build_rollup(alerts, ROLLUP_DIMS).coalesce(files)
+                part = build_rollup(alerts.filter(F.col(OUTCOME) == "good"), ROLLUP_DIMS).coalesce(files)
                 part.write.mode("overwrite").parquet(f"{self.rollup_path}/{folder}")
         finally:
             resolved.unpersist()
@@ -146,7 +154,14 @@ def start_alerts(
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     """All alerts written so far, as written, batch by batch."""
-    return spark.read.schema(ALERT_SCHEMA).parquet(path)
+    return spark.read.schema(ALERT_SCHEMA).parquet(path).filter(F.col(OUTCOME) == "good").drop(OUTCOME)
+
+
+def read_rejected_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """The alerts that did not fit the table, with reject_reasons and raw."""
+    more = [T.StructField(REASONS, T.ArrayType(T.StringType())), T.StructField(RAW, T.StringType())]
+    rows = spark.read.schema(T.StructType([*ALERT_SCHEMA.fields, *more])).parquet(path)
+    return rows.filter(F.col(OUTCOME) == "rejected").drop(OUTCOME)
 
 
 def read_rollup(spark: SparkSession, path: str) -> DataFrame:
@@ -201,13 +216,14 @@ def touched_months(
     spark: SparkSession, path: str, out: str, fresh: list[str]
 ) -> tuple[DataFrame, DataFrame | None, dict[str, str | None]]:
     """What the months of new batches will hold, what they hold now, and where all months will lie."""
-    months = {m for f in fresh for m in list_folders(spark, f"{path}/{f}", f"{ALERT_MONTH}=")}
+    good = [f"{path}/{f}/{OUTCOME}=good" for f in fresh if path_exists(spark, f"{path}/{f}/{OUTCOME}=good")]
+    months = {m for f in good for m in list_folders(spark, f, f"{ALERT_MONTH}=")}
     placed = snapshot_parts(spark, out, ALERT_MONTH)
     parts: dict[str, str | None] = {**placed, **dict.fromkeys(months)}
     old = read_snapshot(spark, out, only=months & set(placed)) if months & set(placed) else None
     if months:
         reader = spark.read.schema(ALERT_SCHEMA).option("basePath", path)
-        new = reader.parquet(*[f"{path}/{f}" for f in fresh]).drop("stream", "batch_id")
+        new = reader.parquet(*good).drop("stream", "batch_id", OUTCOME)
     else:
         new = spark.createDataFrame([], ALERT_SCHEMA).drop("stream", "batch_id")
     rows = new if old is None else old.unionByName(new)

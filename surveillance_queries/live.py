@@ -12,11 +12,11 @@ from sparkwatch.operators.alerts import EntityRules, extract_entities, resolve_e
 from sparkwatch.operators.scd import current
 from sparkwatch.plans import feed_page as page_of
 from sparkwatch.plans import feed_to_events
-from sparkwatch.sinks import to_events
-from sparkwatch.sources import EventSource, decode_json
+from sparkwatch.sinks import publish, to_events
+from sparkwatch.sources import EventSource, decode_json, read_events, stream_article_feed
 from sparkwatch.sources.feed import ARTICLE_SCHEMA, articles_of, read_article_feed
 from sparkwatch.sinks import read_snapshot
-from sparkwatch.streaming import AlertSink, compact_alerts, dedup_stream, read_alerts, read_compacted_rollup, read_stats, start_alerts
+from sparkwatch.streaming import AlertSink, compact_alerts, dedup_stream, read_alerts, read_compacted_rollup, read_stats, start_alerts, start_feed
 
 from .registry import query, table, work_dir
 from .text import sql_contains, sql_first, sql_word
@@ -450,6 +450,29 @@ def feed_events(spark, sf):
     return events.select(F.md5("key").alias("key_md5"), F.from_json("value", fields).alias("d")).select("key_md5", "d.*")
 
 
+@query(
+    f"""WITH articles AS ({ARTICLES}), bodies AS (SELECT *, {_TEXT} AS body FROM articles WHERE source <> 'src3'),
+        kept AS (SELECT * FROM bodies WHERE trim(title) <> '' AND NOT {_any(EXCLUDED)} AND {_any(GROUPS[0])} AND {_any(GROUPS[1])})
+        SELECT url, source FROM kept
+        QUALIFY row_number() OVER (PARTITION BY lower(regexp_replace(title, '^\\s+|\\s+$', '', 'g')) ORDER BY published_at, url) = 1"""
+)
+def feed_stream(spark, sf):
+    """Landed payloads through the stream that filters, drops repeats of a url or title, and publishes events."""
+    root = work_dir(spark, "feed")
+    payloads(spark, sf).write.json(f"{root}/in")
+    start_feed(stream_article_feed(spark, f"{root}/in"), EXCLUDED, GROUPS, f"{root}/ck", path=f"{root}/topic", as_of=AS_OF).awaitTermination()
+    events = decode_json(read_events(spark, EventSource("json", path=f"{root}/topic/*")))
+    return events.select("url", "source")
+
+
+@query("SELECT count(*) AS sent, count(*) AS stored FROM documents")
+def events_sent(spark, sf):
+    """How many events a publish reports, beside how many lie there."""
+    path = work_dir(spark, "topic")
+    sent = publish(to_events(articles(spark, sf), fields=("title", "source", "url"), as_of=AS_OF), "json", path)
+    return read_events(spark, EventSource("json", path=path)).agg(F.lit(sent).alias("sent"), F.count(F.lit(1)).alias("stored"))
+
+
 _TITLE = "lower(regexp_replace(title, '^\\s+|\\s+$', '', 'g'))"
 
 

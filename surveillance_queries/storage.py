@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkwatch.functions import year_month
-from sparkwatch.plans import Layout, run_batch, warehouse_geo, warehouse_trend
+from sparkwatch.plans import CleaningRules, Layout, run_batch, warehouse_geo, warehouse_trend
+from sparkwatch.plans.batch import FACT_LENGTHS, FACT_SCHEMA, run_bronze, run_silver
 from sparkwatch.plans.outbreaks import RAW_COLUMNS
 from sparkwatch.sinks import (
     append_table,
     bloom_options,
     cluster_by,
     insert_new,
+    read_good,
+    read_rejected,
     read_snapshot,
     with_partition_col,
     write_layer,
     write_snapshot,
 )
-from sparkwatch.sources import read_layer
+from sparkwatch.sources import read_layer, read_raw_csv
+from sparkwatch.sources.layers import with_lineage
 
 from .registry import query, table, work_dir
 
@@ -63,8 +67,21 @@ def table_snapshots(spark, sf):
     return read_snapshot(spark, root)
 
 
-def raw_files(spark, sf, path: str, part: str = "true") -> None:
-    """Raw outbreak files from the order tables, with blanks, missing and unparsable years among them."""
+@query("SELECT o_orderkey, o_orderstatus AS folder, o_totalprice FROM orders")
+def file_lineage(spark, sf):
+    """Orders landed in a folder per status and read back as one table: each row knows the file it came from."""
+    root = work_dir(spark, "landed")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    orders.write.partitionBy("o_orderstatus").option("header", True).csv(root)
+    rows = with_lineage(read_raw_csv(spark, f"{root}/*/*.csv", orders.drop("o_orderstatus").schema))
+    return rows.select("o_orderkey", F.regexp_extract("source_file", "o_orderstatus=([^/]+)/[^/]+csv$", 1).alias("folder"), "o_totalprice")
+
+
+def raw_files(spark, sf, path: str, part: str = "true", short: str = "false") -> None:
+    """Raw outbreak files from the order tables, with blanks, missing and unparsable years among them.
+
+    ``short`` tells which records have a DON id of the wrong length.
+    """
     orders = table(spark, sf, "orders").filter(part).withColumnRenamed("o_custkey", "c_custkey")
     nation = table(spark, sf, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
     customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
@@ -83,7 +100,7 @@ def raw_files(spark, sf, path: str, part: str = "true") -> None:
         "unsd_region": F.col("r_name"),
         "unsd_subregion": F.col("r_name"),
         "who_region": F.nullif("r_name", F.lit("ASIA")),
-        "DONs": F.concat(F.lit("DON"), (year * 100 + F.month("o_orderdate")).cast("string")),
+        "DONs": F.concat(F.when(F.expr(short), "D").otherwise("DON"), (year * 100 + F.month("o_orderdate")).cast("string")),
     }
     cols = [fields.get(c, F.lit("x")).alias(c) for c in RAW_COLUMNS]
     rows.select(*cols).write.mode("overwrite").option("header", True).option("quoteAll", True).option(
@@ -121,6 +138,63 @@ def batch_pipeline(spark, sf):
     return tables["fact_outbreaks"].drop("ingestion_timestamp")
 
 
+SHORT = "o_orderstatus = 'P'"
+SHORT_FACT = BATCH_FACT.replace("'DON' ||", f"CASE WHEN {SHORT} THEN 'D' ELSE 'DON' END ||")
+
+
+@query(
+    f"""WITH facts AS ({SHORT_FACT})
+        SELECT outbreak_id, CASE WHEN length(don_id) = 9 THEN 'good' ELSE 'rejected' END AS outcome,
+               CASE WHEN length(don_id) <> 9 THEN 'don_id: length is not 9' END AS reason,
+               count(*) FILTER (length(don_id) = 9) OVER () AS facts_good, count(*) FILTER (length(don_id) <> 9) OVER () AS facts_rejected
+        FROM facts"""
+)
+def batch_rejects(spark, sf):
+    """Good and rejected facts of a load with DON ids of the wrong length, and their counts as observed by the write.
+
+    The same files are loaded twice; rejected facts are stored once as well.
+    """
+    root = work_dir(spark, "rejects")
+    raw_files(spark, sf, f"{root}/raw", short=SHORT)
+    out = Layout(f"{root}/warehouse")
+    lengths = {**FACT_LENGTHS, "don_id": 9}
+    for run in ("r1", "r2"):
+        run_batch(spark, f"{root}/raw/*.csv", out.root, as_of=AS_OF, run_id=run, fact_lengths=lengths)
+    counts = read_layer(spark, out.metrics).filter("run_id = 'r1' AND metric LIKE 'facts_%'")
+    wide = counts.groupBy().pivot("metric", ["facts_good", "facts_rejected"]).agg(F.first("number"))
+    good = read_good(spark, out.fact_outbreaks, FACT_SCHEMA).select("outbreak_id", F.lit("good").alias("outcome"), F.lit(None).cast("string").alias("reason"))
+    bad = read_rejected(spark, out.fact_outbreaks, FACT_SCHEMA)
+    rejected = bad.select("outbreak_id", F.lit("rejected").alias("outcome"), F.array_join("reject_reasons", "; ").alias("reason"))
+    return good.unionByName(rejected).join(F.broadcast(wide))
+
+
+BLANKED = "NATION_1%"
+
+
+@query(
+    f"""WITH raw AS ({RAW}), bronze AS (SELECT * FROM raw WHERE year IS NOT NULL),
+        ok AS (SELECT * FROM bronze WHERE definition <> '' AND region_code IS NOT NULL),
+        winners AS (SELECT *, row_number() OVER (PARTITION BY outbreak_id ORDER BY year DESC, disease_name, definition,
+                               'A00.' || o_orderstatus, country, iso3, region_code, don_id) AS rn FROM ok),
+        best AS (SELECT * FROM winners WHERE rn = 1 AND year >= 1996)
+        SELECT 'rows_in' AS metric, (SELECT count(*) FROM bronze) AS number
+        UNION ALL SELECT 'final', (SELECT count(*) FROM best WHERE country LIKE '{BLANKED}')
+        UNION ALL SELECT 'final_country', (SELECT count(*) FROM best WHERE country LIKE '{BLANKED}')
+        UNION ALL SELECT 'rows_out', (SELECT count(*) FROM best WHERE country NOT LIKE '{BLANKED}')
+        UNION ALL SELECT 'stored', (SELECT count(*) FROM best WHERE country NOT LIKE '{BLANKED}')"""
+)
+def funnel_final(spark, sf):
+    """Cleaning rules whose repair blanks some countries after the strict drop: the write's final check removes and counts them."""
+    root = work_dir(spark, "final")
+    raw_files(spark, sf, f"{root}/raw")
+    out = Layout(f"{root}/warehouse")
+    run_bronze(spark, f"{root}/raw/*.csv", out, AS_OF, "r1")
+    silver = run_silver(spark, out, CleaningRules(legacy_order=True, repairs=((BLANKED, " "),)), AS_OF, "r1")
+    rows = read_layer(spark, out.metrics).filter("run_id = 'r1' AND stage = 'silver' AND number IS NOT NULL")
+    wanted = rows.filter(F.col("metric").isin("rows_in", "final", "final_country", "rows_out")).select("metric", "number")
+    return wanted.unionByName(silver.agg(F.lit("stored").alias("metric"), F.count(F.lit(1)).alias("number")))
+
+
 def two_loads(spark, sf) -> tuple[Layout, dict]:
     """A warehouse after two loads of the same years; the second one opens new versions of every disease."""
     root = work_dir(spark, "batch")

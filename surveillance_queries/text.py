@@ -16,6 +16,7 @@ from sparkwatch.functions import (
     relevance,
     text_of,
 )
+from sparkwatch.functions.text import prefix
 from sparkwatch.operators import match_patterns, match_substrings, match_terms
 from sparkwatch.sources import load_lexicon
 
@@ -188,6 +189,14 @@ def earliest_pattern(spark, sf):
     )
 
 
+@query(f"SELECT doc_id, md5(substr(text, 1, 500)) AS prefix_md5, {sql_pattern('substr(text, 1, 500)', 'WORD')} AS word FROM documents")
+def text_prefix(spark, sf):
+    """The first 500 characters, and the earliest pattern in them, as a matcher with a bounded window sees a text."""
+    text = F.col("text")
+    found = first_pattern(text, PATTERNS, "WORD", limit=500)
+    return table(spark, sf, "documents").select("doc_id", F.md5(prefix(text, 500)).alias("prefix_md5"), found.alias("word"))
+
+
 CASCADE_TERMS = ("orantion", "hehely", "rewh", "von")
 
 

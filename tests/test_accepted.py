@@ -48,9 +48,9 @@ def alerts(spark, path, batch, data):
     day = "to_timestamp(concat('2024-', lpad(month, 2, '0'), '-', lpad(day, 2, '0')))"
     frame = spark.createDataFrame(data, "alert_id string, source string, month int, day int, taken int").selectExpr(
         "alert_id", "'d' AS disease_key", "source AS location_key", f"{day} AS published_at", "date_add('2024-05-01', taken)::timestamp AS ingestion_time",
-        "alert_id AS title", "source", "alert_id AS url", "false AS published_at_imputed", f"(202400 + month)::int AS {ALERT_MONTH}",
+        "alert_id AS title", "source", "alert_id AS url", "false AS published_at_imputed", f"(202400 + month)::int AS {ALERT_MONTH}", "'good' AS outcome",
     )
-    write_layer(frame, f"{path}/stream=s/batch_id={batch}", [ALERT_MONTH])
+    write_layer(frame, f"{path}/stream=s/batch_id={batch}", ["outcome", ALERT_MONTH])
 
 
 def test_only_touched_months_are_read_and_written(spark, tmp_path):
@@ -91,7 +91,7 @@ def test_only_touched_months_are_read_and_written(spark, tmp_path):
 def test_a_rollup_that_starts_later_and_an_old_snapshot(spark, tmp_path):
     path, out, rollup = f"{tmp_path}/alerts", f"{tmp_path}/latest", f"{tmp_path}/rollup"
     alerts(spark, path, 0, [("a1", "s1", 1, 5, 0), ("a2", "s2", 2, 5, 0)])
-    whole = spark.read.schema(ALERT_SCHEMA).option("basePath", path).parquet(f"{path}/stream=s/batch_id=0").drop("stream", "batch_id")
+    whole = spark.read.schema(ALERT_SCHEMA).option("basePath", path).parquet(f"{path}/stream=s/batch_id=0").drop("stream", "batch_id", "outcome")
     write_snapshot(whole, out, [ALERT_MONTH], note=["stream=s/batch_id=0"])  # written as a whole
     assert read_compacted_rollup(spark, out, rollup) is None
     alerts(spark, path, 1, [("b1", "s1", 1, 5, 1), ("b2", "s1", 1, 6, 1)])
