@@ -128,7 +128,8 @@ def replicated(queries: DataFrame, layout, pivots, width: int = 0) -> DataFrame:
             else:
                 x, p = matrix(vs, width).astype(np.float64), pivots.value.astype(np.float64)
                 bound = x @ p.T + np.sqrt((x * x).sum(axis=1))[:, None] * radius[None, :]
-                need = (bound * (1 + 1e-9) + 1 >= floor.to_numpy()[:, None]) & (radius >= 0)[None, :]
+                # raised by more than its rounding error, also where it is negative
+                need = (bound + 1e-9 * np.abs(bound) + 1 >= floor.to_numpy()[:, None]) & (radius >= 0)[None, :]
                 need[np.arange(len(own)), own] = False
                 q, target = np.nonzero(need)
             copies = blocks[target]
@@ -173,6 +174,14 @@ def solve(data: DataFrame, queries: DataFrame, k: int, width: int) -> DataFrame:
             return empty
         return pa.table({c: np.concatenate(v) for c, v in zip(("row", "query", "id", "score"), zip(*parts, strict=True), strict=True)})
 
-    return data.groupBy("cell", "block").cogroup(queries.groupBy("cell", "block")).applyInArrow(
-        block_task, "row long, query long, id long, score long"
-    )
+    found = "row long, query long, id long, score long"
+    # every block of a cell meets the same queries; beyond QUERIES of them they come in parts, each with a copy of the block
+    meeting = {r["cell"]: r["count"] for r in queries.filter("block = 0").groupBy("cell").count().collect()}  # at most PIVOTS
+    if max(meeting.values(), default=0) <= QUERIES:
+        return data.groupBy("cell", "block").cogroup(queries.groupBy("cell", "block")).applyInArrow(block_task, found)
+    parts = F.expr(f"array({', '.join(str(max(1, -(-meeting.get(c, 0) // QUERIES))) for c in range(max(meeting) + 1))})")
+    here = F.coalesce(F.get(parts, F.col("cell")), F.lit(1))
+    copies = data.withColumn("part", F.explode(F.sequence(F.lit(0), here - 1)))
+    dealt = queries.withColumn("part", F.pmod(F.xxhash64("row"), here).cast("int"))
+    keys = ("cell", "block", "part")
+    return copies.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInArrow(block_task, found)

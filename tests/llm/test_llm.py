@@ -360,6 +360,23 @@ def test_top_k_against_brute_force(spark, pivots, block):
     assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in got} == expected and len(got) == len(expected)
 
 
+def test_top_k_with_a_cell_that_many_queries_need(spark, monkeypatch):
+    """All products negative and large, so bounds are; queries of a block come in parts of two."""
+    rng = np.random.default_rng(3)
+    rows = [(i, (-(2.0**20) * sign * rng.uniform(0.5, 1, 4)).tolist()) for i, sign in enumerate([1] * 90)]
+    rows += [(100 * i + 1_000, (2.0**20 * rng.uniform(0.5, 1, 4)).tolist()) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: np.floor(1024 * np.array(e)).astype(int) for i, e in rows}
+    queries_ = [i for i in whole if i % 100 == 0]
+    expected = set()
+    for q in queries_:
+        best = sorted((-int(whole[q] @ x), i) for i, x in whole.items() if i != q)[:10]
+        expected |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
+    monkeypatch.setattr(knn, "QUERIES", 2)
+    got = knn.top_k(df, knn.F.col("vec_id") % 100 == 0, pivots=5, block=16).collect()
+    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in got} == expected and len(got) == len(expected)
+
+
 # ---- personal data ----
 
 
@@ -566,7 +583,7 @@ def test_empty_tables(spark, empty):
 def test_query_agrees_with_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     cursor = con.execute(queries.ORACLES[name])
     columns = [d[0] for d in cursor.description]
