@@ -11,11 +11,12 @@ term it is, wherever it occurs; from ``remove`` on it is taken out.
 
 Counts are summed before they are shuffled. Which terms to count and to look for is told by a bitmap of fixed size, and
 false hits are sorted out by a join on the term itself. Defined results: a null text counts as empty and has no spans;
-repeated rows count as documents; further columns are ignored by the search and
-kept by ``sanitise``; an empty table gives no rows.
+repeated rows count as documents; of rows with one id or none each has the spans of its own text; further columns are ignored by
+the search and kept by ``sanitise``; an empty table gives no rows.
 """
 
 import re
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,7 @@ from .common import chunks, stored
 KINDS = ("email", "ip", "card", "phone", "term")
 ORDER = {k: i for i, k in enumerate(KINDS)}
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
-REACH = 40  # characters per word of a window in which it is looked for
+REACH = 40  # characters per word of a window that are looked through at first
 TERM_BITS = 1 << 24  # of the bitmap of terms (2 MB)
 BLOCK_BITS = 1 << 15  # in a block of Spark's bitmap functions
 
@@ -109,41 +110,66 @@ def joined(spans: list[Span]) -> str:
     return ",".join([f"{k}:{a}:{b}" for k, a, b in spans])
 
 
-def contexts(text: str, spans: list[Span], window: int) -> list[tuple[str, list[str]]]:
-    """(entity, terms around it) for every mention; terms that lie in a span are left away."""
-    out = []
+def words_before(text: str, end: int, n: int) -> list[tuple[int, int]]:
+    """Places of the last n terms before ``end``, however far away they are."""
+    reach = REACH * n
+    while True:
+        low = max(0, end - reach)
+        found = [m.span() for m in TERM.finditer(text, low, end)]
+        if low and found and found[0][0] == low:  # it may begin farther left
+            found = found[1:]
+        if len(found) >= n or not low:
+            return found[-n:]
+        reach *= 4
+
+
+def words_after(text: str, start: int, n: int) -> list[tuple[int, int]]:
+    return [m.span() for m in islice(TERM.finditer(text, start), n)]
+
+
+def contexts(text: str, spans: list[Span], window: int) -> dict[str, list[str]]:
+    """The terms around all mentions of each entity; terms that lie in a span are left away."""
+    out: dict[str, set[str]] = {}
     for kind, a, b in spans:
         value = re.sub(r"[ ().-]", "", text[a:b]) if kind in ("card", "phone") else text[a:b].lower()
-        near: list[str] = []
-        low = max(0, a - REACH * window)
-        before = [(low + m.start(), low + m.end()) for m in TERM.finditer(text[low:a])][-window:]
-        after = [(b + m.start(), b + m.end()) for m in TERM.finditer(text[b : b + REACH * window])][:window]
-        for s, e in before + after:
+        near = out.setdefault(f"{kind}:{value}", set())
+        for s, e in words_before(text, a, window) + words_after(text, b, window):
             if not any(s < y and e > x for _, x, y in spans):
-                near.append(text[s:e].lower())
-        out.append((f"{kind}:{value}", sorted(set(near))))
-    return out
+                near.add(text[s:e].lower())
+    return {entity: sorted(terms) for entity, terms in out.items()}
+
+
+def terms_of(text: str) -> list[str]:
+    """The distinct terms of a text in lower case, each lowered by itself as at its places."""
+    return list({t.lower() for t in set(TERM.findall(text))})
+
+
+def text_hash(text: str) -> int:
+    """The hash of a text as Spark's xxhash64 has it."""
+    h = xxhash.xxh64_intdigest(text.encode(), 42)
+    return h - (1 << 64) if h >> 63 else h
 
 
 def scanned(df: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
-    """(id, base spans, text hash, mentions) of every row, in one pass."""
+    """(id, base spans, text hash and length, mentions) of every row, in one pass; one mention per entity."""
     mention = pa.list_(pa.struct([("entity", pa.string()), ("terms", pa.list_(pa.string()))]))
 
     def task(batches):
         for batch, texts in chunks(batches, "text"):
-            base, hashes, mentions = [], [], []
+            base, hashes, sizes, mentions = [], [], [], []
             for text in texts:
                 text = text or ""
                 spans = base_spans(text)
                 base.append(joined(spans))
-                hashes.append(xxhash.xxh64_intdigest(text.encode()) - (1 << 63) if spans else 0)
-                mentions.append([{"entity": e, "terms": t} for e, t in contexts(text, spans, window)] if spans else None)
-            columns = [batch.column(0), pa.array(base), pa.array(hashes, pa.int64()), pa.array(mentions, mention)]
-            yield pa.record_batch(columns, ["id", "base", "h", "mentions"])
+                hashes.append(text_hash(text))
+                sizes.append(len(text))
+                mentions.append([{"entity": e, "terms": t} for e, t in contexts(text, spans, window).items()] if spans else None)
+            columns = [batch.column(0), pa.array(base), pa.array(hashes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(mentions, mention)]
+            yield pa.record_batch(columns, ["id", "base", "h", "size", "mentions"])
 
     kind = df.schema[id_col].dataType.simpleString()
     return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        task, f"id {kind}, base string, h long, mentions array<struct<entity:string,terms:array<string>>>"
+        task, f"id {kind}, base string, h long, size int, mentions array<struct<entity:string,terms:array<string>>>"
     )
 
 
@@ -173,7 +199,7 @@ def document_counts(df: DataFrame, text_col: str, packed: np.ndarray) -> DataFra
         counts: dict[str, int] = {}
         for _, texts in chunks(batches, "text"):
             for text in texts:
-                terms = list(set(TERM.findall((text or "").lower())))
+                terms = terms_of(text or "")
                 if terms:
                     for i in np.flatnonzero(has_bit(shared.value, terms)).tolist():
                         counts[terms[i]] = counts.get(terms[i], 0) + 1
@@ -187,49 +213,44 @@ def document_counts(df: DataFrame, text_col: str, packed: np.ndarray) -> DataFra
     return found.groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
-def term_spans(df: DataFrame, id_col: str, text_col: str, packed: np.ndarray) -> DataFrame:
-    """(id, term, starts, ends) of terms whose bit is set, outside the base spans."""
+def term_spans(df: DataFrame, text_col: str, packed: np.ndarray) -> DataFrame:
+    """(h, size, term, start, end) of terms whose bit is set, outside the base spans. Where they lie depends on the text alone."""
     shared = df.sparkSession.sparkContext.broadcast(packed)
 
     def task(batches):
-        for batch, texts in chunks(batches, "text"):
-            ids = batch.column(0).to_pylist()
+        for _, texts in chunks(batches, "text"):
             rows: list[tuple] = []
-            for doc, text in zip(ids, texts, strict=True):
+            for text in texts:
                 text = text or ""
-                terms = list(set(TERM.findall(text.lower())))
+                terms = terms_of(text)
                 if not terms:
                     continue
                 hits = {terms[i] for i in np.flatnonzero(has_bit(shared.value, terms)).tolist()}
                 if not hits:
                     continue
-                base = base_spans(text)
+                base, h = base_spans(text), text_hash(text)
                 for m in TERM.finditer(text):
                     term = m.group().lower()
                     if term in hits and not any(m.start() < y and m.end() > x for _, x, y in base):
-                        rows.append((doc, term, m.start(), m.end()))
+                        rows.append((h, len(text), term, m.start(), m.end()))
             if rows:
-                a, b, c, d = zip(*rows, strict=True)
+                a, n, b, c, d = zip(*rows, strict=True)
                 yield pa.record_batch(
-                    [pa.array(a, id_type), pa.array(b, pa.string()), pa.array(c, pa.int64()), pa.array(d, pa.int64())],
-                    ["id", "term", "start", "end"],
+                    [pa.array(a, pa.int64()), pa.array(n, pa.int32()), pa.array(b, pa.string()), pa.array(c, pa.int64()), pa.array(d, pa.int64())],
+                    ["h", "size", "term", "start", "end"],
                 )
 
-    kind = df.schema[id_col].dataType.simpleString()
-    id_type = to_arrow_type(df.schema[id_col].dataType)
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        task, f"id {kind}, term string, start long, end long"
-    )
+    return df.select(F.col(text_col).alias("text")).mapInArrow(task, "h long, size int, term string, start long, end long")
 
 
 def revealing_terms(
     df: DataFrame, scan: DataFrame, text_col: str, generalise: float, remove: float
 ) -> DataFrame | None:
     """(term, disclosure, action) of the terms over the threshold; None where no entity has a term near it."""
-    mentions = scan.filter("mentions IS NOT NULL").select("id", "h", F.explode("mentions").alias("m"))
-    mentions = mentions.select("id", "h", "m.entity", "m.terms")
-    entities = mentions.select("id", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    pairs = mentions.select("id", "h", "entity", F.explode("terms").alias("term")).distinct()
+    # all counts are of rows; a row has an entity once
+    mentions = scan.filter("mentions IS NOT NULL").select(F.explode("mentions").alias("m")).select("m.entity", "m.terms")
+    entities = mentions.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    pairs = mentions.select("entity", F.explode("terms").alias("term"))
     together = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_pair"))
     near = stored(together.join(entities, "entity"), "pii-pairs")
     if near.isEmpty():
@@ -245,15 +266,16 @@ def revealing_terms(
     )
 
 
-def term_hits(
-    df: DataFrame, scan: DataFrame, id_col: str, text_col: str, generalise: float, remove: float
-) -> DataFrame | None:
-    """(id, extra) with the spans of revealing terms, for the rows that have any; None where no term reveals anything."""
+def term_hits(df: DataFrame, scan: DataFrame, text_col: str, generalise: float, remove: float) -> DataFrame | None:
+    """(h, size, extra) with the spans of revealing terms, for the texts that have any; None where no term reveals anything.
+
+    Texts are known by hash and length, so rows need no ids, and copies of a text are one row.
+    """
     terms = revealing_terms(df, scan, text_col, generalise, remove)
     if terms is None or terms.isEmpty():
         return None
-    hits = term_spans(df, id_col, text_col, bitmap(terms.select("term"))).join(terms, "term")
-    return stored(hits.groupBy("id").agg(F.collect_set(F.struct("start", "end", "action")).alias("extra")), "pii-hits")
+    hits = term_spans(df, text_col, bitmap(terms.select("term"))).join(terms, "term")
+    return stored(hits.groupBy("h", "size").agg(F.collect_set(F.struct("start", "end", "action")).alias("extra")), "pii-hits")
 
 
 def find_personal_data(
@@ -269,11 +291,11 @@ def find_personal_data(
     ``removed`` lists the starts of the term spans that are taken out rather than generalised.
     """
     scan = stored(scanned(df, id_col, text_col, window), "pii-scan")
-    hits = term_hits(df, scan, id_col, text_col, generalise, remove)
+    hits = term_hits(df, scan, text_col, generalise, remove)
     if hits is None:
         found = scan.withColumn("extra", F.expr("cast(null as array<struct<start:long,end:long,action:string>>)"))
     else:
-        found = scan.join(hits, "id", "left")
+        found = scan.join(hits, ["h", "size"], "left")
     kinds = F.filter(F.split("base", ","), lambda s: s != "")
     base = F.transform(
         kinds,
@@ -335,7 +357,7 @@ def sanitise(
 ) -> DataFrame:
     """``df`` with its spans replaced in the text. Texts are joined with term spans only where there are any."""
     scan = stored(scanned(df, id_col, text_col, window), "pii-scan")
-    hits = term_hits(df, scan, id_col, text_col, generalise, remove)
+    hits = term_hits(df, scan, text_col, generalise, remove)
 
     @F.pandas_udf("string")
     def plain(texts: pd.Series) -> pd.Series:
@@ -348,5 +370,7 @@ def sanitise(
 
     if hits is None:
         return df.withColumn(text_col, plain(text_col))
-    marked = df.join(hits.select(F.col("id").alias("__id"), F.col("extra").alias("__extra")), F.col(id_col) == F.col("__id"), "left")
+    whole = F.coalesce(F.col(text_col), F.lit(""))
+    known = df.withColumns({"__h": F.xxhash64(whole), "__size": F.char_length(whole)})
+    marked = known.join(hits.select(F.col("h").alias("__h"), F.col("size").alias("__size"), F.col("extra").alias("__extra")), ["__h", "__size"], "left")
     return marked.withColumn(text_col, both(text_col, "__extra")).select(df.columns)

@@ -436,6 +436,59 @@ def test_sanitise_without_terms(docs):
     assert out[0] == dict(sample_texts())[0]
 
 
+def spans_by_pmi(texts, window=6, generalise=0.9):
+    """Term spans by counting rows one by one; the base spans are those of the patterns."""
+    texts = [t or "" for t in texts]
+    near, with_entity, with_term = collections.Counter(), collections.Counter(), collections.Counter()
+    base = [pii.base_spans(t) for t in texts]
+
+    def free(start, end, spans):
+        return not any(start < b and end > a for _, a, b in spans)
+
+    words = [[(m.start(), m.end(), m.group().lower()) for m in re.finditer(r"[^\W_]+", t)] for t in texts]
+    for text, spans, tokens in zip(texts, base, words):
+        found: dict = {}
+        for kind, a, b in spans:
+            value = re.sub(r"[ ().-]", "", text[a:b]) if kind in ("card", "phone") else text[a:b].lower()
+            left = [t for t in tokens if t[0] < a]
+            left = [(s, min(e, a), text[s : min(e, a)].lower()) for s, e, _ in left][-window:]
+            right = [(m.start(), m.end(), m.group().lower()) for m in re.finditer(r"[^\W_]+", text[b:])][:window]
+            right = [(s + b, e + b, w) for s, e, w in right]
+            found.setdefault((kind, value), set()).update(w for s, e, w in left + right if free(s, e, spans))
+        for entity, terms in found.items():
+            with_entity[entity] += 1
+            near.update((entity, t) for t in terms)
+        with_term.update({t[2] for t in tokens})
+    n = len(texts)
+    best: dict = {}
+    for (entity, term), both in near.items():
+        known = math.log(n / with_entity[entity])
+        gain = math.log(both * n / (with_term[term] * with_entity[entity])) / known if known > 0 and with_term[term] else 0
+        best[term] = max(best.get(term, 0), gain)
+    return [sorted((s, e) for s, e, w in tokens if best.get(w, 0) >= generalise and free(s, e, spans)) for tokens, spans in zip(words, base)]
+
+
+def test_term_spans_against_counting(spark):
+    """Equal ids with other texts, rows without an id, terms far from their mention, copies, and letters that change length in lower case."""
+    rng = random.Random(12)
+    gap = " " * 900
+    texts = [" ".join(rng.choices(WORDS, k=30)) for _ in range(25)]
+    texts += [f"Quillonette writes from {i}@mail.example.org to {rng.choice(WORDS)}" for i in range(3)]
+    texts += [f"a@b.co {gap}Quillonettes{gap} Zebrafish", f"{'y' * 700}Marker {gap} +49 30 1234567", "Quillon at the gate", "quillonette alone", "zebrafish marker"]
+    texts += ["İstanbul office 10.1.2.3 Kelvinism", "istanbul kelvinism İSTANBUL", None, "", "a@b.co", *["Copied text by copyist 10.9.9.9"] * 6, "copyist"]
+    ids = [i % 9 if i % 5 else None for i in range(len(texts))]
+    frame = spark.createDataFrame(list(zip(ids, texts, range(len(texts)))), "doc_id long, text string, n int")
+    expected = collections.Counter()
+    for i, text, terms in zip(ids, texts, spans_by_pmi(texts)):
+        every = [*pii.base_spans(text or ""), *(("term", a, b) for a, b in terms)]
+        expected[i, pii.joined(sorted(every, key=lambda s: (s[1], pii.ORDER[s[0]])))] += 1
+    got = collections.Counter((r["id"], r["spans"]) for r in pii.find_personal_data(frame).collect())
+    assert got == expected and sum("term:" in s for _, s in got) >= 8
+    cleaned = {r["n"]: r["text"] for r in pii.sanitise(frame).collect()}
+    assert len(cleaned) == len(texts) and cleaned[texts.index("Quillon at the gate")] == "Quillon at the gate"
+    assert "10.9.9.9" not in "".join(t or "" for t in cleaned.values())
+
+
 # ---- passages ----
 
 
