@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 from functools import cache
 
@@ -27,7 +29,24 @@ def build_session(app_name: str = "sparkwatch", master: str | None = None, **con
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which load its functions by name, once per application."""
+    _ship(spark.sparkContext.applicationId, spark)
+
+
+@cache
+def _ship(application: str, spark: SparkSession) -> None:
+    package = os.path.dirname(os.path.abspath(__file__))
+    if not os.path.isdir(package):
+        return  # it runs from an archive that was shipped already
+    folder = tempfile.mkdtemp(prefix=f"{os.path.basename(package)}-package-")  # the driver's own: executors fetch it from there
+    archive = shutil.make_archive(os.path.join(folder, os.path.basename(package)), "zip", os.path.dirname(package), os.path.basename(package))
+    spark.sparkContext.addPyFile(archive)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -102,17 +102,17 @@ def lexicon_table_phrases(spark, sf):
 @query(
     r"""WITH lex AS (
          SELECT term, min(priority) AS priority FROM (
-           SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]{13,}')) AS term, conv_id * 100 + turn AS priority FROM conversations)
+           SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]{9,}')) AS term, conv_id * 100 + turn AS priority FROM conversations)
          GROUP BY term),
        words AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS word FROM documents),
-       inner_terms AS (SELECT word, term, priority FROM (SELECT DISTINCT word FROM words WHERE length(word) >= 13) JOIN lex ON contains(word, term))
+       inner_terms AS (SELECT word, term, priority FROM (SELECT DISTINCT word FROM words WHERE length(word) >= 9) JOIN lex ON contains(word, term))
        SELECT doc_id, min(struct_pack(p := priority, t := term)).t AS term, min(priority) AS priority
        FROM words JOIN inner_terms USING (word) GROUP BY doc_id"""
 )
 def lexicon_table_substring(spark, sf):
     """The longer words of all conversations as a lexicon table, in order of their first turn, searched for also inside words."""
     turns = table(spark, sf, "conversations")
-    words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]{13,})"), F.lit(1)))
+    words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]{9,})"), F.lit(1)))
     lexicon = turns.select(words.alias("term"), (F.col("conv_id") * 100 + F.col("turn")).alias("priority"))
     return match_substrings(table(spark, sf, "documents"), "doc_id", "text", lexicon)
 
