@@ -228,3 +228,78 @@ def license_sql() -> str:
 
 
 ORACLES["op11_rare_token_licenses"] = license_sql()
+
+
+def repair_sql() -> str:
+    """The damage, the faults, and the cheapest edits by a search over suffixes: a list of rows, last first, is folded to the best per state.
+
+    The best of a state is (cost, audit, lines); structs and lists compare in that order.
+    """
+    follow = ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})  # states: nothing kept, after s, u, a
+    made = (("user", 2), ("user", 2), ("assistant", 3), ("user", 2))
+    far = 1_000_000_000
+    fits = lambda s: "CASE x.r[1:1] " + " ".join(f"WHEN '{i}' THEN acc.b[{to + 1}].c + x.e" for i, to in follow[s].items()) + f" ELSE {far} END"
+    kept = lambda s, what: "CASE x.r[1:1] " + " ".join(f"WHEN '{i}' THEN acc.b[{to + 1}].{what}" for i, to in follow[s].items()) + f" ELSE acc.b[1].{what} END"
+
+    def passed(s: int) -> str:
+        """Edits that pass the row."""
+        role, to = made[s]
+        return f"""list_min([
+            {{'c': acc.b[{s + 1}].c + 2, 'a': 'D' || acc.b[{s + 1}].a, 'l': acc.b[{s + 1}].l}},
+            {{'c': CASE WHEN x.g THEN {far} ELSE {fits(s)} END, 'a': 'K' || {kept(s, 'a')}, 'l': list_prepend(x.r || ':' || x.t, {kept(s, 'l')})}},
+            {{'c': CASE WHEN x.g THEN {far} ELSE acc.b[{to + 1}].c + 1 + x.e END, 'a': 'R' || acc.b[{to + 1}].a, 'l': list_prepend('{role}:' || x.t, acc.b[{to + 1}].l)}}])"""
+
+    def inserted(s: int, source: str) -> str:
+        """The best of a state after up to three turns inserted before the row."""
+        options, at, cost, audit, lines = [], s, 0, "", []
+        for _ in range(4):
+            front = f"list_concat([{', '.join(lines)}], {source}[{at + 1}].l)" if lines else f"{source}[{at + 1}].l"
+            options.append(f"{{'c': {source}[{at + 1}].c + {cost}, 'a': '{audit}' || {source}[{at + 1}].a, 'l': {front}}}")
+            role, to = made[at]
+            at, cost, audit, lines = to, cost + 5, audit + "I", [*lines, f"'{role}:'"]
+        return f"list_min([{', '.join(options)}])"
+
+    end = "[{'c': 0, 'a': '', 'l': []::VARCHAR[]}, {'c': 10, 'a': 'II', 'l': ['user:', 'assistant:']}, {'c': 5, 'a': 'I', 'l': ['assistant:']}, {'c': 0, 'a': '', 'l': []::VARCHAR[]}]"
+    row = f"{{'g': false, 'r': '', 't': '', 'e': 0, 'b': {end}}}"
+    step = (
+        f"{{'g': x.g, 'r': x.r, 't': x.t, 'e': x.e, "
+        f"'b': list_transform([[{', '.join(passed(p) for p in range(4))}]], lambda n: [{', '.join(inserted(s, 'n') for s in range(4))}])[1]}}"
+    )
+    return f"""
+    WITH bits AS (
+        SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+        FROM range(256) AS r(i)
+    ), named AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT) AS bytes
+        FROM conversations
+    ), marked AS (
+        SELECT n.*, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, b: xor(c >> 8, t[1 + xor(c & 255, b)])), 4294967295) % 20 AS fault FROM named AS n, bits
+    ), damaged AS (
+        SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+               CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM marked, range(CASE WHEN fault = 3 THEN 2 ELSE 1 END) AS r(copy) WHERE fault <> 0
+    ), placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+               regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) AS last FROM damaged
+    ), faults AS (
+        SELECT *, CASE WHEN last = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+                       WHEN last NOT IN ('.', '!', '?') THEN 't' ELSE 'o' END AS kind,
+               lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1:1] AS pair FROM placed
+    ), folded AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (kind = 'b') AS blank,
+               count(*) FILTER (kind = 'd') AS duplicate, count(*) FILTER (kind = 't') AS truncated,
+               count(*) FILTER (i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal,
+               list({{'g': kind IN ('b', 'd'), 'r': role, 't': text, 'e': CASE WHEN kind = 't' THEN 5 ELSE 0 END, 'b': {end}}} ORDER BY i DESC) AS rows
+        FROM faults GROUP BY conv_id
+    ), best AS (
+        SELECT *, list_reduce(list_prepend({row}, rows), lambda acc, x: {step}).b[1] AS best FROM folded
+    )
+    SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+           coalesce(illegal, 0) AS illegal, coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.a, '') AS audit,
+           sha256(coalesce(array_to_string(best.l, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) AS a LEFT JOIN best AS r ON a.conv_id IS NOT DISTINCT FROM r.conv_id
+"""
+
+
+ORACLES["op13_auction_conversation_repair"] = repair_sql()

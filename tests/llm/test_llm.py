@@ -636,7 +636,7 @@ def test_empty_tables(spark, empty):
 def test_query_agrees_with_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "benchmark"):
+    for t in ("documents", "embeddings", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     cursor = con.execute(queries.ORACLES[name])
     columns = [d[0] for d in cursor.description]
