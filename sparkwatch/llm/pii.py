@@ -134,7 +134,9 @@ def contexts(text: str, spans: list[Span], window: int) -> dict[str, list[str]]:
         value = re.sub(r"[ ().-]", "", text[a:b]) if kind in ("card", "phone") else text[a:b].lower()
         near = out.setdefault(f"{kind}:{value}", set())
         for s, e in words_before(text, a, window) + words_after(text, b, window):
-            if not any(s < y and e > x for _, x, y in spans):
+            # a piece of a term that a span cuts is no term of the text
+            cut = (s == b and TERM.match(text, s - 1, s)) or (e == a and TERM.match(text, a, a + 1))
+            if not cut and not any(s < y and e > x for _, x, y in spans):
                 near.add(text[s:e].lower())
     return {entity: sorted(terms) for entity, terms in out.items()}
 
@@ -252,14 +254,22 @@ def revealing_terms(
     entities = mentions.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     pairs = mentions.select("entity", F.explode("terms").alias("term"))
     together = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_pair"))
-    near = stored(together.join(entities, "entity"), "pii-pairs")
+    total = scan.count()
+
+    def disclosure(texts_of_term: str) -> F.Column:
+        gain = F.log(F.col("n_pair") * total / (F.col(texts_of_term) * F.col("n_entity")))
+        known = F.log(F.lit(float(total)) / F.col("n_entity"))
+        return F.when(known > 0, gain / known).otherwise(0.0)
+
+    # a term is in no fewer rows than it is near a mention in: by that, most frequent terms can't reveal anything and aren't counted
+    around = scan.filter("mentions IS NOT NULL").select(F.explode(F.array_distinct(F.flatten("mentions.terms"))).alias("term"))
+    least = around.groupBy("term").agg(F.count(F.lit(1)).alias("n_least"))
+    possible = together.join(entities, "entity").join(least, "term").filter(disclosure("n_least") >= generalise - 1e-9)
+    near = stored(possible.drop("n_least"), "pii-pairs")
     if near.isEmpty():
         return None
-    total = scan.count()
     counts = document_counts(df, text_col, bitmap(near.select("term")))
-    gain = F.log(F.col("n_pair") * total / (F.col("n_term") * F.col("n_entity")))
-    known = F.log(F.lit(float(total)) / F.col("n_entity"))
-    scored = near.join(counts, "term").withColumn("disclosure", F.when(known > 0, gain / known).otherwise(0.0))
+    scored = near.join(counts, "term").withColumn("disclosure", disclosure("n_term"))
     best = scored.groupBy("term").agg(F.max("disclosure").alias("disclosure")).filter(F.col("disclosure") >= generalise)
     return stored(
         best.withColumn("action", F.when(F.col("disclosure") >= remove, "remove").otherwise("generalise")), "pii-terms"

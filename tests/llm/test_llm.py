@@ -454,7 +454,7 @@ def spans_by_pmi(texts, window=6, generalise=0.9):
             left = [(s, min(e, a), text[s : min(e, a)].lower()) for s, e, _ in left][-window:]
             right = [(m.start(), m.end(), m.group().lower()) for m in re.finditer(r"[^\W_]+", text[b:])][:window]
             right = [(s + b, e + b, w) for s, e, w in right]
-            found.setdefault((kind, value), set()).update(w for s, e, w in left + right if free(s, e, spans))
+            found.setdefault((kind, value), set()).update(w for s, e, w in left + right if (s, e) in {t[:2] for t in tokens} and free(s, e, spans))
         for entity, terms in found.items():
             with_entity[entity] += 1
             near.update((entity, t) for t in terms)
@@ -475,7 +475,7 @@ def test_term_spans_against_counting(spark):
     texts = [" ".join(rng.choices(WORDS, k=30)) for _ in range(25)]
     texts += [f"Quillonette writes from {i}@mail.example.org to {rng.choice(WORDS)}" for i in range(3)]
     texts += [f"a@b.co {gap}Quillonettes{gap} Zebrafish", f"{'y' * 700}Marker {gap} +49 30 1234567", "Quillon at the gate", "quillonette alone", "zebrafish marker"]
-    texts += ["İstanbul office 10.1.2.3 Kelvinism", "istanbul kelvinism İSTANBUL", None, "", "a@b.co", *["Copied text by copyist 10.9.9.9"] * 6, "copyist"]
+    texts += ["İstanbul office 10.1.2.3 Kelvinism", "istanbul kelvinism İSTANBUL", None, "", "a@b.co", *["Copied text by copyist 10.9.9.9"] * 6, "copyist", "c@d.comé attached", "é alone", "e@f.org" + "é" * 3, "ééé é"]
     ids = [i % 9 if i % 5 else None for i in range(len(texts))]
     frame = spark.createDataFrame(list(zip(ids, texts, range(len(texts)))), "doc_id long, text string, n int")
     expected = collections.Counter()
