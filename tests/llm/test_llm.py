@@ -550,6 +550,48 @@ def test_windows_after_the_first_of_a_value_count(spark):
     assert {r.start_word // 50 for r in found if r.id == 501} == {0, 3} or len({r.start_word for r in found if r.id == 501}) == 2
 
 
+def test_windows_meet_whatever_the_batches(spark):
+    rng = random.Random(31)
+    rows = set()
+    for v, most in enumerate([1, 2, 5, 12, 13, 14, 40, 200, 3, 1]):
+        rows |= {(v * 8 + rng.randint(0, 5), rng.randint(0, most // 2), (c := rng.randint(100, 900)), ((c - rng.randint(0, 50)) << 32) | (c + rng.randint(45, 90))) for _ in range(most)}
+    expected = collections.Counter()
+    places = set()
+    for v in {r[0] for r in rows}:
+        group = sorted((r for r in rows if r[0] == v), key=lambda r: r[:3])
+        pairs = [(x, y) for i, x in enumerate(group) for y in group[i + 1 :]]
+        if len(group) > substring.ALL_PAIRS:
+            for _, i, c, ends in group:
+                low, high = max(ends >> 32, c - 45), min(c, (ends & 0xFFFFFFFF) - 45)
+                places |= {(i, v & 7, p) for p in range(low, high + 1)}
+            pairs, before = [], None
+            for x, y in itertools.pairwise(group):
+                before = x if x[1] != y[1] else before
+                pairs += [(group[0], y)] + [(before, y)] * bool(before and before[1] != group[0][1])
+        expected.update((x[1], y[1], v & 7, *x[2:], *y[2:]) for x, y in pairs if x[1] != y[1])
+    df = spark.createDataFrame(sorted(rows), "v long, id long, c long, lr long")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(key)
+    for size in ("1", "7", "10000"):
+        spark.conf.set(key, size)
+        try:
+            found = substring.links(df, 46).collect()
+        finally:
+            spark.conf.set(key, usual)
+        assert collections.Counter(tuple(r) for r in found if r.f < substring.CROWDED) == expected
+        told = [r for r in found if r.f >= substring.CROWDED]
+        assert {(r.a, r.f - substring.CROWDED, p) for r in told for p in range(r.ca, r.lra + 1)} == places
+
+
+def test_stretches_that_enough_functions_crowd(spark):
+    rng = random.Random(32)
+    rows = [(i, 8 + f, s, s + rng.randint(0, 30)) for i in range(9) for f in range(6) for s in range(rng.randint(0, 40), 400, 60)]
+    df = spark.createDataFrame(rows, "a long, f long, ca long, lra long")
+    depth = collections.Counter((i, p) for i, _, s, e in rows for p in range(s, e + 1))
+    found = {(r.id, p) for r in substring.crowded_stretches(df, 4).collect() for x in r.ranges for p in range(x.s, x.e + 1)}
+    assert found == {at for at, n in depth.items() if n >= 4}
+
+
 def shared_lines(rng: random.Random) -> tuple[list[tuple], list[tuple]]:
     """(rows, pairs): passages of two documents whose lines also occur by themselves in many others."""
     words = itertools.count()
