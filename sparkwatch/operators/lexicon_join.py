@@ -29,6 +29,9 @@ from .joins import BROADCAST_BYTES, BROADCAST_ROWS, auto_broadcast_bytes, estima
 INLINE_HEADS = 10_000
 PARTS = r"[\p{L}\p{N}]++|[^\p{L}\p{N}]++"
 GRAM = 3  # characters of an anchor; shorter terms are anchored by themselves
+# the same for terms within one word, the longest that fits: there are so few grams of three letters that words and terms
+# which share one grow with the square of the data
+WORD_GRAMS = (8, 5)
 
 
 def word_list(text: Column) -> Column:
@@ -145,7 +148,9 @@ def match_substrings(
     ``max_rows`` and ``max_bytes``, with one pass over words or texts for each part.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    shape = {"q": F.least(F.char_length("gram"), F.lit(GRAM)), "inner": F.col("gram").rlike(f"^{WORD_CHAR}+$")}
+    inner, length = F.col("gram").rlike(f"^{WORD_CHAR}+$"), F.char_length("gram")
+    longer = [F.when(inner & (length >= q), q) for q in WORD_GRAMS]
+    shape = {"q": F.coalesce(*longer, F.least(length, F.lit(GRAM))), "inner": inner}
     terms = lexicon_terms(lexicon, keep).withColumns(shape).checkpoint()
     kinds = terms.select("inner", "q").distinct().collect()
     found = []

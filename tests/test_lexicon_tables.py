@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkwatch.functions import Lexicon, Pattern, first_pattern, first_term
-from sparkwatch.operators import match_patterns, match_substrings, match_terms
+from sparkwatch.operators import lexicon_join, match_patterns, match_substrings, match_terms
 from sparkwatch.operators.alerts import EntityRules, extract_entities
 
 from helpers import rows
@@ -49,6 +49,18 @@ def test_substring_table_equals_the_expression(spark, docs, texts):
     }
 
 
+def test_longer_terms_in_words_are_anchored_by_longer_grams(spark, monkeypatch):
+    """Words and terms that share short grams only are not brought together."""
+    sizes = set()
+    cut = lexicon_join.char_grams
+    monkeypatch.setattr(lexicon_join, "char_grams", lambda text, q: (sizes.add(q), cut(text, q))[1])
+    found = spark.createDataFrame([(0, "xabcdefghiy abcdefgh"), (1, "zabcdefz abcdxefgh"), (2, "vabcdv")], "i int, t string")
+    lexicon = spark.createDataFrame([("abcdefghi", 0), ("abcdef", 1), ("abc", 2)], "term string, priority int")
+    hits = {(r["i"], r["term"]) for r in match_substrings(found, "i", "t", lexicon).collect()}
+    assert hits == {(0, "abcdefghi"), (1, "abcdef"), (2, "abc")}
+    assert sizes == {8, 5, 3}
+
+
 def test_substring_table_equals_first_term(spark, docs):
     terms = ["miso", "o ka", "qi", "TUre ", "nana", "lo", "kalo"]
     lexicon = spark.createDataFrame(list(zip([*terms, " "], [3, 1, 2, 2, 0, 9, 9, 0])), "term string, priority int")
