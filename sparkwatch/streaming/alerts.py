@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.times import AsOf, year_month
 from ..operators.alerts import OUTCOMES, EntityRules, outcome_stats, resolve_events, to_alert
 from ..operators.dedup import keep_latest
+from ..operators.joins import measured_size
 from ..operators.rollups import build_rollup, merge_rollup, rollup_delta
 from ..operators.conform import REASONS
 from ..sinks.conformed import OUTCOME, RAW, conformed, write_conformed
@@ -35,6 +36,7 @@ from ..sources.events import EVENT_SCHEMA, EventSource, decode_json, read_event_
 # The sort key under which alerts replace each other, and the month layout column.
 ALERT_KEY = ("source", "location_key", "published_at", "disease_key")
 ALERT_MONTH = "published_month"
+TASK_BYTES = 128 * 1024 * 1024  # of alerts before compression that one task writes
 
 
 ALERT_SCHEMA = T.StructType(
@@ -103,6 +105,7 @@ class AlertSink:
     as_of: AsOf = None
     fold: bool = False
     rows_per_file: int = 1_000_000
+    file_bytes: int = TASK_BYTES
     rollup_path: str | None = None
     stream: str | None = None  # by default the identity that Spark keeps in the checkpoint
 
@@ -119,9 +122,9 @@ class AlertSink:
             alerts = to_alert(resolved.filter(F.col("outcome") == "inserted"), self.as_of)
             alerts = conformed(alerts.withColumn(ALERT_MONTH, year_month("published_at")), ALERT_ROWS, ALERT_LENGTHS)
             # micro-batches run without adaptive execution, and most of their rows are of one month: rows are
-            # spread over as many tasks as the batch fills files
-            files = max(1, -(-stats["inserted"] // self.rows_per_file))
-            spread = alerts.repartition(files, ALERT_MONTH, F.pmod(F.xxhash64("alert_id"), F.lit(files)))
+            # spread evenly over as many tasks as the batch fills files, by rows or by bytes
+            files = max(1, -(-stats["inserted"] // self.rows_per_file), -(-measured_size(alerts)[1] // self.file_bytes))
+            spread = alerts.repartition(files, "alert_id")
             write_conformed(spread, ALERT_ROWS, f"{self.path}/{folder}", [ALERT_MONTH], rebalance=False)
             if self.rollup_path:
                 part = build_rollup(alerts.filter(F.col(OUTCOME) == "good"), ROLLUP_DIMS).coalesce(files)

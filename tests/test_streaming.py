@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,6 +70,18 @@ def run(spark, dims, root):
     start_alerts(spark, source, sink(dims, root), f"{root}/ck", trigger=None).awaitTermination()
 
 
+def test_a_batch_is_written_by_as_many_tasks_as_its_bytes_fill(spark, dims, tmp_path):
+    text = "cholera in yemen " + "x" * 1_000
+    rows = [(f"{text} {i}", None, "s", "2024-01-05", f"u{i}") for i in range(64)]
+    batch = spark.createDataFrame(rows, "title string, description string, source string, published_at string, url string")
+    wide, small = (replace(sink(dims, f"{tmp_path}/{n}", n), file_bytes=n_bytes) for n, n_bytes in (("wide", 1 << 20), ("small", 1 << 13)))
+    wide(batch, 0)
+    small(batch, 0)
+    files = [spark.read.parquet(f"{tmp_path}/{n}/alerts").groupBy(F.input_file_name()).count().collect() for n in ("wide", "small")]
+    assert len(files[0]) == 1 and files[0][0]["count"] == 64
+    assert len(files[1]) > 4 and max(r["count"] for r in files[1]) < 32 and sum(r["count"] for r in files[1]) == 64
+
+
 def test_outcomes_in_order_and_nothing_lost(spark, dims):
     df = spark.createDataFrame(EVENTS, "title string, description string, source string, published_at string, url string")
     resolved = resolve_events(df, *dims, DISEASES, COUNTRIES)
