@@ -627,6 +627,30 @@ def test_lines_shared_by_many_do_not_part_a_passage(spark):
     assert all(r.n_words >= 60 for r in found)
 
 
+def test_similar_passages_on_crowded_values(spark):
+    """A passage and its variant, without 50 words in common at a stretch, whose pieces many others hold in between."""
+    rng, words = random.Random(23), itertools.count()
+
+    def prose(n):
+        return [f"w{next(words)}x{rng.randint(0, 99)}" for _ in range(n)]
+
+    rows, pairs = [], set()
+    for k in range(8):
+        passage = prose(72)
+        variant = [*passage[:36], *prose(1), *passage[37:]]
+        pieces = [passage[i : i + 14] for i in range(0, 64, 9)]
+        base = 1000 * k
+        for at in [*range(20), *range(100, 120), *range(200, 220)]:
+            rows.append((base + at, " ".join(prose(30) + [w for p in pieces for w in [*p, *prose(42)]])))
+        a, b = base + 50, base + 150
+        rows += [(a, " ".join(prose(60) + passage + prose(60))), (b, " ".join(prose(50) + variant + prose(70)))]
+        pairs.add((a, b))
+    found = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.other_id, r.id) for r in found} == pairs
+    assert all(r.similarity >= 0.8 and r.n_words >= 50 for r in found)
+    assert {(r.id, r.class_id) for r in found} == {(b, a) for a, b in pairs}
+
+
 # ---- secrets ----
 
 
