@@ -1,8 +1,11 @@
 """Language-model scoring with class-based n-grams.
 
-Words are counted over the whole training corpus. Every word belongs to a clustering unit: each of the most frequent words
-is a unit of its own, all others are dealt to units by their form (ending and length), so that every token counts, however
-rare its word. Exchange clustering moves units between classes while that raises the likelihood of the class bigrams. A
+Words are counted over the whole training corpus. Classes are made in two steps. First every word belongs to a clustering
+unit: each of the most frequent words is a unit of its own, all others are dealt to units by their form (ending and length).
+Exchange clustering moves units between classes while that raises the likelihood of the class bigrams. Then every training
+word that is no unit of its own, however rare, leaves its form and joins the class whose neighbours are likeliest to stand where its
+own stand: the classes before and after each of its sightings go to one place, where they are summed and judged. Class
+bigrams are counted anew with the class of every word; only words that training texts do not hold are classed by form. A
 text then has the probability
 
     product of P(class_i | class_{i-1}) * P(word_i | class_i)
@@ -10,9 +13,10 @@ text then has the probability
 with class transitions smoothed by addition, and word emissions by absolute discounting: a word seen c times in a class of n
 tokens has (c - D) / n, one not seen D / n. Texts begin after an end and close with one.
 
-The unit table is bounded by ``units`` squared whatever the corpus; counts of the ``head`` most frequent words are
-broadcast (two numbers each). All further words are joined: a text sends one row per distinct rare word with its count.
-Words are told apart by their 64-bit hash. No word outside the head holds more than 1 / head of all tokens, so no join key is hot.
+The unit table is bounded by ``units`` squared whatever the corpus; counts and classes of the ``head`` most frequent words are
+broadcast. All further words are joined: a text sends one row per token that the head does not hold, and its path of classes
+(a byte per token) is completed with what comes back. Words are told apart by their 64-bit hash. No word outside the head holds
+more than 1 / head of all tokens, no word with form more than 1 / own units of them, so no key is hot.
 
 Defined results: a null or empty text is one end token; repeated rows count each; without training rows the base is that of
 one unknown type and the model is uniform; further columns are ignored; an empty table gives no rows.
@@ -25,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +43,7 @@ HEAD = 1 << 18
 CACHE_WORDS = 300_000
 DISCOUNT = 0.5
 ADDED = 0.05  # to class transitions
+PRIOR = 100.0  # sightings of neighbours at large, added to those of a class
 
 
 def word_hash(word: bytes) -> int:
@@ -81,6 +87,7 @@ class Head:
     hashes: np.ndarray  # sorted
     counts: np.ndarray
     units: np.ndarray  # -1: by form
+    classes: np.ndarray | None = None  # once they are known
 
     @classmethod
     def of(cls, counts: DataFrame, size: int) -> Head:
@@ -112,6 +119,7 @@ class Lexicon:
     def clear(self) -> None:
         self.number: dict[bytes, int] = {}
         self.hashes = np.zeros(0, np.int64)
+        self.at = np.zeros(0, np.int64)  # in the head
         self.units = np.zeros(0, np.int64)
         self.counts = np.zeros(0, np.int64)  # 0: not in the head
 
@@ -129,11 +137,36 @@ class Lexicon:
             units[loose] = [OWN_UNITS + form(fresh[i]) for i in loose.tolist()]
             counts = np.where(at >= 0, self.head.counts[at], 0) if len(self.head.hashes) else np.zeros(len(at), np.int64)
             self.hashes = np.concatenate([self.hashes, hashes])
+            self.at = np.concatenate([self.at, at])
             self.units = np.concatenate([self.units, units])
             self.counts = np.concatenate([self.counts, counts])
         get = number.__getitem__
         return [np.fromiter(map(get, words), np.int64, len(words)) for words in texts]
 
+    def classes(self, member: np.ndarray) -> np.ndarray:
+        """Class of every word: its own where the head has one, else that of its unit."""
+        out = member[self.units]
+        inside = np.flatnonzero(self.at >= 0)
+        out[inside] = self.head.classes[self.at[inside]]
+        return out
+
+
+def inner_places(coded: list[np.ndarray]) -> np.ndarray:
+    """Where the tokens stand when texts are laid in a row, with an end before the first one and after each: a mask."""
+    ends = np.cumsum([len(c) + 1 for c in coded])
+    inner = np.ones(int(ends[-1]) + 1, bool)
+    inner[0] = False
+    inner[ends] = False
+    return inner
+
+
+def summed_pairs(pairs: DataFrame, size: int) -> np.ndarray:
+    """(pair, n) of all tasks, added up in a matrix of fixed size."""
+    found = pairs.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size * size, np.int64)
+    out[found.column("pair").to_numpy()] = found.column("n").to_numpy()
+    return out.reshape(size, size)
+
 
 def unit_bigrams(texts: DataFrame, head: Head) -> np.ndarray:
     """Counts of neighbouring units over all texts, as a matrix of fixed size."""
@@ -145,20 +178,14 @@ def unit_bigrams(texts: DataFrame, head: Head) -> np.ndarray:
         total = np.zeros(size * size, np.int64)
         for _, part in chunks(batches, "text"):
             coded = lexicon.codes([(t or b"").lower().split() for t in part])
-            ends = np.cumsum([len(c) + 1 for c in coded])
-            flat = np.zeros(int(ends[-1]) + 1, np.int64)  # an end before the first text and after each
-            inner = np.ones(len(flat), bool)
-            inner[0] = False
-            inner[ends] = False
+            inner = inner_places(coded)
+            flat = np.zeros(len(inner), np.int64)
             flat[inner] = lexicon.units[np.concatenate(coded)] if inner.any() else 0
             total += np.bincount(flat[:-1] * size + flat[1:], minlength=size * size)
         at = np.flatnonzero(total)
         yield pa.record_batch([pa.array(at), pa.array(total[at])], ["pair", "n"])
 
-    pairs = texts.mapInArrow(task, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(size * size, np.int64)
-    out[pairs.column("pair").to_numpy()] = pairs.column("n").to_numpy()
-    return out.reshape(size, size)
+    return summed_pairs(texts.mapInArrow(task, "pair long, n long"), size)
 
 
 def gain(n: np.ndarray) -> np.ndarray:
@@ -213,12 +240,91 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int) -> np.ndarray:
     return member
 
 
+def surroundings(texts: DataFrame, head: Head, member: np.ndarray, classes: int) -> DataFrame:
+    """(h, around) of the words that are no units of their own: for each sighting the classes before and after it, as 16 bits."""
+    shared = texts.sparkSession.sparkContext.broadcast((head, member))
+
+    def task(batches):
+        words, of = shared.value
+        lexicon = Lexicon(words)
+        for _, part in chunks(batches, "text"):
+            coded = lexicon.codes([(t or b"").lower().split() for t in part])
+            inner = inner_places(coded)
+            codes = np.concatenate(coded)
+            units = lexicon.units[codes]
+            row = np.zeros(len(inner), np.int64)
+            row[inner] = of[units]
+            loose = units >= OWN_UNITS
+            at, codes = np.flatnonzero(inner)[loose], codes[loose]
+            if not len(at):
+                continue
+            order = np.argsort(codes, kind="stable")
+            around = (row[at - 1] * classes + row[at + 1]).astype(np.uint16)[order]
+            codes = codes[order]
+            first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+            offsets = (2 * np.append(first, len(codes))).astype(np.int32)
+            lists = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(around)])
+            yield pa.record_batch([pa.array(lexicon.hashes[codes[first]]), lists], ["h", "around"])
+
+    return texts.mapInArrow(task, "h long, around binary")
+
+
+def affinities(table: np.ndarray) -> np.ndarray:
+    """What a neighbour says for each class: rows are the class before, then the class after a word. Whole numbers, so
+    that sums do not depend on their order.
+
+    The likelihood of class bigrams changes by log(table[b, c]) - log(size of c) when a sighting after b joins class c;
+    neighbours at large, PRIOR of them, keep small classes from drawing what they have not seen.
+    """
+    sizes = table.sum(axis=0)
+    at_large = sizes / max(sizes.sum(), 1)
+    before = (table + PRIOR * at_large[:, None]) / (sizes + PRIOR)
+    after = (table.T + PRIOR * at_large[:, None]) / (sizes + PRIOR)
+    return np.rint(1e6 * np.log(np.maximum(np.vstack([before, after]), 1e-12)))
+
+
+def word_classes(around: DataFrame, table: np.ndarray) -> DataFrame:
+    """(h, c, class) of the words: their sightings and the class they fit best, the end's class left out."""
+    classes = len(table)
+    says = affinities(table)
+
+    def task(batches):
+        held: tuple | None = None  # a word may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h, lists = batch.column(0).to_numpy(), batch.column(1)
+            sizes = pc.binary_length(lists).to_numpy() // 2
+            codes = np.frombuffer(b"".join(lists.to_pylist()), np.uint16).astype(np.int64)
+            new = np.concatenate([[True], h[1:] != h[:-1]])
+            word = np.repeat(np.cumsum(new) - 1, sizes) * 2 * classes
+            h = h[new]
+            seen = np.bincount(word + codes // classes, minlength=len(h) * 2 * classes)
+            seen += np.bincount(word + classes + codes % classes, minlength=len(h) * 2 * classes)
+            seen = seen.reshape(len(h), 2 * classes)
+            if held is not None and held[0][0] == h[0]:
+                seen[0] += held[1][0]
+            elif held is not None:
+                yield judged(*held)
+            yield judged(h[:-1], seen[:-1])
+            held = h[-1:], seen[-1:]
+        if held is not None:
+            yield judged(*held)
+
+    def judged(h: np.ndarray, seen: np.ndarray) -> pa.RecordBatch:
+        fit = seen @ says
+        fit[:, 0] = -np.inf
+        best = fit.argmax(axis=1).astype(np.int32)
+        return pa.record_batch([pa.array(h), pa.array(seen[:, :classes].sum(axis=1)), pa.array(best)], ["h", "c", "class"])
+
+    return around.repartition("h").sortWithinPartitions("h").mapInArrow(task, "h long, c long, class int")
+
+
 @dataclass
 class ClassModel:
     head: Head
     member: np.ndarray  # class of each unit
-    transitions: np.ndarray  # log10 P(next class | class)
-    sizes: np.ndarray  # log10 of the tokens of each class
+    words: DataFrame  # (h, c, class) of all training words that are no units of their own
     tokens: int
     types: int
     ends: int
@@ -231,83 +337,144 @@ def train(texts: DataFrame, counts: DataFrame, classes: int, rounds: int) -> Cla
     member = exchange(bigrams, classes, rounds)
     one = np.zeros((len(bigrams), classes))
     one[np.arange(len(bigrams)), member] = 1
-    table = one.T @ bigrams @ one
-    transitions = np.log10((table + ADDED) / (table.sum(axis=1, keepdims=True) + ADDED * classes))
-    sizes = np.log10(np.maximum(table.sum(axis=0), 1))
+    words = stored(word_classes(surroundings(texts, head, member, classes), one.T @ bigrams @ one), "lm-words")
+    head.classes = member[np.maximum(head.units, 0)]
+    if (head.units < 0).any():
+        least = int(head.counts[head.units < 0].min())
+        known = words.filter(F.col("c") > least).unionByName(
+            words.filter(F.col("c") == least).orderBy("h").limit(int((head.counts == least).sum()))
+        )
+        known = known.select("h", "class").toArrow()
+        at = head.find(known.column("h").to_numpy())
+        head.classes[at[at >= 0]] = known.column("class").to_numpy()[at >= 0]
     ends = counts.filter(F.col("h") == END_HASH).first()
-    return ClassModel(head, member, transitions, sizes, totals[0] or 0, totals[1], ends["c"] if ends else 0)
-
+    return ClassModel(head, member, words, totals[0] or 0, totals[1], ends["c"] if ends else 0)
 
-def score_texts(
-    df: DataFrame, trains: F.Column, id_col: str = "doc_id", text_col: str = "text", classes: int = 48, rounds: int = 6
-) -> DataFrame:
-    """Every row as (id, in_training, n_tokens, n_known, train_tokens, base_score, score), scores in log10.
 
-    ``trains`` tells which rows are learned from.
+def class_paths(rows: DataFrame, model: ClassModel) -> DataFrame:
+    """Every row as (id, in_training, n_tokens, n_known, base, emission, path): the class of each token, a byte each, and
+    what words add to the scores whatever their class.
     """
-    rows = df.select(
-        F.col(id_col).alias("id"), F.coalesce(trains, F.lit(False)).alias("in_training"), F.col(text_col).cast("binary").alias("text")
-    )
-    texts = rows.filter("in_training").select("text")
-    counts = stored(word_counts(texts), "lm-counts")
-    model = train(texts, counts, classes, rounds)
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = rows.sparkSession.sparkContext.broadcast((model.head, model.member, model.ends))
     base = float(np.log10(model.tokens + model.types + 1))
-    fields = ["id", "in_training", "n_tokens", "n_known", "base", "score", "rare"]
-    pair = pa.struct([("h", pa.int64()), ("tf", pa.int32())])
+    fields = ["id", "in_training", "n_tokens", "n_known", "base", "emission", "path", "rare"]
+    place = pa.struct([("h", pa.int64()), ("at", pa.int32())])
 
     def task(batches):
-        m: ClassModel = shared.value
-        lexicon = Lexicon(m.head)
+        head, member, ends = shared.value
+        lexicon = Lexicon(head)
         for batch, part in chunks(batches, "text"):
             coded = lexicon.codes([(t or b"").lower().split() for t in part])
-            class_of = m.member[lexicon.units]
+            class_of = lexicon.classes(member).astype(np.uint8)
             known_base = np.log10(lexicon.counts + 1.0)
-            known_emission = np.log10(np.maximum(lexicon.counts - DISCOUNT, DISCOUNT))
+            emission = np.log10(np.maximum(lexicon.counts - DISCOUNT, DISCOUNT))  # of a word never seen too
             out: list[tuple] = []
             for codes in coded:
-                c = class_of[codes]
-                path = np.concatenate([[0], c, [0]])
-                score = m.transitions[path[:-1], path[1:]].sum() - m.sizes[path[1:]].sum()
                 inside = lexicon.counts[codes] > 0
-                frequent = codes[inside]
-                score += known_emission[frequent].sum() + np.log10(max(m.ends - DISCOUNT, DISCOUNT))
-                total = known_base[frequent].sum() + np.log10(m.ends + 1.0) - base * (len(codes) + 1)
-                rare, tf = np.unique(codes[~inside], return_counts=True)
-                out.append((len(codes) + 1, len(frequent) + (m.ends > 0), total, score, lexicon.hashes[rare], tf))
-            n, known, totals, scores, hashes, tfs = zip(*out, strict=True)
+                total = known_base[codes].sum() + np.log10(ends + 1.0) - base * (len(codes) + 1)
+                emitted = emission[codes].sum() + np.log10(max(ends - DISCOUNT, DISCOUNT))
+                at = np.flatnonzero(~inside)
+                known = len(codes) - len(at) + (ends > 0)
+                out.append((len(codes) + 1, known, total, emitted, class_of[codes].tobytes(), lexicon.hashes[codes[at]], at))
+            n, known, totals, emitted, paths, hashes, at = zip(*out, strict=True)
             lists = pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], np.cumsum([len(h) for h in hashes])]), pa.int32()),
                 pa.StructArray.from_arrays(
-                    [pa.array(np.concatenate(hashes), pa.int64()), pa.array(np.concatenate(tfs), pa.int32())], fields=list(pair)
+                    [pa.array(np.concatenate(hashes), pa.int64()), pa.array(np.concatenate(at), pa.int32())], fields=list(place)
                 ),
             )
             yield pa.record_batch(
                 [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
-                 pa.array(totals, pa.float64()), pa.array(scores, pa.float64()), lists],
+                 pa.array(totals, pa.float64()), pa.array(emitted, pa.float64()), pa.array(paths, pa.binary()), lists],
                 fields,
             )
 
-    kind = df.schema[id_col].dataType.simpleString()
-    local = rows.mapInArrow(
-        task,
-        f"id {kind}, in_training boolean, n_tokens long, n_known long, base double, score double, rare array<struct<h:long,tf:int>>",
-    )
-    local = stored(local.withColumn("row", F.monotonically_increasing_id()), "lm-local")
-    pairs = local.select("row", F.explode("rare").alias("r")).select("row", "r.h", "r.tf")
-    met = pairs.join(counts, "h", "left").withColumn("c", F.coalesce("c", F.lit(0)))
+    def completed(batches):
+        for batch in batches:
+            places = batch.column(7)
+            paths = []
+            for path, found in zip(batch.column(6).to_pylist(), places, strict=True):
+                if found.is_valid:
+                    classes, found = np.frombuffer(path, np.uint8).copy(), found.values.to_numpy()
+                    classes[found >> 8] = found & 255
+                    path = classes.tobytes()
+                paths.append(path)
+            yield pa.record_batch([*batch.columns[:6], pa.array(paths, pa.binary())], fields[:7])
+
+    slim = f"id {rows.schema['id'].dataType.simpleString()}, in_training boolean, n_tokens long, n_known long, base double, emission double, path binary"
+    local = stored(rows.mapInArrow(task, f"{slim}, rare array<struct<h:long,at:int>>").withColumn("row", F.monotonically_increasing_id()), "lm-local")
+    met = local.select("row", F.explode("rare").alias("r")).select("row", "r.h", "r.at").join(model.words, "h")
+    unseen = float(np.log10(DISCOUNT))
     added = met.groupBy("row").agg(
-        F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).cast("long").alias("more_known"),
-        F.sum(F.col("tf") * F.log10(F.col("c") + 1.0)).alias("more_base"),
-        F.sum(F.col("tf") * F.log10(F.greatest(F.col("c") - DISCOUNT, F.lit(DISCOUNT)))).alias("more_score"),
+        F.count(F.lit(1)).alias("more_known"),
+        F.sum(F.log10(F.col("c") + 1.0)).alias("more_base"),
+        F.sum(F.log10(F.greatest(F.col("c") - DISCOUNT, F.lit(DISCOUNT))) - unseen).alias("more_emission"),
+        F.collect_list(F.col("at").cast("long") * 256 + F.col("class")).alias("places"),
     )
     zero = F.lit(0)
-    return local.drop("rare").join(added, "row", "left").select(
+    whole = local.drop("rare").join(added, "row", "left").select(
         "id",
         "in_training",
         "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", zero)).alias("n_known"),
+        (F.col("base") + F.coalesce("more_base", zero)).alias("base"),
+        (F.col("emission") + F.coalesce("more_emission", zero)).alias("emission"),
+        "path",
+        "places",
+    )
+    return whole.mapInArrow(completed, slim)
+
+
+def class_bigrams(paths: DataFrame, classes: int) -> np.ndarray:
+    """Counts of neighbouring classes over all paths; the end's class stands before and after each."""
+
+    def task(batches):
+        total = np.zeros(classes * classes, np.int64)
+        for batch in batches:
+            row = np.frombuffer(b"\0" + b"".join(p + b"\0" for p in batch.column(0).to_pylist()), np.uint8).astype(np.int64)
+            total += np.bincount(row[:-1] * classes + row[1:], minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(at), pa.array(total[at])], ["pair", "n"])
+
+    return summed_pairs(paths.select("path").mapInArrow(task, "pair long, n long"), classes)
+
+
+def score_texts(
+    df: DataFrame, trains: F.Column, id_col: str = "doc_id", text_col: str = "text", classes: int = 48, rounds: int = 6
+) -> DataFrame:
+    """Every row as (id, in_training, n_tokens, n_known, train_tokens, base_score, score), scores in log10.
+
+    ``trains`` tells which rows are learned from. ``classes`` may be 2 to 256.
+    """
+    if not 2 <= classes <= 256:
+        raise ValueError("classes must be 2 to 256")
+    rows = df.select(
+        F.col(id_col).alias("id"), F.coalesce(trains, F.lit(False)).alias("in_training"), F.col(text_col).cast("binary").alias("text")
+    )
+    texts = rows.filter("in_training").select("text")
+    counts = stored(word_counts(texts), "lm-counts")
+    model = train(texts, counts, classes, rounds)
+    paths = stored(class_paths(rows, model), "lm-paths")
+    table = class_bigrams(paths.filter("in_training"), classes)
+    transitions = np.log10((table + ADDED) / (table.sum(axis=1, keepdims=True) + ADDED * classes))
+    steps = (transitions - np.log10(np.maximum(table.sum(axis=0), 1))).ravel()  # into a class, and one of its sightings
+
+    def task(batches):
+        for batch in batches:
+            scores = []
+            for path, emission in zip(batch.column(6).to_pylist(), batch.column(5).to_pylist(), strict=True):
+                row = np.frombuffer(b"\0" + path + b"\0", np.uint8).astype(np.int64)
+                scores.append(steps[row[:-1] * classes + row[1:]].sum() + emission)
+            yield pa.record_batch([*batch.columns[:5], pa.array(scores, pa.float64())], [*batch.schema.names[:5], "score"])
+
+    kind = df.schema[id_col].dataType.simpleString()
+    scored = paths.mapInArrow(task, f"id {kind}, in_training boolean, n_tokens long, n_known long, base double, score double")
+    return scored.select(
+        "id",
+        "in_training",
+        "n_tokens",
+        "n_known",
         F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more_base", zero)).alias("base_score"),
-        (F.col("score") + F.coalesce("more_score", zero)).alias("score"),
+        F.col("base").alias("base_score"),
+        "score",
     )

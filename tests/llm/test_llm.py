@@ -323,6 +323,28 @@ def test_lm_beats_the_base_on_held_out_texts(spark):
     assert held.score.sum() > held.base_score.sum()
 
 
+def test_lm_rare_words_of_one_form_are_classed_by_their_neighbours(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    groups = [[f"{g}{i:03d}x" for i in range(400)] for g in "ab"]
+    texts = [" ".join(w) for g in groups for w in np.array([rng.permutation(g) for _ in range(30)]).reshape(-1, 10)]
+    rare = ["qaxing", "qbxing"]  # one length, one ending: they share a unit, and both are too rare for one of their own
+    assert brown.form(rare[0].encode()) == brown.form(rare[1].encode()) and 800 > brown.OWN_UNITS
+    around = [" ".join([*rng.choice(g, 4), "{}", *rng.choice(g, 4)]) for g in groups for _ in range(8)]
+    texts += [t.format(rare[i // 8]) for i, t in enumerate(around)]
+    asked = [t.format(rare[(i // 8 + swap) % 2]) for swap in (0, 1) for i, t in enumerate(around)] + ["never seen", None, ""]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(10**6 + i, t) for i, t in enumerate(asked)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def scores() -> dict[int, float]:
+        return {r.id: r.score for r in brown.score_texts(df, brown.F.col("doc_id") < 10**6, classes=6).collect()}
+
+    wide = scores()
+    assert sum(wide[10**6 + i] for i in range(16)) > sum(wide[10**6 + i] for i in range(16, 32)) + 1
+    monkeypatch.setattr(brown, "HEAD", 801)  # the rare words are joined now
+    narrow = scores()
+    assert len(narrow) == len(wide) == len(rows) and all(narrow[i] == pytest.approx(wide[i]) for i in wide)
+
+
 def test_exchange_raises_the_likelihood():
     rng = np.random.default_rng(3)
     group = np.arange(40) % 4
