@@ -19,7 +19,6 @@ import re
 from itertools import islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -357,6 +356,16 @@ def rewritten(text: str, extra: list[dict]) -> str:
     return "".join([*out, text[last:]])
 
 
+def all_rewritten(texts: pa.Array, extra: pa.Array | None = None) -> pa.Array:
+    """Texts of an Arrow batch rewritten; as Python values they are held in chunks, not all at once."""
+    columns = [texts] if extra is None else [texts, extra]
+    done = []
+    for batch, part in chunks([pa.record_batch(columns, ["text", "extra"][: len(columns)])]):
+        more = [None] * len(part) if extra is None else batch.column(1).to_pylist()
+        done.append(pa.array([None if t is None else rewritten(t, e or []) for t, e in zip(part, more, strict=True)], pa.string()))
+    return pa.concat_arrays(done) if done else pa.array([], pa.string())
+
+
 def sanitise(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -369,14 +378,13 @@ def sanitise(
     scan = stored(scanned(df, id_col, text_col, window), "pii-scan")
     hits = term_hits(df, scan, text_col, generalise, remove)
 
-    @F.pandas_udf("string")
-    def plain(texts: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else rewritten(t, []) for t in texts], dtype=object)
+    @F.arrow_udf("string")
+    def plain(texts: pa.Array) -> pa.Array:
+        return all_rewritten(texts)
 
-    @F.pandas_udf("string")
-    def both(texts: pd.Series, extra: pd.Series) -> pd.Series:
-        pairs = zip(texts, extra, strict=True)
-        return pd.Series([None if t is None else rewritten(t, [] if e is None else list(e)) for t, e in pairs], dtype=object)
+    @F.arrow_udf("string")
+    def both(texts: pa.Array, extra: pa.Array) -> pa.Array:
+        return all_rewritten(texts, extra)
 
     if hits is None:
         return df.withColumn(text_col, plain(text_col))

@@ -8,9 +8,11 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
@@ -282,6 +284,18 @@ def test_coordinate_descent_separates():
     assert all(np.sign(w[r].sum() / np.sqrt(8) + b) == t for r, t in zip(rows, y, strict=True))
 
 
+def test_sanitising_holds_a_batch_in_chunks():
+    texts = pa.array([f"write to u{i}@example.org " + "x y " * 25_000 for i in range(120)] + [None, ""])
+    extra = pa.array([[{"start": 0, "end": 5, "action": "remove"}]] + [None] * 121)
+    tracemalloc.start()
+    out = pii.all_rewritten(texts, extra)
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert held < 8_000_000 < texts.nbytes
+    assert out.to_pylist() == [None if t is None else pii.rewritten(t, e or []) for t, e in zip(texts.to_pylist(), extra.to_pylist())]
+    assert pii.all_rewritten(texts[:0]).to_pylist() == [] and pii.all_rewritten(texts[:1])[0].as_py().startswith("write to [EMAIL] x")
+
+
 # ---- language model ----
 
 
