@@ -151,11 +151,11 @@ class Encoder:
         todo = [w for w in words if w not in self.words]
         self.words.update(zip(todo, self.model.encode_words([w.encode() for w in todo]), strict=True))
 
-    def learn_pieces(self, pieces: list[str]) -> None:
+    def learn_pieces(self, pieces: set[str]) -> None:
         plain = [p for p in pieces if p.isascii() and p.isalpha()]
         ids = self.model.encode_words([b" " + p.encode() for p in plain])
         self.pieces.update(zip(plain, map(self.render, ids), strict=True))
-        mixed = [p for p in pieces if not (p.isascii() and p.isalpha())]
+        mixed = list(pieces.difference(plain))
         if not mixed:
             return
         flat = self.split(" " + " ".join(mixed))  # only the first word of a piece begins with a space
@@ -174,8 +174,9 @@ class Encoder:
                 if kind == "pieces":
                     heads.add(parts[0])
                     rest.update(parts[1:])
-        edged = {p for p in rest if p not in self.pieces and (p != p.strip() or not p)}
-        edged_heads = {p for p in heads if p not in self.heads and (p != p.strip() or not p)}
+        fresh = rest.difference(self.pieces)
+        edged = {p for p in fresh if p != p.strip() or not p}
+        edged_heads = {p for p in heads.difference(self.heads) if p != p.strip() or not p}
         if edged or edged_heads:
             for plan in plans:
                 for i, (kind, parts) in enumerate(plan):
@@ -184,7 +185,7 @@ class Encoder:
                         words.update(plan[i][1])
             rest -= edged
             heads -= edged_heads
-        fresh = [p for p in rest if p not in self.pieces]
+        fresh -= edged
         if len(self.pieces) + len(fresh) > self.limit:
             self.pieces = {p: self.pieces[p] for p in rest.difference(fresh)}
         if len(self.heads) > self.limit:

@@ -15,6 +15,7 @@ from __future__ import annotations
 import heapq
 import zlib
 from collections.abc import Iterator
+from operator import add, itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -46,20 +47,12 @@ def differencing(sizes: list[int], windows: int) -> list[list[int]]:
         _, _, sums, members = heapq.heappop(heap)
         _, _, other_sums, other = heapq.heappop(heap)
         gap = windows - len(other_sums)  # empty windows of the other one meet the fullest of this one
-        merged: list[tuple[int, object]] = []
-        for k in range(windows):
-            mine = k < len(sums)
-            back = windows - 1 - k
-            theirs = back < len(other_sums)
-            if mine and theirs:
-                merged.append((sums[k] + other_sums[back], (members[k], other[back])))
-            elif mine:
-                merged.append((sums[k], members[k]))
-            elif theirs:
-                merged.append((other_sums[back], other[back]))
-            elif gap <= k:
-                break
-        merged.sort(key=lambda m: -m[0])
+        met = max(0, len(sums) - gap)  # windows in which both hold something
+        other_sums.reverse()
+        other.reverse()
+        both = zip(map(add, sums[gap:], other_sums), zip(members[gap:], other, strict=False), strict=False)
+        merged = [*zip(sums[:gap], members[:gap], strict=True), *both, *zip(other_sums[met:], other[met:], strict=True)]
+        merged.sort(key=itemgetter(0), reverse=True)  # stable
         sums, members = [m[0] for m in merged], [m[1] for m in merged]
         least = sums[-1] if len(sums) == windows else 0
         heapq.heappush(heap, (least - sums[0], serial, sums, members))
