@@ -14,6 +14,7 @@ import hashlib
 import json
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ CACHE_WORDS = 250_000  # entries kept per Python worker and cache
 # The byte-level pattern of the public vocabulary. Below SAFE the two regex engines agree on all classes.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SAFE = "԰"
-NONE = np.iinfo(np.int64).max
+NONE = np.iinfo(np.int32).max
 
 
 def byte_alphabet() -> list[str]:
@@ -48,20 +49,21 @@ class BpeModel:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.size = 1 + max([*vocab.values(), *self.special.values()])
         alphabet = byte_alphabet()
-        self.byte_ids = np.array([vocab[c] for c in alphabet], np.int64)
+        self.byte_ids = np.array([vocab[c] for c in alphabet], np.int32)
         to_byte = {c: b for b, c in enumerate(alphabet)}
         self.token_bytes = [b""] * self.size
         for token, i in [*vocab.items(), *self.special.items()]:
             self.token_bytes[i] = bytes(to_byte[c] for c in token)
         pairs = [p if isinstance(p, list) else p.split(" ") for p in spec["model"]["merges"]]
         keys = np.array([vocab[a] * self.size + vocab[b] for a, b in pairs], np.int64)
-        made = np.array([vocab[a + b] for a, b in pairs], np.int64)
+        made = np.array([vocab[a + b] for a, b in pairs], np.int32)
         order = np.argsort(keys)
-        self.keys, self.ranks = keys[order], order
+        self.keys, self.ranks = keys[order], order.astype(np.int32)
         self.made = made  # by rank
+        self.byte_ranks = self.pair_ranks(np.repeat(self.byte_ids, 256), np.tile(self.byte_ids, 256))  # of two bytes
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        wanted = left * self.size + right
+        wanted = left.astype(np.int64) * self.size + right
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
         return np.where(self.keys[at] == wanted, self.ranks[at], NONE)
 
@@ -70,11 +72,12 @@ class BpeModel:
         if not words:
             return []
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        symbols = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
-        owner = np.repeat(np.arange(len(words)), lengths)
-        ranks = np.full(len(symbols), NONE)  # of the pair that begins at each symbol
-        inner = np.flatnonzero(owner[1:] == owner[:-1])
-        ranks[inner] = self.pair_ranks(symbols[inner], symbols[inner + 1])
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        symbols = self.byte_ids[raw]
+        owner = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
+        # of the pair that begins at each symbol
+        ranks = np.append(self.byte_ranks[raw[:-1].astype(np.int32) * 256 + raw[1:]], np.int32(NONE))
+        ranks[np.cumsum(lengths) - 1] = NONE
         done: list[tuple[np.ndarray, np.ndarray]] = []
         while len(symbols):
             starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
@@ -162,8 +165,10 @@ class Encoder:
         self.learn_words(set(flat))
         starts = [i for i, w in enumerate(flat) if w[0] == " "]
         ids = list(map(self.words.__getitem__, flat))
-        for p, a, b in zip(mixed, starts, [*starts[1:], len(flat)], strict=True):
-            self.pieces[p] = self.render(ids[a] if b == a + 1 else b"".join(ids[a:b]))
+        ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+        bounds = [0, *ends[np.array(starts[1:], np.int64) - 1].tolist(), int(ends[-1])]
+        whole = b"".join(ids)
+        self.pieces.update(zip(mixed, [self.render(whole[a:b]) for a, b in pairwise(bounds)], strict=True))
 
     def encode(self, texts: list[str]) -> Iterator[list]:
         """The rendered pieces of every text, in order."""
@@ -180,7 +185,7 @@ class Encoder:
         if edged or edged_heads:
             for plan in plans:
                 for i, (kind, parts) in enumerate(plan):
-                    if kind == "pieces" and (parts[0] in edged_heads or not edged.isdisjoint(parts[1:])):
+                    if kind == "pieces" and (parts[0] in edged_heads or not edged.isdisjoint(parts)):
                         plan[i] = ("words", self.split(" ".join(parts)))
                         words.update(plan[i][1])
             rest -= edged

@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
-from sparkwatch.llm import brown, components, exact, knn, packing, pii, quality, queries, secrets, simhash, substring
+from sparkwatch.llm import bpe, brown, common, components, exact, knn, packing, pii, quality, queries, secrets, simhash, substring
 
 SF = "/root/testdata/sf0.001"
 WORDS = [f"{a}{b}" for a in ("ka", "lo", "mi", "tu", "re", "so", "na", "pe") for b in ("n", "st", "ra", "lim", "o", "wex")]
@@ -241,6 +241,21 @@ def sha(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_bpe_ranks_of_two_bytes_are_looked_up(tokenizer, monkeypatch):
+    model = bpe.BpeModel(queries.TOKENIZER)
+    searched = []
+    ranks_of = model.pair_ranks
+    monkeypatch.setattr(model, "pair_ranks", lambda a, b: searched.append(len(a)) or ranks_of(a, b))
+    words = [bytes([a, b]) for a in range(256) for b in range(256)]
+    whole = [i[0] if len(i := np.frombuffer(w, "<u4")) == 1 else tuple(i) for w in model.encode_words(words)]
+    assert sum(searched) == 0  # nothing is left to merge after two bytes
+    for a in range(0, 256, 5):
+        left, right = np.repeat(model.byte_ids[a], 256), model.byte_ids
+        ranks = ranks_of(left, right).tolist()
+        expected = [model.made[r] if r != bpe.NONE else (x, y) for r, x, y in zip(ranks, left, right, strict=True)]
+        assert whole[256 * a : 256 * (a + 1)] == expected
+
+
 def test_bpe_on_random_texts(spark, tokenizer):
     from sparkwatch.llm.bpe import decode_ids, encode_ids, text_encoder
 
