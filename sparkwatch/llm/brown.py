@@ -24,8 +24,9 @@ one unknown type and the model is uniform; further columns are ignored; an empty
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass
+from itertools import count, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,12 @@ def word_hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word, 8) - (1 << 63)
 
 
+def word_hashes(words) -> np.ndarray:
+    """word_hash of every word."""
+    digests = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(8)), np.uint64, len(words))
+    return (digests ^ np.uint64(1 << 63)).view(np.int64)
+
+
 END_HASH = word_hash(END.encode())
 
 
@@ -74,8 +81,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
             yield rows(counts)
 
     def rows(counts: Counter) -> pa.RecordBatch:
-        hashes = np.fromiter(map(word_hash, counts), np.int64, len(counts))
-        return pa.record_batch([pa.array(hashes), pa.array(counts.values(), pa.int64())], ["h", "c"])
+        return pa.record_batch([pa.array(word_hashes(counts)), pa.array(counts.values(), pa.int64())], ["h", "c"])
 
     return texts.mapInArrow(task, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
@@ -109,6 +115,15 @@ class Head:
         return np.where(self.hashes[at] == hashes, at, -1)
 
 
+class Forms(dict):
+    """Units of form by (ending, length); each is hashed once."""
+
+    def __missing__(self, key: tuple[bytes, int]) -> int:
+        ending, length = key
+        self[key] = unit = form(ending.rjust(length, b" "))
+        return unit
+
+
 class Lexicon:
     """Numbers of the words of a worker, with what is known of each; starts anew when it is full."""
 
@@ -117,7 +132,8 @@ class Lexicon:
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[bytes, int] = {}
+        self.number: defaultdict[bytes, int] = defaultdict(count().__next__)  # a new word gets the next number
+        self.forms = Forms()
         self.hashes = np.zeros(0, np.int64)
         self.at = np.zeros(0, np.int64)  # in the head
         self.units = np.zeros(0, np.int64)
@@ -126,22 +142,23 @@ class Lexicon:
     def codes(self, texts: list[list[bytes]]) -> list[np.ndarray]:
         if len(self.number) > CACHE_WORDS:
             self.clear()
-        number = self.number
-        fresh = list({w for words in texts for w in words if w not in number})
+        old = len(self.number)
+        get = self.number.__getitem__
+        coded = [np.fromiter(map(get, words), np.int64, len(words)) for words in texts]
+        fresh = list(islice(reversed(self.number), len(self.number) - old))[::-1]
         if fresh:
-            number.update(zip(fresh, range(len(number), len(number) + len(fresh)), strict=True))
-            hashes = np.fromiter(map(word_hash, fresh), np.int64, len(fresh))
+            hashes = word_hashes(fresh)
             at = self.head.find(hashes)
             units = np.where(at >= 0, self.head.units[at], -1) if len(self.head.hashes) else at
             loose = np.flatnonzero(units < 0)
-            units[loose] = [OWN_UNITS + form(fresh[i]) for i in loose.tolist()]
+            forms = self.forms
+            units[loose] = [OWN_UNITS + forms[w[-3:], min(len(w), 12)] for w in map(fresh.__getitem__, loose.tolist())]
             counts = np.where(at >= 0, self.head.counts[at], 0) if len(self.head.hashes) else np.zeros(len(at), np.int64)
             self.hashes = np.concatenate([self.hashes, hashes])
             self.at = np.concatenate([self.at, at])
             self.units = np.concatenate([self.units, units])
             self.counts = np.concatenate([self.counts, counts])
-        get = number.__getitem__
-        return [np.fromiter(map(get, words), np.int64, len(words)) for words in texts]
+        return coded
 
     def classes(self, member: np.ndarray) -> np.ndarray:
         """Class of every word: its own where the head has one, else that of its unit."""
@@ -258,7 +275,7 @@ def surroundings(texts: DataFrame, head: Head, member: np.ndarray, classes: int)
             at, codes = np.flatnonzero(inner)[loose], codes[loose]
             if not len(at):
                 continue
-            order = np.argsort(codes, kind="stable")
+            order = np.sort((codes << 32) | np.arange(len(codes))) & 0xFFFFFFFF  # by code, then place
             around = (row[at - 1] * classes + row[at + 1]).astype(np.uint16)[order]
             codes = codes[order]
             first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))

@@ -337,6 +337,21 @@ def words_of(text: str | None) -> list[str]:
     return re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
 
 
+def test_lm_words_are_numbered_in_one_look_up(monkeypatch):
+    head = brown.Head(np.array([brown.word_hash(b"the")]), np.array([9]), np.array([1]))
+    words = [b"the", b"cat", b"\xff" * 20, b"the", b"sat", b"", b"a" * 13, b"b" * 9 + b"aaa"]
+    hashed = []
+    form = brown.form
+    monkeypatch.setattr(brown, "form", lambda w: hashed.append(w) or form(w))
+    lexicon = brown.Lexicon(head)
+    first, second = lexicon.codes([words, [b"new", b"cat"]])
+    assert first.tolist() == [0, 1, 2, 0, 3, 4, 5, 6] and second.tolist() == [7, 1]
+    distinct = list(dict.fromkeys([*words, b"new"]))
+    assert lexicon.hashes.tolist() == [brown.word_hash(w) for w in distinct]
+    assert lexicon.units.tolist() == [1, *(brown.OWN_UNITS + form(w) for w in distinct[1:])]
+    assert len(hashed) == 6  # one ending of one length is hashed once
+
+
 def test_lm_head_and_tail_agree(docs, monkeypatch):
     trains = brown.F.col("doc_id") % 3 != 0
     wide = {(r.id, r.n_tokens): r for r in brown.score_texts(docs, trains).collect()}
