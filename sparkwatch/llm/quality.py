@@ -19,7 +19,6 @@ from dataclasses import dataclass
 from itertools import groupby
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -198,11 +197,14 @@ def quality_column(model: Model, spark, bits: int = BITS):
     """Column function: score of a text column."""
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def scores(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def scores(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         features = Features(bits)
         for texts in parts:
-            yield pd.Series([shared.value.score(features.of(t or "")) for t in texts], dtype="float64")
+            found: list[float] = []
+            for _, part in chunks([pa.record_batch([texts], ["text"])]):
+                found += [shared.value.score(features.of(t or "")) for t in part]
+            yield pa.array(found, pa.float64())
 
     return scores
 

@@ -314,6 +314,34 @@ def test_sanitising_holds_a_batch_in_chunks():
 # ---- language model ----
 
 
+def test_quality_scores_a_batch_in_chunks(spark, monkeypatch):
+    model = quality.Model(np.ones(1 << quality.BITS), np.ones(1 << quality.BITS), 0.0, 1.0, 0.0)
+    texts = [f"row {i} holds three words" for i in range(50)] + [None, ""]
+    held = []
+    part_of = quality.chunks
+    monkeypatch.setattr(quality, "chunks", lambda batches: (held.append(len(t)) or (b, t) for b, t in part_of(batches)))
+    monkeypatch.setattr(common, "CHUNK_CHARS", 200)
+    (scores,) = quality.quality_column(model, spark).func(iter([pa.array(texts)]))
+    assert sum(held) == len(texts) and max(held) < 10
+    assert scores.to_pylist() == [model.score(quality.Features().of(t or "")) for t in texts]
+
+
+def test_chunks_give_freed_memory_back():
+    if not hasattr(common.ctypes.CDLL(None), "malloc_trim"):
+        pytest.skip("the C library has no malloc_trim")
+
+    def resident() -> int:
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * 4096
+
+    values = [bytes(2_000) for _ in range(50_000)]
+    kept = values[-1]  # keeps the heap from shrinking at its end
+    del values
+    before = resident()
+    assert len(list(common.chunks([pa.record_batch([pa.array(["a", None])], ["text"])]))) == 1
+    assert before - resident() > 50_000_000 and len(kept) == 2_000
+
+
 def test_lm_base_and_counts(spark, docs):
     trains = brown.F.col("doc_id") % 3 != 0
     rows = brown.score_texts(docs, trains).collect()
