@@ -12,9 +12,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import pairwise
+from itertools import count, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -71,10 +72,16 @@ class BpeModel:
         """Ids of every word (not empty) as little-endian unsigned 32-bit numbers."""
         if not words:
             return []
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        raw = np.frombuffer(b"".join(words), np.uint8)
+        ids, counts = self.encode_bytes(np.frombuffer(b"".join(words), np.uint8), np.fromiter(map(len, words), np.int64, len(words)))
+        flat, ends = ids.tobytes(), np.cumsum(counts) * 4
+        return [flat[a:b] for a, b in zip(np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist(), strict=True)]
+
+    def encode_bytes(self, raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words in a row, ids per word) of words of the given lengths (not 0) that lie in a row."""
+        if not len(lengths):
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
         symbols = self.byte_ids[raw]
-        owner = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
+        owner = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
         # of the pair that begins at each symbol
         ranks = np.append(self.byte_ranks[raw[:-1].astype(np.int32) * 256 + raw[1:]], np.int32(NONE))
         ranks[np.cumsum(lengths) - 1] = NONE
@@ -108,9 +115,7 @@ class BpeModel:
             ranks[stale] = self.pair_ranks(symbols[stale], symbols[stale + 1])
         owners = np.concatenate([o for o, _ in done])
         order = np.argsort(owners, kind="stable")
-        flat = np.concatenate([s for _, s in done])[order].astype("<u4").tobytes()
-        ends = np.cumsum(np.bincount(owners, minlength=len(words))) * 4
-        return [flat[a:b] for a, b in zip(np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist(), strict=True)]
+        return np.concatenate([s for _, s in done])[order].astype("<u4"), np.bincount(owners, minlength=len(lengths))
 
 
 class Encoder:
@@ -216,15 +221,151 @@ class Encoder:
             yield out
 
 
+class IdEncoder(Encoder):
+    """Texts to their ids alone. Pieces and words are numbered in one look-up each, and a number stands for a stretch of one
+    array of ids, so the ids of all texts are gathered at once. When it is full, what the texts before held is kept.
+    """
+
+    def __init__(self, model: BpeModel, cache_words: int = CACHE_WORDS):
+        super().__init__(model, bytes, cache_words)
+        letters = [*range(0x41, 0x5B), *range(0x61, 0x7B), 0x20]
+        self.letter = np.zeros(256, bool)
+        self.letter[letters] = True
+        self.number = count()
+        self.words = defaultdict(self.number.__next__)
+        self.pieces = defaultdict(self.number.__next__)
+        special = np.array([*model.special.values()], "<u4")
+        self.special = {int(i): next(self.number) for i in special}
+        self.ids = special
+        self.starts = np.arange(len(special))
+        self.sizes = np.ones(len(special), np.int64)
+        self.edged = np.zeros(len(special), bool)  # pieces that the pattern doesn't keep whole
+        self.last = np.zeros(0, np.int64)
+
+    def shrink(self) -> None:
+        """Keep special ids and the numbers of the last texts, in their order."""
+        kept = np.zeros(len(self.sizes), bool)
+        kept[self.last] = True
+        kept[: len(self.special)] = True
+        new = (np.cumsum(kept) - 1).tolist()
+        here = kept.tolist()
+        self.number = count(int(kept.sum()))
+        self.words = defaultdict(self.number.__next__, {k: new[v] for k, v in self.words.items() if here[v]})
+        self.pieces = defaultdict(self.number.__next__, {k: new[v] for k, v in self.pieces.items() if here[v]})
+        numbers = np.flatnonzero(kept)
+        self.ids = self.gathered(numbers)
+        self.sizes, self.edged = self.sizes[numbers], self.edged[numbers]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def gathered(self, numbers: np.ndarray) -> np.ndarray:
+        """The ids that the numbers stand for, one after the other."""
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        return self.ids[np.repeat(self.starts[numbers] - ends + sizes, sizes) + np.arange(int(sizes.sum()))]
+
+    def grow(self) -> None:
+        """Make room for numbers given since the last time."""
+        more = len(self.words) + len(self.pieces) + len(self.special) - len(self.sizes)
+        self.sizes = np.append(self.sizes, np.zeros(more, np.int64))
+        self.starts = np.append(self.starts, np.zeros(more, np.int64))
+        self.edged = np.append(self.edged, np.zeros(more, bool))
+
+    def keep(self, numbers: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.starts[numbers] = len(self.ids) + np.cumsum(sizes) - sizes
+        self.sizes[numbers] = sizes
+        self.ids = np.concatenate([self.ids, ids])
+
+    def learn_words(self, known: int) -> None:
+        """Ids of all words but the first ``known``."""
+        more = len(self.words) - known
+        words = [w.encode() for w in islice(reversed(self.words), more)]
+        numbers = np.fromiter(islice(reversed(self.words.values()), more), np.int64, more)
+        lengths = np.fromiter(map(len, words), np.int64, more)
+        self.grow()
+        self.keep(numbers, *self.model.encode_bytes(np.frombuffer(b"".join(words), np.uint8), lengths))
+
+    def learn_pieces(self, known: int) -> list[str]:
+        """Ids of those of all pieces but the first ``known`` that are letters only; the others, with ids by ``learn_mixed``."""
+        more = len(self.pieces) - known
+        pieces = list(islice(reversed(self.pieces), more))
+        numbers = np.fromiter(islice(reversed(self.pieces.values()), more), np.int64, more)
+        if not more:
+            return []
+        raw = np.frombuffer((" " + " ".join(pieces)).encode(), np.uint8)
+        starts = np.flatnonzero(raw == 0x20)  # no piece holds a space
+        lengths = np.diff(np.append(starts, len(raw)))
+        plain = np.logical_and.reduceat(self.letter[raw], starts) & (lengths > 1)
+        self.keep(numbers[plain], *self.model.encode_bytes(raw[np.repeat(plain, lengths)], lengths[plain]))
+        return [pieces[i] for i in np.flatnonzero(~plain).tolist()]
+
+    def learn_mixed(self, mixed: list[str]) -> None:
+        known = len(self.words)
+        flat = self.split(" " + " ".join(mixed))  # only the first word of a piece begins with a space
+        words = np.fromiter(map(self.words.__getitem__, flat), np.int64, len(flat))
+        self.learn_words(known)
+        starts = [i for i, w in enumerate(flat) if w[0] == " "]
+        numbers = np.fromiter(map(self.pieces.__getitem__, mixed), np.int64, len(mixed))
+        self.keep(numbers, self.gathered(words), np.add.reduceat(self.sizes[words], starts))
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of every text as little-endian unsigned 32-bit numbers."""
+        if len(self.sizes) > self.limit:
+            self.shrink()
+        known_words, known_pieces = len(self.words), len(self.pieces)
+        word_of, piece_of = self.words.__getitem__, self.pieces.__getitem__
+        numbers: list[int] = []
+        segments: list[list[str]] = []
+        bounds: list[int] = []  # of the segments, in numbers
+        ends: list[int] = []  # of the texts, in numbers
+        for text in texts:
+            for kind, parts in self.segments(text):
+                if kind == "id":
+                    numbers.append(self.special[parts])
+                    continue
+                segments.append(parts)
+                bounds.append(len(numbers))
+                numbers += map(word_of, self.split(parts[0]))
+                numbers += map(piece_of, islice(parts, 1, None))
+                bounds.append(len(numbers))
+            ends.append(len(numbers))
+        self.grow()
+        mixed = self.learn_pieces(known_pieces)
+        edged = [p for p in mixed if p != p.strip() or not p]
+        self.edged[[*map(piece_of, edged)]] = True
+        flat = np.array(numbers, np.int64)
+        inside = np.append(np.cumsum(self.edged[flat]), 0)  # at -1: none before
+        first, last = np.array(bounds, np.int64).reshape(-1, 2).T - 1
+        again = np.flatnonzero((last > first) & (inside[last] > inside[first]))
+        heads = [i for i, parts in enumerate(segments) if parts[0] != parts[0].strip() or not parts[0]]
+        found: list[np.ndarray] = []
+        at, shifts = 0, np.zeros(len(numbers) + 1, np.int64)
+        for i in sorted({*again.tolist(), *heads}):  # split by the pattern as a whole
+            a, b = bounds[2 * i : 2 * i + 2]
+            words = [*map(word_of, self.split(" ".join(segments[i])))]
+            found += [flat[at:a], np.array(words, np.int64)]
+            at = b
+            shifts[b] = len(words) - (b - a)
+        flat = np.concatenate([*found, flat[at:]])
+        self.learn_words(known_words)
+        if mixed := [p for p in mixed if not self.edged[piece_of(p)]]:
+            self.learn_mixed(mixed)
+        self.last = flat
+        ids = self.gathered(flat).tobytes()
+        places = np.append(0, np.cumsum(self.sizes[flat]) * 4)
+        ends = places[np.array(ends, np.int64) + np.cumsum(shifts)[ends]].tolist() if ends else []
+        for a, b in pairwise([0, *ends]):
+            yield ids[a:b]
+
+
 @lru_cache(maxsize=2)
 def model_of(path: str) -> BpeModel:
     return BpeModel(path)
 
 
 @lru_cache(maxsize=2)
-def id_encoder(path: str) -> Encoder:
-    """Encoder of a Python worker whose pieces are plain id bytes."""
-    return Encoder(model_of(path), bytes, 400_000)
+def id_encoder(path: str) -> IdEncoder:
+    """Encoder of a Python worker for ids alone."""
+    return IdEncoder(model_of(path), 400_000)
 
 
 @lru_cache(maxsize=2)
@@ -245,7 +386,7 @@ def encode_ids(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     def task(batches):
         encoder = id_encoder(path)
         for batch, texts in chunks(batches, "text"):
-            ids = [np.frombuffer(b"".join(p), "<u4").astype(np.int32) for p in encoder.encode([t or "" for t in texts])]
+            ids = [np.frombuffer(p, "<u4").astype(np.int32) for p in encoder.encode([t or "" for t in texts])]
             yield pa.record_batch([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["id", "ids"])
 
     return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(

@@ -104,8 +104,8 @@ def pack_tokens(
     def tokens(batches, encoder) -> Iterator[tuple[object, bytes]]:
         for batch, texts in chunks(batches, "text"):
             ids = batch.column(0).to_pylist()
-            for doc, parts in zip(ids, encoder.encode([t or "" for t in texts]), strict=True):
-                yield doc, b"".join(parts) + END
+            for doc, found in zip(ids, encoder.encode([t or "" for t in texts]), strict=True):
+                yield doc, found + END
 
     def pack(docs, sequence: int):
         rows: list[tuple] = []

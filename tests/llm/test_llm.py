@@ -271,6 +271,26 @@ def test_bpe_on_random_texts(spark, tokenizer):
     assert {(r.id, r.text) for r in back.collect()} == {(i, t) for i, t in enumerate(texts[:200])}
 
 
+def test_ids_are_gathered_at_once(tokenizer, monkeypatch):
+    """No piece is encoded by itself, what a full cache drops is learned again, and ids stay those of the library."""
+
+    def never(self, words):
+        raise AssertionError("pieces are encoded from one array")
+
+    monkeypatch.setattr(bpe.BpeModel, "encode_words", never)
+    rng = random.Random(6)
+    alphabet = " \n\t'ab1,.é漢  ́😀ſ՘\U00010940\x1c<|>st"
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 60))) for _ in range(600)]
+    texts += [" ".join(rng.choices([*WORDS, "don't", "x-1", "a\tb"], k=40)) for _ in range(100)]
+    texts += ["a<|endoftext|>b  <|endoftext|>", "<|endoftext|>", "<|endoftext|><|endoftext|> ", " x", "x ", " ", ""] * 3
+    rng.shuffle(texts)
+    encoder = bpe.IdEncoder(bpe.model_of(queries.TOKENIZER), 150)
+    for i in range(0, len(texts), 40):
+        for text, ids in zip(texts[i : i + 40], encoder.encode(texts[i : i + 40]), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    assert [*encoder.encode([])] == [] and [*encoder.encode([""])] == [b""]
+
+
 # ---- quality ----
 
 
