@@ -4,7 +4,8 @@ Words are counted over the whole training corpus. Classes are made in two steps.
 unit: each of the most frequent words is a unit of its own, all others are dealt to units by their form (ending and length).
 Exchange clustering moves units between classes while that raises the likelihood of the class bigrams. Then every training
 word that is no unit of its own, however rare, leaves its form and joins the class whose neighbours are likeliest to stand where its
-own stand: the classes before and after each of its sightings go to one place, where they are summed and judged. Class
+own stand: the units before and after each of its sightings, found in the pass that counts the units' bigrams, go to one place,
+where they are summed by class and judged. Class
 bigrams are counted anew with the class of every word; only words that training texts do not hold are classed by form. A
 text then has the probability
 
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from dataclasses import dataclass
-from itertools import count, islice, repeat
+from itertools import count, islice, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,7 @@ OWN_UNITS = 768
 FORM_UNITS = 256
 HEAD = 1 << 18
 CACHE_WORDS = 300_000
+HELD = 1 << 20  # sightings of words that a task gathers or judges at once
 DISCOUNT = 0.5
 ADDED = 0.05  # to class transitions
 PRIOR = 100.0  # sightings of neighbours at large, added to those of a class
@@ -139,8 +141,11 @@ class Lexicon:
         self.units = np.zeros(0, np.int64)
         self.counts = np.zeros(0, np.int64)  # 0: not in the head
 
+    def full(self) -> bool:
+        return len(self.number) > CACHE_WORDS
+
     def codes(self, texts: list[list[bytes]]) -> list[np.ndarray]:
-        if len(self.number) > CACHE_WORDS:
+        if self.full():
             self.clear()
         old = len(self.number)
         get = self.number.__getitem__
@@ -152,7 +157,10 @@ class Lexicon:
             units = np.where(at >= 0, self.head.units[at], -1) if len(self.head.hashes) else at
             loose = np.flatnonzero(units < 0)
             forms = self.forms
-            units[loose] = [OWN_UNITS + forms[w[-3:], min(len(w), 12)] for w in map(fresh.__getitem__, loose.tolist())]
+            words = [*map(fresh.__getitem__, loose.tolist())]
+            capped = np.minimum(np.fromiter(map(len, words), np.int64, len(words)), 12).tolist()
+            keys = zip([w[-3:] for w in words], capped, strict=True)
+            units[loose] = OWN_UNITS + np.fromiter(map(forms.__getitem__, keys), np.int64, len(words))
             counts = np.where(at >= 0, self.head.counts[at], 0) if len(self.head.hashes) else np.zeros(len(at), np.int64)
             self.hashes = np.concatenate([self.hashes, hashes])
             self.at = np.concatenate([self.at, at])
@@ -185,26 +193,6 @@ def summed_pairs(pairs: DataFrame, size: int) -> np.ndarray:
     return out.reshape(size, size)
 
 
-def unit_bigrams(texts: DataFrame, head: Head) -> np.ndarray:
-    """Counts of neighbouring units over all texts, as a matrix of fixed size."""
-    size = OWN_UNITS + FORM_UNITS
-    shared = texts.sparkSession.sparkContext.broadcast(head)
-
-    def task(batches):
-        lexicon = Lexicon(shared.value)
-        total = np.zeros(size * size, np.int64)
-        for _, part in chunks(batches, "text"):
-            coded = lexicon.codes([(t or b"").lower().split() for t in part])
-            inner = inner_places(coded)
-            flat = np.zeros(len(inner), np.int64)
-            flat[inner] = lexicon.units[np.concatenate(coded)] if inner.any() else 0
-            total += np.bincount(flat[:-1] * size + flat[1:], minlength=size * size)
-        at = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(at), pa.array(total[at])], ["pair", "n"])
-
-    return summed_pairs(texts.mapInArrow(task, "pair long, n long"), size)
-
-
 def gain(n: np.ndarray) -> np.ndarray:
     """n log n, the term of a count in the likelihood."""
     return np.where(n > 0, n * np.log(np.maximum(n, 1)), 0.0)
@@ -257,33 +245,54 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int) -> np.ndarray:
     return member
 
 
-def surroundings(texts: DataFrame, head: Head, member: np.ndarray, classes: int) -> DataFrame:
-    """(h, around) of the words that are no units of their own: for each sighting the classes before and after it, as 16 bits."""
-    shared = texts.sparkSession.sparkContext.broadcast((head, member))
+def surroundings(texts: DataFrame, head: Head) -> DataFrame:
+    """One pass over the texts that finds two things, told apart by what is null.
+
+    (h, around): of the words that are no units of their own, for each sighting the units before and after it, as 32 bits.
+    (pair, n): counts of neighbouring units; there are ``units`` squared at most in a task.
+    """
+    size = OWN_UNITS + FORM_UNITS
+    shared = texts.sparkSession.sparkContext.broadcast(head)
 
     def task(batches):
-        words, of = shared.value
-        lexicon = Lexicon(words)
+        lexicon = Lexicon(shared.value)
+        total = np.zeros(size * size, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # codes of one numbering, what stands around them
         for _, part in chunks(batches, "text"):
+            if held and (lexicon.full() or sum(len(c) for c, _ in held) > HELD):
+                yield gathered(lexicon, held)
+                held = []
             coded = lexicon.codes([(t or b"").lower().split() for t in part])
             inner = inner_places(coded)
             codes = np.concatenate(coded)
             units = lexicon.units[codes]
             row = np.zeros(len(inner), np.int64)
-            row[inner] = of[units]
+            row[inner] = units
+            total += np.bincount(row[:-1] * size + row[1:], minlength=len(total))
             loose = units >= OWN_UNITS
-            at, codes = np.flatnonzero(inner)[loose], codes[loose]
-            if not len(at):
-                continue
-            order = np.sort((codes << 32) | np.arange(len(codes))) & 0xFFFFFFFF  # by code, then place
-            around = (row[at - 1] * classes + row[at + 1]).astype(np.uint16)[order]
-            codes = codes[order]
-            first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
-            offsets = (2 * np.append(first, len(codes))).astype(np.int32)
-            lists = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(around)])
-            yield pa.record_batch([pa.array(lexicon.hashes[codes[first]]), lists], ["h", "around"])
+            at = np.flatnonzero(inner)[loose]
+            if len(at):
+                held.append((codes[loose], (row[at - 1] << 16 | row[at + 1]).astype(np.uint32)))
+        if held:
+            yield gathered(lexicon, held)
+        at = np.flatnonzero(total)
+        yield seen(pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.binary()), pa.array(at), pa.array(total[at]))
+
+    def gathered(lexicon: Lexicon, held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        """A row for each word."""
+        codes = np.concatenate([c for c, _ in held])
+        order = np.sort((codes << 32) | np.arange(len(codes))) & 0xFFFFFFFF  # by code, then place
+        codes, around = codes[order], np.concatenate([a for _, a in held])[order]
+        first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+        offsets = (4 * np.append(first, len(codes))).astype(np.int32)
+        lists = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(around)])
+        none = pa.nulls(len(first), pa.int64())
+        return seen(pa.array(lexicon.hashes[codes[first]]), lists, none, none)
+
+    def seen(*columns: pa.Array) -> pa.RecordBatch:
+        return pa.record_batch([*columns], ["h", "around", "pair", "n"])
 
-    return texts.mapInArrow(task, "h long, around binary")
+    return texts.mapInArrow(task, "h long, around binary, pair long, n long")
 
 
 def affinities(table: np.ndarray) -> np.ndarray:
@@ -300,24 +309,20 @@ def affinities(table: np.ndarray) -> np.ndarray:
     return np.rint(1e6 * np.log(np.maximum(np.vstack([before, after]), 1e-12)))
 
 
-def word_classes(around: DataFrame, table: np.ndarray) -> DataFrame:
+def word_classes(around: DataFrame, member: np.ndarray, table: np.ndarray) -> DataFrame:
     """(h, c, class) of the words: their sightings and the class they fit best, the end's class left out."""
     classes = len(table)
     says = affinities(table)
 
     def task(batches):
         held: tuple | None = None  # a word may go on in the next batch
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            h, lists = batch.column(0).to_numpy(), batch.column(1)
-            sizes = pc.binary_length(lists).to_numpy() // 2
-            codes = np.frombuffer(b"".join(lists.to_pylist()), np.uint16).astype(np.int64)
+        for h, lists, sizes in parts(batches):
+            codes = np.frombuffer(b"".join(lists.to_pylist()), np.uint32)
             new = np.concatenate([[True], h[1:] != h[:-1]])
             word = np.repeat(np.cumsum(new) - 1, sizes) * 2 * classes
             h = h[new]
-            seen = np.bincount(word + codes // classes, minlength=len(h) * 2 * classes)
-            seen += np.bincount(word + classes + codes % classes, minlength=len(h) * 2 * classes)
+            seen = np.bincount(word + member[codes >> 16], minlength=len(h) * 2 * classes)
+            seen += np.bincount(word + classes + member[codes & 0xFFFF], minlength=len(h) * 2 * classes)
             seen = seen.reshape(len(h), 2 * classes)
             if held is not None and held[0][0] == h[0]:
                 seen[0] += held[1][0]
@@ -328,6 +333,15 @@ def word_classes(around: DataFrame, table: np.ndarray) -> DataFrame:
         if held is not None:
             yield judged(*held)
 
+    def parts(batches):
+        """(h, around, sightings) of slices with about ``HELD`` sightings."""
+        for batch in batches:
+            h, sizes = batch.column(0).to_numpy(), pc.binary_length(batch.column(1)).to_numpy() // 4
+            cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // HELD)) + 1
+            for a, b in pairwise([0, *cuts.tolist(), len(h)]):
+                if b > a:
+                    yield h[a:b], batch.column(1).slice(a, b - a), sizes[a:b]
+
     def judged(h: np.ndarray, seen: np.ndarray) -> pa.RecordBatch:
         fit = seen @ says
         fit[:, 0] = -np.inf
@@ -350,11 +364,13 @@ class ClassModel:
 def train(texts: DataFrame, counts: DataFrame, classes: int, rounds: int) -> ClassModel:
     totals = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
     head = Head.of(counts, HEAD)
-    bigrams = unit_bigrams(texts, head)
+    seen = stored(surroundings(texts, head), "lm-around")
+    bigrams = summed_pairs(seen.filter("pair is not null").select("pair", "n"), OWN_UNITS + FORM_UNITS)
     member = exchange(bigrams, classes, rounds)
     one = np.zeros((len(bigrams), classes))
     one[np.arange(len(bigrams)), member] = 1
-    words = stored(word_classes(surroundings(texts, head, member, classes), one.T @ bigrams @ one), "lm-words")
+    around = seen.filter("h is not null").select("h", "around")
+    words = stored(word_classes(around, member, one.T @ bigrams @ one), "lm-words")
     head.classes = member[np.maximum(head.units, 0)]
     if (head.units < 0).any():
         least = int(head.counts[head.units < 0].min())

@@ -400,6 +400,40 @@ def test_lm_words_are_numbered_in_one_look_up(monkeypatch):
     assert len(hashed) == 6  # one ending of one length is hashed once
 
 
+def test_lm_bigrams_and_neighbours_come_from_one_pass(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices(WORDS, k=rng.randint(1, 30))) for _ in range(60)] + ["", None, "LONE"]
+    words = [(t or "").lower().split() for t in texts]
+    counts = collections.Counter(w for ws in words for w in ws)
+    own = {w: 1 + i for i, (w, _) in enumerate(counts.most_common(5))}
+    hashes = {brown.word_hash(w.encode()): u for w, u in own.items()} | {brown.END_HASH: 0}
+    head = brown.Head(*(np.array(c, np.int64) for c in zip(*[(h, 9, u) for h, u in sorted(hashes.items())], strict=True)))
+    unit = {w: own.get(w, brown.OWN_UNITS + brown.form(w.encode())) for w in counts}
+    pairs, around = collections.Counter(), collections.defaultdict(list)
+    for ws in words:
+        row = [0, *[unit[w] for w in ws], 0]
+        pairs.update(itertools.pairwise(row))
+        for i, w in enumerate(ws):
+            if w not in own:
+                around[brown.word_hash(w.encode())].append((row[i], row[i + 2]))
+    monkeypatch.setattr(brown, "HELD", 50)
+    df = spark.createDataFrame([(t,) for t in texts], "text string").select(brown.F.col("text").cast("binary").alias("text"))
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, "7")
+    try:
+        rows = brown.surroundings(df.coalesce(1), head).collect()
+    finally:
+        spark.conf.set(batch, before)
+    size = brown.OWN_UNITS + brown.FORM_UNITS
+    found = collections.defaultdict(list)
+    for r in rows:
+        if r.h is not None:
+            found[r.h] += [(int(c) >> 16, int(c) & 0xFFFF) for c in np.frombuffer(bytes(r.around), np.uint32)]
+    assert {divmod(r.pair, size): r.n for r in rows if r.pair is not None} == pairs
+    assert {h: sorted(c) for h, c in found.items()} == {h: sorted(c) for h, c in around.items()}
+
+
 def test_lm_head_and_tail_agree(docs, monkeypatch):
     trains = brown.F.col("doc_id") % 3 != 0
     wide = {(r.id, r.n_tokens): r for r in brown.score_texts(docs, trains).collect()}
