@@ -137,7 +137,7 @@ class Encoder:
         self.specials = regex.compile("|".join(map(regex.escape, model.special))) if model.special else None
 
     def split(self, text: str) -> list[str]:
-        if not text or max(text) < SAFE:
+        if text.isascii() or max(text) < SAFE:
             return self.pattern.findall(text)
         return [text[a:b] for _, (a, b) in self.library.pre_tokenize_str(text)]
 
@@ -332,7 +332,7 @@ class IdEncoder(Encoder):
         mixed = self.learn_pieces(known_pieces)
         edged = [p for p in mixed if p != p.strip() or not p]
         self.edged[[*map(piece_of, edged)]] = True
-        flat = np.array(numbers, np.int64)
+        flat = np.fromiter(numbers, np.int64, len(numbers))
         inside = np.append(np.cumsum(self.edged[flat]), 0)  # at -1: none before
         first, last = np.array(bounds, np.int64).reshape(-1, 2).T - 1
         again = np.flatnonzero((last > first) & (inside[last] > inside[first]))
