@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import functools
 import hashlib
 import itertools
 import math
@@ -731,6 +732,65 @@ def test_windows_meet_whatever_the_batches(spark):
         assert {(r.a, r.f - substring.CROWDED, p) for r in told for p in range(r.ca, r.lra + 1)} == places
 
 
+def test_shingles_of_texts_together_are_those_of_each():
+    rng = random.Random(33)
+    letters = [b"a", b"B", b"z9", b"\xc3\xa9", b"\x85", b"\x1c", bytes(1)]
+    words = [b"".join(rng.choices(letters, k=rng.choice([1, 2, 3, 5, 8, 13, 40]))) for _ in range(60)]
+    texts = [None, b"", b"one two", *(rng.choice([b" ", b"\t\n", b"\x0b\r "]).join(rng.choices(words, k=rng.randint(0, 30))) for _ in range(40)), b" "]
+    flat, bounds = substring.Shingler(3).of(texts)
+    for i, text in enumerate(texts):
+        hashes = [xxhash.xxh64_intdigest(w, 5) for w in (text or b"").lower().split()]
+        expected = np.array([functools.reduce(lambda x, h: (x * int(substring.ODD) + h) % (1 << 64), hashes[p : p + 3], 0) for p in range(len(hashes) - 2)], np.uint64)
+        assert flat[bounds[i] : bounds[i + 1]].tolist() == substring.mixed(expected, 99).tolist()
+
+
+def test_windows_of_repeating_texts_travel_as_runs(spark):
+    """A text that repeats itself has a window at every place, and each would be a row of its own."""
+    rng = random.Random(34)
+
+    def prose(n):
+        return [f"w{rng.randint(0, 99_999)}" for _ in range(n)]
+
+    line, block = prose(20), prose(70)
+    bodies = [["la"] * 3000, prose(90) + ["la"] * 900 + prose(90), line * 60, prose(60) + line * 30, block * 12, prose(30) + block * 14, prose(300)]
+    rows = [(i, " ".join(body).encode()) for i, body in enumerate(bodies)]
+    least = 46
+    runs = substring.window_table(spark.createDataFrame(rows, "id long, text binary"), 5, 6, least).cache()
+    flat, bounds = substring.Shingler(5).of([text for _, text in rows])
+    expected = collections.Counter()
+    for f in range(6):
+        values = substring.mixed(flat, f) >> np.uint64(3)
+        for low, c, high in zip(*(x.tolist() for x in substring.compact_windows(values, bounds, least)), strict=True):
+            i = int(np.searchsorted(bounds, c, "right")) - 1
+            v = int(((values[c] << np.uint64(3)) | np.uint64(f)).view(np.int64))
+            expected[v, i, c - int(bounds[i]), ((low - int(bounds[i])) << 32) | (high - int(bounds[i]))] += 1
+
+    def single(found, first, ends, lengths):
+        """Rows of runs, each as the rows of its windows; first and ends: the columns that go on."""
+        out = collections.Counter()
+        for r in found:
+            at, c, low, high = (x.tolist() for x in substring.run_rows(np.array([r.run])))
+            for step, x, y in zip(c, low, high, strict=True):
+                row = list(r)[:lengths]
+                row[first], row[ends] = row[first] + step, row[ends] + (x << 32) + y
+                out[tuple(row)] += 1
+        return out
+
+    found = runs.collect()
+    assert single(found, 2, 3, 4) == expected
+    assert len(found) < sum(expected.values()) / 4
+    plain = substring.links(spark.createDataFrame(list(expected.elements()), "v long, id long, c long, lr long"), least).collect()
+    linked = substring.links(runs, least).collect()
+    crowded = substring.CROWDED
+    assert single([r for r in linked if r.f < crowded], 5, 6, 7) == collections.Counter(tuple(r) for r in plain if r.f < crowded)
+    assert len(linked) < len(plain) / 4
+    ranges = [
+        {(r.id, p) for r in substring.crowded_stretches(spark.createDataFrame(x, s).filter(f"f >= {crowded}"), 1).collect() for y in r.ranges for p in range(y.s, y.e + 1)}
+        for x, s in ((plain, "a long, b long, f long, ca long, lra long, cb long, lrb long"), (linked, "a long, b long, f long, ca long, lra long, cb long, lrb long, run long"))
+    ]
+    assert ranges[0] == ranges[1] and ranges[0]
+
+
 def test_stretches_that_enough_functions_crowd(spark):
     rng = random.Random(32)
     rows = [(i, 8 + f, s, s + rng.randint(0, 30)) for i in range(9) for f in range(6) for s in range(rng.randint(0, 40), 400, 60)]
